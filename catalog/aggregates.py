@@ -10,7 +10,7 @@ from catalog.common import (
 from jobloom.operators import dedupe, demand, quantiles
 from jobloom.operators.counts import counted
 from jobloom.operators.evaluation import evaluate_lists, evaluate_pairs
-from jobloom.plans.silver import clean_fields, clean_jobs, select_raw
+from jobloom.plans.silver import clean_descriptions, clean_fields, clean_jobs, select_raw
 
 # The cleaned postings in SQL: one row per raw row.
 CLEAN_SQL = rf"""select id as job_id, lower(trim(title)) as title, trim(company) as company,
@@ -56,13 +56,13 @@ def shown(df):
 
 @case(f"select {_SHOWN_SQL} from ({DISTINCT_SQL})")
 def d1(t):
-    return shown(dedupe.newest_posting(clean_fields(select_raw(raw_jobs(t)))))
+    return shown(clean_descriptions(dedupe.newest_posting(clean_fields(select_raw(raw_jobs(t))))))
 
 
 @case(f"""select {_SHOWN_SQL} from (select *, row_number() over (
         partition by job_id order by {_NEWEST}) as rn from ({CLEAN_SQL})) where rn = 1""")
 def d2(t):
-    return shown(dedupe.newest_per_job(clean_fields(select_raw(raw_jobs(t)))))
+    return shown(clean_descriptions(dedupe.newest_per_job(clean_fields(select_raw(raw_jobs(t))))))
 
 
 @case("""select doc_id, source, md5(text) as question from (select *, row_number() over (

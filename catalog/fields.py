@@ -12,6 +12,7 @@ from jobloom.functions import text, values, vectors
 from jobloom.functions.lists import deduplicate_skills, split_skills
 from jobloom.plans.report import ALL_SECTIONS, ANY_SECTION
 from jobloom.plans.silver import select_raw
+from jobloom.session import spread
 
 
 @case(f"""
@@ -37,7 +38,7 @@ def c2(t):
 @case(r"""select doc_id, md5(regexp_replace(lower(text), '[\s\x{0b}]+', ' ', 'g')) as description
           from documents""")
 def c3(t):
-    return t.documents.select(
+    return spread(t.documents).select(
         "doc_id", F.md5(text.clean_description("text")).alias("description"))
 
 
@@ -72,7 +73,7 @@ def c5(t):
 @case(f"""select doc_id, md5(coalesce(lower({sql_collapse(sql_strip("nullif(text, '')"))}), ''))
         as normalized from documents""")
 def c6(t):
-    return t.documents.select("doc_id", F.md5(text.normalize_text("text")).alias("normalized"))
+    return spread(t.documents).select("doc_id", F.md5(text.normalize_text("text")).alias("normalized"))
 
 
 def _sql_cleaned(e: str) -> str:
@@ -90,7 +91,7 @@ def c7(t):
                            F.col("html").alias("body"))
     docs = t.documents.select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"),
                               F.col("text").alias("body"))
-    return pages.union(docs).select(
+    return spread(pages.union(docs)).select(
         "kind", "id", F.md5(text.clean_job_description("body")).alias("cleaned"))
 
 
@@ -99,7 +100,7 @@ def c7(t):
         as skills from documents""")
 def c8(t):
     words = F.split("text", " ")
-    return t.documents.select(
+    return spread(t.documents).select(
         "doc_id", F.array_join(deduplicate_skills(words), "|").alias("skills"))
 
 
@@ -202,7 +203,7 @@ def _sql_contains(phrases, glue: str) -> str:
         {_sql_contains(ALL_SECTIONS, 'and')} as all_sections
       from documents""")
 def c21(t):
-    return t.documents.select(
+    return spread(t.documents).select(
         "doc_id", text.word_count("text").cast("bigint").alias("words"),
         text.line_count("text").cast("bigint").alias("lines"),
         text.mentions_any("text", ("the", "und")).alias("some"),

@@ -20,6 +20,7 @@ from jobloom.plans.roadmap import (
     PROMPT_QUESTIONS, PROMPT_ROLES, PROMPT_SKILLS, ROADMAP_GAPS, ROADMAP_QUESTIONS,
     ROADMAP_ROLES, ROADMAP_SKILLS, PromptWording, RoadmapWording,
 )
+from jobloom.session import checkpoint
 
 # One row per profile with its four lists, in SQL.
 ROWS_SQL = f"""with hits as materialized ({SHORTLIST_SQL}),
@@ -48,7 +49,7 @@ ROWS_SQL = f"""with hits as materialized ({SHORTLIST_SQL}),
 
 def _hits(t):
     vectors = profile_vectors(t)
-    return (career.shortlist_jobs(vectors, job_vectors(t), jobs(t)),
+    return (checkpoint(career.shortlist_jobs(vectors, job_vectors(t), jobs(t))),
             career.shortlist_questions(vectors, question_vectors(t), questions(t)))
 
 

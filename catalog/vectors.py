@@ -18,6 +18,7 @@ from jobloom.operators.retrieval import (
 )
 from jobloom.plans.career import shortlist_jobs, shortlist_questions
 from jobloom.plans.enrichment import enrich_jobs
+from jobloom.session import spread
 from jobloom.sources.questions import union_sources
 
 DIM = 256
@@ -31,7 +32,7 @@ def _unit_checks(df, key):
 @case(f"""select doc_id, cast({DIM} as bigint) as dim, case when trim(text) = '' then 0.0
         else 1.0 end as norm from documents""")
 def h1(t):
-    return _unit_checks(embed_text_column(t.documents, "text", dim=DIM), "doc_id")
+    return _unit_checks(embed_text_column(spread(t.documents), "text", dim=DIM), "doc_id")
 
 
 def letter_encoder():
@@ -55,7 +56,7 @@ _LETTERS = ", ".join(
         round((v[5] / sqrt(list_sum(list_transform(v, lambda x: x * x))))::float::double, 5) as e
       from v""")
 def h1_model(t):
-    v = encode_texts(t.documents.select("doc_id", "text"), "text", letter_encoder)
+    v = encode_texts(spread(t.documents).select("doc_id", "text"), "text", letter_encoder)
     return v.select("doc_id", *[F.round(F.col("embedding")[i].cast("double"), 5).alias(n)
                                 for i, n in ((0, "a"), (4, "e"))])
 

@@ -24,13 +24,28 @@ def deduplicate_skills(items: Column | str) -> Column:
     return F.array_sort(F.array_distinct(F.filter(low, lambda s: s != "")))
 
 
+def bind(values: dict[str, Column], use) -> Column:
+    """``use`` applied to a struct of ``values`` that are computed once.
+
+    Inside a lambda Spark evaluates an outer expression again for every element; a field
+    of a lambda variable is a value already at hand.
+    """
+    packed = F.struct(*[v.alias(n) for n, v in values.items()])
+    return F.transform(F.array(packed), use)[0]
+
+
 def skill_gap(user: Column | str, target: Column | str) -> Column:
     """Target skills the user lacks, in target order, spelling and repeats kept."""
-    known = F.transform(_col(user), lambda s: F.lower(strip(s)))
-    return F.filter(
-        _col(target),
-        lambda s: (strip(s) != "") & ~F.array_contains(known, F.lower(strip(s))),
-    )
+    def plain(items):
+        return F.transform(_col(items), lambda s: F.lower(strip(s)))
+
+    def lacking(z: Column) -> Column:
+        both = F.zip_with(z["target"], z["plain"], lambda s, p: F.when(
+            (p != "") & ~F.array_contains(z["known"], p), s))
+        return F.filter(both, lambda s: s.isNotNull())
+
+    values = {"known": plain(user), "target": _col(target), "plain": plain(target)}
+    return bind(values, lacking)
 
 
 def overlap_counts(truth: Column | str, predicted: Column | str, ignore_case: bool = False):

@@ -103,8 +103,15 @@ def _matches(text: Column, phrases: list[str], symbol_safe: bool) -> Column:
     return F.concat(*found) if len(found) > 1 else found[0]
 
 
-def _lookup_in(table: Column):
-    return lambda key: table[key]
+# Separators inside the one literal that carries the phrase -> skills table; a single
+# literal keeps the plan small, and Spark turns it into a map once.
+_ENTRY, _KEY, _ITEM = "\u0001", "\u0002", "\u0003"
+
+
+def _skills_of(table: dict[str, list[str]]):
+    text = _ENTRY.join(k + _KEY + _ITEM.join(v) for k, v in table.items())
+    lookup = F.str_to_map(F.lit(text), F.lit(_ENTRY), F.lit(_KEY))
+    return lambda phrase: F.split(lookup[phrase], _ITEM)
 
 
 def extract_skills(
@@ -125,13 +132,11 @@ def extract_skills(
     for at in range(0, len(names), PHRASES_PER_PATTERN):
         chunk = names[at:at + PHRASES_PER_PATTERN]
         known = set(chunk)
-        entries = []
-        for p in chunk:
-            skills = sorted({s for q in _implied(p, known, symbol_safe) for s in by_phrase[q]})
-            entries += [F.lit(p), F.array(*[F.lit(s) for s in skills])]
+        table = {p: sorted({s for q in _implied(p, known, symbol_safe) for s in by_phrase[q]})
+                 for p in chunk}
         hits = F.array_distinct(F.transform(_matches(c, chunk, symbol_safe), fold))
         hits = F.filter(hits, lambda h: h != "")
-        parts.append(F.flatten(F.transform(hits, _lookup_in(F.create_map(*entries)))))
+        parts.append(F.flatten(F.transform(hits, _skills_of(table))))
     if not parts:
         return F.array().cast("array<string>")
     return F.array_sort(F.array_distinct(F.concat(*parts)))

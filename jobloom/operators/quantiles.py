@@ -10,8 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-# Value ranges the exact search first narrows to; each holds about 1/CUTS of the values.
-CUTS = 512
+# Accuracy of the first look of the exact search: it leaves about 4/LOOK of the rows.
+LOOK = 10_000
 
 
 def approximate_quantiles(
@@ -26,43 +26,32 @@ def approximate_quantiles(
 def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:
     """One row, one array ``q``: for each p the value at rank ceil(p * n).
 
-    Equal values are counted first, so a value that fills a third of the table is one row.
-    Approximate cut points split the value range; the range that holds each rank is found
-    from the range totals, and only that range is put in order.
+    A first aggregate brackets each wanted rank between two approximate quantiles. The
+    second counts what lies below each bracket and how often each value inside occurs;
+    equal values are counted before the shuffle. Only bracketed values are put in order.
     """
+    values = df.select(F.col(column).cast("double").alias("v")).filter("v is not null")
+    ends = [e for p in probabilities for e in (max(p - 2 / LOOK, 0.0), min(p + 2 / LOOK, 1.0))]
+    look = values.agg(F.struct(
+        F.percentile_approx("v", ends, LOOK).alias("ends"), F.count("*").alias("n")).alias("s"))
+    probes = []
+    for i, p in enumerate(probabilities):
+        low = F.col("s.ends")[2 * i] if p > 2 / LOOK else F.lit(float("-inf"))
+        high = F.col("s.ends")[2 * i + 1] if p < 1 - 2 / LOOK else F.lit(float("inf"))
+        rank = F.greatest(F.ceil(F.lit(float(p)) * F.col("s.n")), F.lit(1))
+        probes.append(F.when(F.col("v") <= high, F.struct(
+            F.lit(i).alias("i"), rank.alias("rank"),
+            F.when(F.col("v") >= low, F.col("v")).alias("v"))))
     counts = (
-        df.select(F.col(column).cast("double").alias("v")).filter("v is not null")
-        .groupBy("v").agg(F.count("*").alias("n"))
+        values.withColumn("s", look.scalar())
+        .select(F.explode(F.filter(F.array(*probes), lambda x: x.isNotNull())).alias("x"))
+        .groupBy("x.i", "x.rank", "x.v").agg(F.count("*").alias("n"))
     )
-    cuts = counts.agg(
-        F.percentile_approx("v", [i / CUTS for i in range(1, CUTS)], 20 * CUTS).alias("c")
-    )
-    ranged = counts.withColumn("c", cuts.scalar()).select(
-        "v", "n", F.size(F.filter("c", lambda c: c < F.col("v"))).alias("r"))
-    upto = Window.orderBy("r").rowsBetween(Window.unboundedPreceding, 0)
-    totals = (
-        ranged.groupBy("r").agg(F.sum("n").alias("n"))
-        .withColumn("upto", F.sum("n").over(upto))
-        .withColumn("total", F.max("upto").over(
-            Window.orderBy("r").rowsBetween(
-                Window.unboundedPreceding, Window.unboundedFollowing)))
-    )
-    wanted = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"),
-                 F.greatest(F.ceil(F.lit(float(p)) * F.col("total")), F.lit(1)).alias("rank"))
-        for i, p in enumerate(probabilities)
-    ])).alias("w")
-    targets = (
-        totals.select("r", "n", "upto", wanted)
-        .filter("w.rank <= upto and w.rank > upto - n")
-        .select("r", "w.i", (F.col("w.rank") - (F.col("upto") - F.col("n"))).alias("rank"))
-    )
-    within = Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    # targets has one row per probability: always small enough to broadcast.
+    # Values below the bracket carry a null, which sorts first.
+    upto = Window.partitionBy("i").orderBy(F.col("v").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, 0)
     hits = (
-        ranged.join(F.broadcast(targets), "r")
-        .withColumn("upto", F.sum("n").over(within))
-        .filter("upto >= rank")
+        counts.withColumn("upto", F.sum("n").over(upto)).filter("upto >= rank")
         .groupBy("i").agg(F.min("v").alias("v"))
     )
     ordered = F.array_sort(F.collect_list(F.struct("i", "v")))
@@ -77,12 +66,14 @@ def quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
 
 
 def null_outliers(df: DataFrame, column: str, relative_error: float = 0.05,
-                  reach: float = 1.5) -> DataFrame:
+                  reach: float = 1.5, source: DataFrame | None = None) -> DataFrame:
     """Null the values outside [q1 - reach*iqr, q3 + reach*iqr]; every row stays.
 
+    The quartiles come from ``source`` (the same values, read more cheaply) or from ``df``.
     A column without values has no quartiles and is left as it is.
     """
-    q = quantiles(df, column, [0.25, 0.75], relative_error).scalar()
+    values = df if source is None else source
+    q = quantiles(values, column, [0.25, 0.75], relative_error).scalar()
     bounded = df.withColumn("_q", q)
     q1, q3 = F.get("_q", 0), F.get("_q", 1)
     v, margin = F.col(column), (q3 - q1) * reach

@@ -10,6 +10,7 @@ from jobloom.operators.demand import top_skills_per_profile
 from jobloom.operators.encode import embed_queries
 from jobloom.operators.retrieval import nearest_for_all
 from jobloom.plans.roadmap import prompt_text, roadmap_text
+from jobloom.session import checkpoint
 
 
 # What the page hands on to the roadmap.
@@ -90,7 +91,8 @@ def analyze_careers(profiles: DataFrame, jobs: DataFrame, job_vectors: DataFrame
                     queries: tuple[DataFrame, DataFrame] | None = None, make_encoder=None,
                     dim: int = 256, k_jobs: int = 30, k_questions: int = 15) -> DataFrame:
     for_jobs, for_questions = queries or profile_queries(profiles, make_encoder, dim)
-    job_hits = shortlist_jobs(for_jobs, job_vectors, jobs, k_jobs)
+    # Titles and skills both need the shortlist: it is small, and dear to compute twice.
+    job_hits = checkpoint(shortlist_jobs(for_jobs, job_vectors, jobs, k_jobs))
     question_hits = shortlist_questions(for_questions, question_vectors, questions, k_questions)
     rows = career_inputs(profiles, job_hits, jobs, job_skills, question_hits, questions)
     return with_roadmap(with_gap(rows))

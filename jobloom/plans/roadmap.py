@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
-from jobloom.functions.lists import skill_gap, stripped
+from jobloom.functions.lists import bind, skill_gap, stripped
 from jobloom.functions.text import _col
 
 # How many entries of each list a roadmap and a prompt show.
@@ -78,29 +78,36 @@ def roadmap_text(role, user_skills, target_skills, similar_roles, sample_questio
     w = wording
     named = _col(role)
     name = F.when(named.isNull() | (named == ""), F.lit(w.role_default)).otherwise(named)
-    user, target = stripped(_items(user_skills)), stripped(_items(target_skills))
-    roles, questions = _items(similar_roles), _items(sample_questions)
-    gaps = skill_gap(user, target)
 
     def part(items: Column, head: str, most: int, otherwise: str, show=bullets) -> Column:
         listed = F.concat(F.lit(head + "\n"), show(F.slice(items, 1, most)))
         return F.when(F.size(items) > 0, listed).otherwise(F.lit(otherwise))
 
-    return F.concat_ws(
-        "\n",
-        F.concat(F.lit(w.title), name),
-        F.lit(w.profile),
-        F.when(F.size(user) > 0, bullets(user)).otherwise(F.lit(w.none_listed)),
-        part(roles, w.roles, ROADMAP_ROLES, w.no_roles),
-        F.lit(w.gap),
-        part(target, w.skills, ROADMAP_SKILLS, w.no_skills),
-        part(gaps, w.gaps, ROADMAP_GAPS, w.no_gaps),
-        F.lit(w.plan),
-        F.lit(w.questions_head),
-        part(questions, w.questions, ROADMAP_QUESTIONS, w.no_questions, numbered),
-        F.lit(w.routine),
-        F.concat(F.lit(w.closing), F.lit("**"), name, F.lit("**.")),
-    )
+    def body(z: Column) -> Column:
+        user, target = z["lists"]["user"], z["lists"]["target"]
+        return F.concat_ws(
+            "\n",
+            F.concat(F.lit(w.title), z["name"]),
+            F.lit(w.profile),
+            F.when(F.size(user) > 0, bullets(user)).otherwise(F.lit(w.none_listed)),
+            part(z["roles"], w.roles, ROADMAP_ROLES, w.no_roles),
+            F.lit(w.gap),
+            part(target, w.skills, ROADMAP_SKILLS, w.no_skills),
+            part(z["gaps"], w.gaps, ROADMAP_GAPS, w.no_gaps),
+            F.lit(w.plan),
+            F.lit(w.questions_head),
+            part(z["questions"], w.questions, ROADMAP_QUESTIONS, w.no_questions, numbered),
+            F.lit(w.routine),
+            F.concat(F.lit(w.closing), F.lit("**"), z["name"], F.lit("**.")),
+        )
+
+    def with_gaps(z: Column) -> Column:
+        gaps = skill_gap(z["user"], z["target"])
+        return bind({"name": name, "lists": z, "gaps": gaps, "roles": _items(similar_roles),
+                     "questions": _items(sample_questions)}, body)
+
+    return bind({"user": stripped(_items(user_skills)),
+                 "target": stripped(_items(target_skills))}, with_gaps)
 
 
 @dataclass(frozen=True)

@@ -25,22 +25,30 @@ def select_raw(bronze: DataFrame) -> DataFrame:
 
 
 def clean_fields(raw: DataFrame) -> DataFrame:
+    """All cleaned columns but the description."""
     return raw.withColumns({
         "title": clean_title("title"),
         "company": F.trim("company"),
         "location": F.trim("location"),
-        "description": clean_description("description"),
         "posted_ts": posted_timestamp("posted_raw"),
         "salary_mid": mid_salary("salary_min", "salary_max"),
     }).withColumn("dt", F.to_date("posted_ts"))
 
 
+def clean_descriptions(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("description", clean_description("description"))
+
+
 def clean_jobs(bronze: DataFrame, relative_error: float = 0.05) -> DataFrame:
     """Clean, keep the newest posting per business key, null salary outliers, keep the
     newest row per job. Outliers are judged between the two dedupes.
 
+    No key depends on the description, so only the rows that remain have theirs cleaned.
     The quartiles read only the key, time and salary columns a second time; the texts go
     through the two dedupes once.
     """
-    distinct = newest_posting(clean_fields(select_raw(bronze)))
-    return newest_per_job(null_outliers(distinct, "salary_mid", relative_error))
+    cleaned = clean_fields(select_raw(bronze))
+    kept = newest_per_job(null_outliers(
+        newest_posting(cleaned), "salary_mid", relative_error,
+        source=newest_posting(cleaned, text_order=False)))
+    return clean_descriptions(kept)
