@@ -60,7 +60,7 @@ def _matrix(column) -> np.ndarray:
     if len(sizes) and sizes.min() != sizes.max():
         raise ValueError("vectors differ in length")
     flat = np.asarray(column.flatten(), dtype=np.float64)
-    return flat.reshape(len(column), -1)
+    return flat.reshape(len(column), sizes[0] if len(sizes) else 0)
 
 
 def _keys(column) -> np.ndarray:
