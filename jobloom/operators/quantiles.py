@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 # Accuracy of the first look of the exact search: it leaves about 4/LOOK of the rows.
-LOOK = 10_000
+LOOK = 2_000
 
 
 def approximate_quantiles(

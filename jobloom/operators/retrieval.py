@@ -15,6 +15,8 @@ from jobloom.functions.vectors import euclidean_distance, similarity
 QUERY_BYTES = 64 << 20
 # Rows of one grid cell side, in bytes of vectors.
 CELL_BYTES = 64 << 20
+# Scan tasks per core, at most.
+TASKS_PER_CORE = 4
 # Distances computed per step inside a task.
 _STEP = 1 << 21
 # Slack for rounding in the fast distances; the kept pairs are measured again exactly.
@@ -131,7 +133,11 @@ def _output(queries: DataFrame, corpus: DataFrame, query_key: str, key: str) ->
 
 def _scan_with_queries(queries: DataFrame, corpus: DataFrame, query_key: str, key: str,
                        k: int, out: T.StructType) -> DataFrame:
-    """Every task holds all queries and reads its own part of the corpus once."""
+    """Every task holds all queries and reads its own part of the corpus once.
+
+    A task hands on k rows per query, so the number of tasks is kept to a few per core:
+    splits are read one after the other by the same task, with nothing shuffled.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     held = queries.toArrow()
@@ -144,7 +150,10 @@ def _scan_with_queries(queries: DataFrame, corpus: DataFrame, query_key: str, ke
             best.add(_keys(batch.column(key)), _matrix(batch.column("embedding")))
         yield _result(best, query_keys, schema)
 
-    return corpus.select(key, "embedding").mapInArrow(scan, out)
+    spark = corpus.sparkSession
+    tasks = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism,
+                int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return corpus.select(key, "embedding").coalesce(tasks).mapInArrow(scan, out)
 
 
 def _grid(queries: DataFrame, corpus: DataFrame, query_key: str, key: str, k: int,

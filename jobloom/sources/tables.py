@@ -42,7 +42,11 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> Data
 
 
 class Warehouse:
-    """The six tables in one Spark database."""
+    """The six tables in one Spark database.
+
+    ``location`` is on storage all executors share. Choose ``buckets`` so that one bucket of
+    the largest table fits a task (about a gigabyte); merges then shuffle only the stage.
+    """
 
     def __init__(self, spark: SparkSession, database: str, location: str,
                  dim: int, buckets: int = 8):
@@ -63,6 +67,12 @@ class Warehouse:
             if not self.spark.catalog.tableExists(self._full(spec.name)):
                 self._publish(spec, self.spark.createDataFrame([], spec.schema), 0)
 
+        self.spark.sql(f"""
+            CREATE OR REPLACE VIEW {self._full('v_role_skill_demand')} AS
+            SELECT lower(title) AS role_title, skill, count(*) AS demand_count
+            FROM {self._full('jobs')} JOIN {self._full('job_skills_ner')} USING (job_id)
+            GROUP BY lower(title), skill""")
+
     def table(self, name: str) -> DataFrame:
         return self.spark.table(self._full(name))
 
@@ -98,6 +108,10 @@ class Warehouse:
         (fresh.write.mode("append").format("parquet").bucketBy(self.buckets, *spec.key)
               .saveAsTable(self._store(name, self._version(name))))
 
+    def replace_skills(self, name: str, pairs: DataFrame) -> None:
+        """All pairs anew, for ids that were numbered anew."""
+        self._replace(name, pairs.dropDuplicates(list(TABLES[name].key)))
+
     def upsert_embeddings(self, name: str, vectors: DataFrame) -> None:
         id_column = TABLES[name].key[0]
         self._replace(name, upsert_vectors(self.table(name), vectors, id_column, self.dim))

@@ -207,3 +207,27 @@ def test_bucketed_target_is_not_shuffled(spark, warehouse):
         assert text.count("Exchange hashpartitioning") == 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_refresh_from_files_to_warehouse(spark, tmp_path):
+    from jobloom.plans.refresh import refresh_jobs, refresh_questions
+    from jobloom.sources.jobs import write_bronze
+
+    root = str(tmp_path)
+    items = [dict(id=str(i), title=f"dev {i}", description="SQL and Kafka", company="a",
+                  created="2024-01-01 00:00:00", salary_max=1.0) for i in range(3)]
+    write_bronze(bronze(spark, items + items[:1]), f"{root}/bronze", "2024-01-05")
+    (tmp_path / "q").mkdir()
+    (tmp_path / "q" / "a.csv").write_text("question\nWhat is SQL?\nWhy?\nWhy?\n")
+    w = Warehouse(spark, "careers_refresh", scratch_path(spark, "warehouse"), dim=16, buckets=2)
+    for _ in range(2):
+        assert refresh_jobs(spark, f"{root}/bronze", f"{root}/silver", w) == {
+            "found": 4, "cleaned": 3, "pairs": 6}
+        assert refresh_questions(spark, f"{root}/q", w) == {"loaded": 2}
+        assert w.table("jobs").count() == w.table("job_embeddings").count() == 3
+        assert w.table("job_skills_ner").count() == 6
+        assert rows(w.table("interview_skills_ner")) == [(1, "sql")]
+        assert rows(w.table("interview_embeddings").select("q_id", F.size("embedding"))) == [
+            (1, 16), (2, 16)]
+    demand = spark.table("careers_refresh.v_role_skill_demand")
+    assert ("dev 1", "kafka", 1) in rows(demand)
