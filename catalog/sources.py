@@ -175,7 +175,7 @@ def a7(t):
 CASES = {
     "a1_bronze_jobs_scan": a1,
     "a2_silver_scan": a2,
-    "a3_question_csv_folder": a3,
+    "a3_c12_c13_question_csv_folder": a3,
     "a4_question_lists": a4,
     "a5_latest_snapshot": a5,
     "a6_flatten_pages": a6,

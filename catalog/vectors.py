@@ -17,8 +17,8 @@ from jobloom.operators.retrieval import (
     interview_questions, nearest_for_all, similar_jobs,
 )
 from jobloom.plans.career import shortlist_jobs, shortlist_questions
-from jobloom.plans.enrichment import enrich_jobs
-from jobloom.session import spread
+from jobloom.plans.enrichment import enrich_jobs, pairs_of
+from jobloom.session import scratch_path, spread
 from jobloom.sources.questions import union_sources
 
 DIM = 256
@@ -192,14 +192,15 @@ def i2(t):
     silver = skill_docs(t).select(F.col("doc_id").alias("job_id"),
                                   F.lit(None).cast("string").alias("title"),
                                   F.col("body").alias("description"))
-    skills, vectors = enrich_jobs(silver, dim=DIM)
-    none = F.lit(None)
+    path = scratch_path(t.spark, "enriched")
+    enrich_jobs(silver, dim=DIM).write.parquet(path)
+    enriched, none = t.spark.read.parquet(path), F.lit(None)
     return union_sources([
-        skills.select(F.lit("skill").alias("kind"), "job_id", "skill",
-                      none.cast("bigint").alias("dim")),
-        vectors.select(F.lit("vector").alias("kind"), "job_id",
-                       none.cast("string").alias("skill"),
-                       F.size("embedding").cast("bigint").alias("dim")),
+        pairs_of(enriched).select(F.lit("skill").alias("kind"), "job_id", "skill",
+                                  none.cast("bigint").alias("dim")),
+        enriched.select(F.lit("vector").alias("kind"), "job_id",
+                        none.cast("string").alias("skill"),
+                        F.size("embedding").cast("bigint").alias("dim")),
     ])
 
 

@@ -9,40 +9,54 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from jobloom.functions.skills import WORD, extract_skills, fold
+from jobloom.functions.skills import WORD, fold
 from jobloom.functions.text import _col
 
-# Phrases that begin or end with a symbol go into regular expressions; at most this many.
-SYMBOL_PHRASES = 20_000
+_GAP = r"[^\p{L}\p{N}_]+"
 
 
-def word_sequences(text: Column, longest: int) -> Column:
-    """Distinct runs of 1..longest words, separators kept as written, case folded."""
-    runs = []
-    for n in range(1, longest + 1):
-        more = f"(?:[^\\p{{L}}\\p{{N}}_]+{WORD}+){{{n - 1}}}" if n > 1 else ""
-        pattern = f"(?<!{WORD})(?=({WORD}+{more})(?!{WORD}))"
-        runs.append(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
-    return F.array_distinct(F.transform(F.concat(*runs), fold))
+def _sequence_pattern(words: int, lead: bool, trail: bool) -> str:
+    """``words`` words with the gaps between them, tried at every place of the text.
+
+    A phrase that starts or ends with a symbol must have a word character beyond it, so
+    its symbols fill the whole gap beside the word: ``lead`` and ``trail`` take that gap in.
+    """
+    body = "(?:" + _GAP + WORD + "+){%d}" % (words - 1) if words > 1 else ""
+    core = WORD + "+" + body if words else ""
+    before = f"(?<={WORD})" if lead else f"(?<!{WORD})"
+    after = f"(?={WORD})" if trail else f"(?!{WORD})"
+    if not words:
+        return f"(?<={WORD})(?=({_GAP})(?={WORD}))"
+    start, end = (_GAP if lead else ""), (_GAP if trail else "")
+    return f"{before}(?=({start}{core}{end}){after})"
+
+
+def _shape(phrase: Column) -> list[Column]:
+    words = F.size(F.regexp_extract_all(phrase, F.lit(f"({WORD}+)"), F.lit(1)))
+    return [words.alias("words"), (~phrase.rlike(f"^{WORD}")).alias("lead"),
+            (~phrase.rlike(f"{WORD}$")).alias("trail")]
+
+
+def word_sequences(text: Column, shapes: list[tuple[int, bool, bool]]) -> Column:
+    """The distinct sequences of every shape in a text, as written but case folded."""
+    found = [F.regexp_extract_all(text, F.lit(_sequence_pattern(*shape)), F.lit(1))
+             for shape in shapes]
+    return F.array_distinct(F.transform(F.concat(*found), fold))
 
 
 def match_phrases(df: DataFrame, key: str, text: Column | str,
                   vocabulary: DataFrame) -> DataFrame:
-    """Unique (key, skill) rows for a vocabulary of (phrase, skill) rows."""
-    entries = vocabulary.select(fold(F.trim("phrase")).alias("phrase"), "skill").dropDuplicates()
-    worded = F.col("phrase").rlike(f"^{WORD}(.*{WORD})?$")
-    plain, symbols = entries.filter(worded), entries.filter(~worded & (F.col("phrase") != ""))
-    words = F.size(F.regexp_extract_all(F.col("phrase"), F.lit(f"({WORD}+)"), F.lit(1)))
-    longest = plain.agg(F.max(words).alias("n")).first()["n"] or 1
-    runs = df.select(key, F.explode(word_sequences(_col(text), longest)).alias("phrase"))
-    pairs = runs.join(plain, "phrase").select(key, "skill")
-
-    odd: dict[str, list[str]] = {}
-    for row in symbols.limit(SYMBOL_PHRASES + 1).toLocalIterator():
-        odd.setdefault(row["skill"], []).append(row["phrase"])
-    if sum(map(len, odd.values())) > SYMBOL_PHRASES:
-        raise ValueError(f"more than {SYMBOL_PHRASES} phrases with a symbol at an edge")
-    if odd:
-        found = extract_skills(_col(text), odd, stopwords=())
-        pairs = pairs.unionByName(df.select(key, F.explode(found).alias("skill")))
-    return pairs.dropDuplicates([key, "skill"])
+    """Unique (key, skill) rows for a vocabulary of (phrase, skill) rows.
+
+    Only sequences shaped like some phrase are taken out of the texts. A text gives each
+    sequence once; AQE broadcasts a small vocabulary and splits the rows of a word that
+    stands in very many texts.
+    """
+    entries = vocabulary.select(fold(F.trim("phrase")).alias("phrase"), "skill").filter(
+        "phrase <> ''").dropDuplicates()
+    # One row per shape: the longest phrase has a handful of words.
+    shapes = [tuple(r) for r in entries.select(*_shape(F.col("phrase"))).distinct().collect()]
+    if not shapes:
+        return df.select(key, F.lit("").alias("skill")).filter("false")
+    runs = df.select(key, F.explode(word_sequences(_col(text), sorted(shapes))).alias("phrase"))
+    return runs.join(entries, "phrase").select(key, "skill").dropDuplicates([key, "skill"])

@@ -34,7 +34,14 @@ def question_vectors(questions: DataFrame, make_encoder=None, dim: int = 256) ->
                              dim).select("q_id", "embedding")
 
 
-def enrich_jobs(jobs: DataFrame, make_encoder=None, dim: int = 256):
-    """(skill pairs, vectors) of the silver jobs. Read ``jobs`` from its silver table, so
-    that each of the two scans only the columns it needs."""
-    return job_skills(jobs), job_vectors(jobs, make_encoder, dim)
+def enrich_jobs(jobs: DataFrame, make_encoder=None, dim: int = 256, **options) -> DataFrame:
+    """(job_id, skills, embedding) in one pass over the texts; write it, then take the two
+    tables from it with ``pairs_of`` and a select, so that no text is read twice."""
+    texts = jobs.select("job_id", extract_skills(skill_text(), **options).alias("skills"),
+                        vector_text().alias("_text"))
+    return embed_text_column(texts, "_text", make_encoder, dim).select(
+        "job_id", "skills", "embedding")
+
+
+def pairs_of(enriched: DataFrame, key: str = "job_id") -> DataFrame:
+    return enriched.select(key, F.explode("skills").alias("skill")).dropDuplicates([key, "skill"])

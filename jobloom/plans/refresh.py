@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from jobloom.operators.counts import counted
-from jobloom.plans.enrichment import enrich_jobs, question_skills, question_vectors
+from jobloom.plans.enrichment import (
+    enrich_jobs, pairs_of, question_skills, question_vectors,
+)
 from jobloom.plans.questions import clean_questions
 from jobloom.plans.silver import clean_jobs
 from jobloom.sources.jobs import read_bronze
@@ -24,15 +26,16 @@ def refresh_jobs(spark: SparkSession, bronze: str, silver: str, warehouse: Wareh
     cleaned, kept = counted(clean_jobs(raw, relative_error), "silver")
     write_silver(cleaned, f"{silver}/jobs")
     jobs = read_silver(spark, f"{silver}/jobs")
-    skills, vectors = enrich_jobs(jobs, make_encoder, warehouse.dim)
-    skills, pairs = counted(skills, "pairs")
+    enrich_jobs(jobs, make_encoder, warehouse.dim).write.mode("overwrite").parquet(
+        f"{silver}/job_enriched")
+    enriched = read_silver(spark, f"{silver}/job_enriched")
+    skills, pairs = counted(pairs_of(enriched), "pairs")
     skills.write.mode("overwrite").parquet(f"{silver}/job_skills_ner")
-    vectors.write.mode("overwrite").parquet(f"{silver}/job_embeddings")
 
     warehouse.ensure_tables()
     warehouse.upsert_jobs(jobs)
     warehouse.add_skills("job_skills_ner", read_silver(spark, f"{silver}/job_skills_ner"))
-    warehouse.upsert_embeddings("job_embeddings", read_silver(spark, f"{silver}/job_embeddings"))
+    warehouse.upsert_embeddings("job_embeddings", enriched.select("job_id", "embedding"))
     return {"found": found.get["rows"], "cleaned": kept.get["rows"], "pairs": pairs.get["rows"]}
 
 

@@ -35,9 +35,10 @@ def land_jobs(pages: DataFrame, page: str = "page") -> DataFrame:
 
 
 def write_bronze(df: DataFrame, root: str, load_date: Column | str) -> None:
-    """JSON lines in a folder per load date."""
+    """JSON lines in a folder per load date; a date that is loaded again is replaced."""
     day = F.lit(load_date) if isinstance(load_date, str) else load_date
-    (df.withColumn("date", day).write.mode("append").partitionBy("date")
+    (df.withColumn("date", day).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy("date")
        .option("ignoreNullFields", "false").json(root))
 
 

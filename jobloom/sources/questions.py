@@ -28,7 +28,8 @@ def row_order() -> list[Column]:
 
 
 def _survey(spark: SparkSession, root: str, pattern: str) -> DataFrame:
-    """Per file: header line, whether all bytes are UTF-8, whether a quoted field spans lines.
+    """Per file: header line, whether all bytes are UTF-8, whether a quoted cell spans lines,
+    whether a line may hold more cells than the header.
 
     Files are scanned in splits like any text, so a huge file is not one task.
     """
@@ -39,12 +40,19 @@ def _survey(spark: SparkSession, root: str, pattern: str) -> DataFrame:
                  F.monotonically_increasing_id().alias("line")).alias("at"),
         "value",
     )
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return lines.groupBy("path", "source").agg(
+
+    def occurs(mark: str) -> Column:
+        return F.length("value") - F.length(F.replace(F.col("value"), F.lit(mark), F.lit("")))
+
+    found = lines.groupBy("path", "source").agg(
         F.min_by("value", "at").alias("header"),
         F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
-        F.bool_or(quotes % 2 != 0).alias("spans"),
+        F.bool_or(occurs('"') % 2 != 0).alias("spans"),
+        F.max(occurs(",")).alias("commas"),
+        F.min_by(occurs(","), "at").alias("header_commas"),
     )
+    wide = (F.col("commas") > F.col("header_commas")) | F.col("spans")
+    return found.select("path", "source", "header", "utf8", "spans", wide.alias("wide"))
 
 
 def _header_names(line: str) -> list[str]:
@@ -65,18 +73,42 @@ def _cell(c: Column) -> Column:
     return F.when(c.isin(*MISSING_CELLS), F.lit(None)).otherwise(c)
 
 
+def _read_cells(spark: SparkSession, group, paths: Sequence[str], cells: int) -> DataFrame:
+    """The rows of equally shaped files as text columns c0, c1, ..., with one to spare."""
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(cells + 1)])
+    return (
+        spark.read.schema(schema)
+        .option("header", True).option("enforceSchema", True)
+        .option("quote", '"').option("escape", '"')
+        .option("multiLine", bool(group["spans"]))
+        .option("encoding", "UTF-8" if group["utf8"] else "ISO-8859-1")
+        .csv(list(paths))
+    )
+
+
+def _readable(raw: DataFrame, paths: Sequence[str], cells: int) -> list[str]:
+    """The paths without a row that fills the spare column."""
+    over = raw.filter(F.col(f"c{cells}").isNotNull()).select(
+        F.col("_metadata.file_path").alias("path")).distinct()
+    bad = {r["path"] for r in over.collect()}
+    if bad:
+        warnings.warn(f"rows with too many cells in {sorted(bad)}, skipped")
+    return [p for p in paths if p not in bad]
+
+
 def read_question_csvs(spark: SparkSession, root: str, skip_name: str = "behavioral",
                        candidates: Sequence[str] = QUESTION_NAMES,
                        topic: str = "technical") -> DataFrame:
     """All CSV files of a folder as (question, topic, source) with the row's place.
 
     Files that share header and encoding are read together. Only a file whose quoted
-    fields run over line ends is read as one piece; all others are split.
+    cells run over line ends is read as one piece; all others are split. A file with a row
+    of more cells than its header cannot be read: it is skipped with a warning.
     """
     layout = (
         _survey(spark, root, "*.csv")
         .filter(~F.lower("source").contains(skip_name))
-        .groupBy("header", "utf8", "spans").agg(F.collect_list("path").alias("paths"))
+        .groupBy("header", "utf8", "spans", "wide").agg(F.collect_list("path").alias("paths"))
     )
     frames = []
     # One row per distinct header, not per file or line.
@@ -86,15 +118,12 @@ def read_question_csvs(spark: SparkSession, root: str, skip_name: str = "behavio
         if at is None:
             warnings.warn(f"no question column in {sorted(group['paths'])}, skipped")
             continue
-        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
-        raw = (
-            spark.read.schema(schema)
-            .option("header", True).option("enforceSchema", True)
-            .option("quote", '"').option("escape", '"')
-            .option("multiLine", bool(group["spans"]))
-            .option("encoding", "UTF-8" if group["utf8"] else "ISO-8859-1")
-            .csv(group["paths"])
-        )
+        paths = group["paths"]
+        if group["wide"]:
+            paths = _readable(_read_cells(spark, group, paths, len(names)), paths, len(names))
+            if not paths:
+                continue
+        raw = _read_cells(spark, group, paths, len(names))
         label = _cell(F.col(f"c{names.index('topic')}")) if "topic" in names else F.lit(None)
         frames.append(raw.select(
             _cell(F.col(f"c{at}")).alias("question"),

@@ -27,7 +27,7 @@ def connect(folder: str):
 
 def _plain(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 9) + 0.0
+        return "nan" if math.isnan(v) else v + 0.0
     if v is not None and type(v).__name__ == "Decimal":
         return float(v)
     return v

@@ -67,7 +67,10 @@ def tables(spark):
     jobs = spark.createDataFrame(JOBS, "job_id string, title string, description string")
     questions = spark.createDataFrame([(1, "What is SQL?"), (2, "What is React?")],
                                       "q_id long, question string")
-    skills, vectors = enrichment.enrich_jobs(jobs, dim=64)
+    enriched = enrichment.enrich_jobs(jobs, dim=64)
+    skills, vectors = enrichment.pairs_of(enriched), enriched.select("job_id", "embedding")
+    assert sorted(map(tuple, skills.collect())) == sorted(
+        map(tuple, enrichment.job_skills(jobs).collect()))
     return jobs, vectors, skills, questions, enrichment.question_vectors(questions, dim=64)
 
 

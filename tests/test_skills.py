@@ -83,6 +83,17 @@ def test_table_of_phrases_gives_the_same_pairs(spark):
     assert got == {(i, s) for i, t in enumerate(texts) for s in brute(t)}
 
 
+def test_table_of_phrases_with_symbols_at_their_edges(spark):
+    vocabulary = {"net": [".net"], "c": ["c++", "c#"], "plus": ["++"], "at": ["@a b/", "x"]}
+    texts = ["a.net asp.net .net", "c++x c++ c+++x", "a++b", "z@a b/c", "c# c#x", "@a b/c",
+             "x++", "C++ÉX"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    table = spark.createDataFrame(phrase_rows(vocabulary), "phrase string, skill string")
+    want = {(i, s) for i, t in enumerate(texts) for s in brute(t, vocabulary)}
+    assert {tuple(r) for r in match_phrases(df, "i", "t", table).collect()} == want
+    assert extract(spark, texts, vocabulary=vocabulary) == [brute(t, vocabulary) for t in texts]
+
+
 # Labelled texts with the scores that are known for them.
 SHORT = [
     ("Senior Software Engineer working with Python, React, AWS, Docker, Kubernetes, "

@@ -62,6 +62,14 @@ def test_only_files_with_line_ends_in_quotes_are_read_whole(spark, tmp_path):
     assert got == ['say "hi"', "x\ny"]
 
 
+def test_file_with_too_many_cells_is_skipped(spark, tmp_path):
+    put(f"{tmp_path}/a.csv", 'question,topic\nfine,tech\nWhy, oh why,tech,\nx,y,z\n')
+    put(f"{tmp_path}/b.csv", 'question,topic\n"quoted, but fine",tech\n')
+    with pytest.warns(UserWarning, match="too many cells"):
+        raw = questions.read_question_csvs(spark, str(tmp_path))
+    assert [r["question"] for r in raw.collect()] == ["quoted, but fine"]
+
+
 def test_question_lists(spark, tmp_path):
     put(f"{tmp_path}/dl.txt", "1. What is padding\nheading\n 12.  Why?  \n")
     put(f"{tmp_path}/ml.txt", "S.No\tQuestions\n1\tWhat are MSE and RMSE\n")
@@ -88,11 +96,14 @@ def test_pages_to_bronze_and_back(spark, tmp_path):
       {"id": "7", "title": "again"}, {"title": "no id"}]}""")
     put(f"{tmp_path}/in/p2.json", '{"results": [{"id": 8, "category": {"label": "IT"}}, {"id": 7}]}')
     landed = jobs.land_jobs(jobs.read_pages(spark, f"{tmp_path}/in"))
+    jobs.write_bronze(landed, f"{tmp_path}/bronze", "2024-01-04")
+    jobs.write_bronze(landed, f"{tmp_path}/bronze", "2024-01-05")
     jobs.write_bronze(landed, f"{tmp_path}/bronze", "2024-01-05")
     back = jobs.read_bronze(spark, f"{tmp_path}/bronze")
     assert back.columns == BRONZE_JOBS.fieldNames() + ["date"]
+    assert back.count() == 4
     got = {r["id"]: (r["title"], r["company"], r["category"], str(r["date"]))
-           for r in back.collect()}
+           for r in back.filter("date = date '2024-01-05'").collect()}
     assert got == {"7": ("Dev", "A", None, "2024-01-05"), "8": (None, None, "IT", "2024-01-05")}
 
 
