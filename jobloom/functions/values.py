@@ -22,6 +22,7 @@ def mid_salary(low: Column | str, high: Column | str) -> Column:
     return F.when(lo.isNotNull() & hi.isNotNull(), (lo + hi) / 2).otherwise(hi)
 
 
-def zone_free(c: Column | str) -> Column:
-    """The wall-clock reading of a timestamp, without a zone."""
-    return _col(c).cast("timestamp_ntz")
+def without_zone(c: Column | str) -> Column:
+    """Timestamp text without a trailing zone or offset: its wall-clock reading."""
+    return F.regexp_replace(
+        _col(c).cast("string"), r"(:\d{2}(?:\.\d+)?)\s*(?:Z|UTC|[+-]\d{2}:?\d{2})$", "$1")

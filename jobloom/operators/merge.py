@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from jobloom.functions.values import posted_timestamp, without_zone
 from jobloom.functions.vectors import checked_vector, to_vector
 
 
@@ -58,12 +59,12 @@ def upsert_vectors(target: DataFrame, stage: DataFrame, id_column: str, dim: int
 
 
 def coerce_jobs(df: DataFrame) -> DataFrame:
-    """Make a jobs frame loadable: bad timestamps to null, ``dt`` filled in."""
+    """Make a jobs frame loadable: bad timestamps to null, zones dropped, ``dt`` filled in."""
     out = df
     if "posted_ts" in df.columns:
-        out = out.withColumn("posted_ts", F.try_to_timestamp(F.col("posted_ts").cast("string")))
+        out = out.withColumn("posted_ts", posted_timestamp(without_zone("posted_ts")))
     if "dt" in df.columns:
-        return out.withColumn("dt", F.to_date(F.try_to_timestamp(F.col("dt").cast("string"))))
+        return out.withColumn("dt", F.to_date(posted_timestamp(without_zone("dt"))))
     if "posted_ts" in df.columns:
         return out.withColumn("dt", F.to_date("posted_ts"))
     return out.withColumn("dt", F.current_date())

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from jobloom.functions.vectors import euclidean_distance, similarity
+from jobloom.session import checkpoint
 
 # Query vectors up to this many bytes go to every task; more are spread over a grid.
 QUERY_BYTES = 64 << 20
@@ -17,8 +18,8 @@ QUERY_BYTES = 64 << 20
 CELL_BYTES = 64 << 20
 # Scan tasks per core, at most.
 TASKS_PER_CORE = 4
-# Distances computed per step inside a task.
-_STEP = 1 << 21
+# Queries measured together, and candidate pairs measured exactly together, in a task.
+_BLOCK, _MEASURED = 256, 1 << 16
 # Slack for rounding in the fast distances; the kept pairs are measured again exactly.
 _SLACK = 1e-9
 
@@ -70,8 +71,8 @@ def _keys(column) -> np.ndarray:
     return np.asarray(column.to_pylist(), dtype=None if len(column) else object)
 
 
-class _Best:
-    """The k nearest seen so far for each of a set of queries."""
+class _Block:
+    """The k nearest seen so far for each of a few hundred queries."""
 
     def __init__(self, queries: np.ndarray, k: int):
         self.queries, self.k = queries, k
@@ -81,25 +82,20 @@ class _Best:
         self.d = np.zeros(0)
         self.key: np.ndarray | None = None
 
-    def add(self, keys: np.ndarray, rows: np.ndarray) -> None:
-        if not len(rows) or not len(self.queries):
-            return
-        width = max(1, _STEP // len(rows))
-        square = (rows * rows).sum(axis=1)
-        for at in range(0, len(self.queries), width):
-            part = slice(at, at + width)
-            fast = (self.square[part, None] + square) - 2.0 * (self.queries[part] @ rows.T)
-            limit = self.bound[part]
-            if len(rows) > self.k:
-                kth = np.partition(fast, self.k - 1, axis=1)[:, self.k - 1]
-                limit = np.minimum(limit, kth)
-            scale = 1.0 + self.square[part] + square.max()
-            q, r = np.nonzero(fast <= (limit + _SLACK * scale)[:, None])
-            for lo in range(0, len(q), _STEP // 32):
-                step = slice(lo, lo + _STEP // 32)
-                self._measure(q[step] + at, r[step], keys, rows)
+    def add(self, keys: np.ndarray, rows: np.ndarray, square: np.ndarray) -> None:
+        fast = (self.square[:, None] + square) - 2.0 * (self.queries @ rows.T)
+        slack = _SLACK * (1.0 + self.square + square.max())
+        near = fast <= (self.bound + slack)[:, None]
+        if len(rows) > self.k and np.count_nonzero(near) > 2 * self.k * len(fast):
+            kth = np.partition(fast, self.k - 1, axis=1)[:, self.k - 1]
+            near &= fast <= (kth + slack)[:, None]
+        q, r = np.nonzero(near)
+        for lo in range(0, len(q), _MEASURED):
+            step = slice(lo, lo + _MEASURED)
+            self._measure(q[step], r[step], keys, rows)
 
     def _measure(self, q, r, keys, rows) -> None:
+        """Exact distances of the candidates, merged and cut to k per query."""
         d = np.sqrt(((self.queries[q] - rows[r]) ** 2).sum(axis=1))
         near = keys[r] if self.key is None else np.concatenate([self.key, keys[r]])
         q, d = np.concatenate([self.q, q]), np.concatenate([self.d, d])
@@ -112,15 +108,32 @@ class _Best:
         self.bound[self.q[full]] = self.d[full] ** 2
 
 
-def _result(best: _Best, query_keys: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
-    if best.key is None:
-        return pa.RecordBatch.from_pylist([], schema=schema)
-    arrays = [
-        pa.array(query_keys[best.q].tolist(), schema.field(0).type),
-        pa.array(best.key.tolist(), schema.field(1).type),
-        pa.array(best.d, schema.field(2).type),
-    ]
-    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+class _Best:
+    """All queries of a task, in blocks small enough to merge cheaply."""
+
+    def __init__(self, queries: np.ndarray, k: int):
+        self.blocks = [(at, _Block(queries[at:at + _BLOCK], k))
+                       for at in range(0, len(queries), _BLOCK)]
+
+    def add(self, keys: np.ndarray, rows: np.ndarray) -> None:
+        square = (rows * rows).sum(axis=1)
+        for _, block in self.blocks if len(rows) else ():
+            block.add(keys, rows, square)
+
+    def found(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(query places, keys, distances) of every block that saw a row."""
+        return [(b.q + at, b.key, b.d) for at, b in self.blocks if b.key is not None]
+
+
+def _result(best: _Best, query_keys: np.ndarray, schema: pa.Schema) -> pa.Table:
+    batches = []
+    for q, key, d in best.found():
+        batches.append(pa.RecordBatch.from_arrays([
+            pa.array(query_keys[q].tolist(), schema.field(0).type),
+            pa.array(key.tolist(), schema.field(1).type),
+            pa.array(d, schema.field(2).type),
+        ], schema=schema))
+    return pa.Table.from_batches(batches, schema=schema)
 
 
 def _output(queries: DataFrame, corpus: DataFrame, query_key: str, key: str) -> T.StructType:
@@ -148,7 +161,7 @@ def _scan_with_queries(queries: DataFrame, corpus: DataFrame, query_key: str, ke
         best = _Best(matrix, k)
         for batch in batches:
             best.add(_keys(batch.column(key)), _matrix(batch.column("embedding")))
-        yield _result(best, query_keys, schema)
+        yield from _result(best, query_keys, schema).to_batches()
 
     spark = corpus.sparkSession
     tasks = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism,
@@ -182,7 +195,7 @@ def _grid(queries: DataFrame, corpus: DataFrame, query_key: str, key: str, k: in
         keys, rows = _keys(c[key]), _matrix(c["embedding"])
         for at in range(0, len(rows), 1 << 14):
             best.add(keys[at:at + (1 << 14)], rows[at:at + (1 << 14)])
-        return pa.Table.from_batches([_result(best, _keys(q[query_key]), schema)])
+        return _result(best, _keys(q[query_key]), schema)
 
     return left.groupBy("_q", "_c").cogroup(right.groupBy("_q", "_c")).applyInArrow(meet, out)
 
@@ -193,10 +206,12 @@ def nearest_for_all(queries: DataFrame, corpus: DataFrame, query_key: str, key:
     """For every query its k nearest corpus rows: (query_key, key, distance, rank).
 
     Pairs are measured inside the tasks as matrix products; a task hands on at most k rows
-    per query. Ties are broken by key. Both inputs hold their key and ``embedding``.
+    per query. Ties are broken by key. Both inputs hold their key and ``embedding``. The
+    queries are checkpointed first: they are needed twice, and a model may have made them.
     """
     out = _output(queries, corpus, query_key, key)
-    queries = queries.select(query_key, "embedding").filter(F.col("embedding").isNotNull())
+    queries = checkpoint(
+        queries.select(query_key, "embedding").filter(F.col("embedding").isNotNull()))
     corpus = corpus.select(key, "embedding").filter(F.col("embedding").isNotNull())
     size = queries.agg(
         F.coalesce(F.sum(F.size("embedding")), F.lit(0)).alias("cells")).first()["cells"] * 4

@@ -91,6 +91,12 @@ class Warehouse:
     def _replace(self, name: str, df: DataFrame) -> None:
         self._publish(TABLES[name], df, self._version(name) + 1)
 
+    def _require_key(self, stage: DataFrame, key) -> None:
+        """A row may be updated once per merge; only the key columns are read for this."""
+        wrong = require_unique(stage, key).limit(5).collect()
+        if wrong:
+            raise ValueError(f"missing or repeated keys in the stage, such as {wrong}")
+
     def duplicate_keys(self, name: str) -> DataFrame:
         return require_unique(self.table(name), TABLES[name].key)
 
@@ -98,6 +104,7 @@ class Warehouse:
         spec = TABLES["jobs"]
         stage = coerce_jobs(jobs).select(
             *[F.col(f.name).cast(f.dataType) for f in spec.schema.fields])
+        self._require_key(stage, spec.key)
         self._replace("jobs", upsert(self.table("jobs"), stage, spec.key, spec.update_columns))
 
     def add_skills(self, name: str, pairs: DataFrame) -> None:
@@ -114,6 +121,7 @@ class Warehouse:
 
     def upsert_embeddings(self, name: str, vectors: DataFrame) -> None:
         id_column = TABLES[name].key[0]
+        self._require_key(vectors, [id_column])
         self._replace(name, upsert_vectors(self.table(name), vectors, id_column, self.dim))
 
     def reload_questions(self, questions: DataFrame, order) -> DataFrame:

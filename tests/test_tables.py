@@ -185,6 +185,12 @@ def test_warehouse_upserts(spark, warehouse):
     assert rows(w.table("job_embeddings")) == [("1", [0.0, 1.0])]
 
 
+def test_repeated_keys_in_a_stage_are_an_error(spark, warehouse):
+    twice = jobs_frame(spark, [dict(job_id="1", title="a"), dict(job_id="1", title="b")])
+    with pytest.raises(ValueError, match="repeated keys"):
+        warehouse.upsert_jobs(twice)
+
+
 def test_warehouse_reload_restarts_ids(spark, warehouse):
     w = warehouse
     df = spark.createDataFrame([("b?", "t", "f", 2), ("a?", "t", "f", 1)],
