@@ -16,8 +16,11 @@ def _col(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """Remove leading and trailing white space of any kind (``trim`` drops spaces only)."""
-    return F.regexp_replace(_col(c), rf"(?U)^{_WS}+|{_WS}+\z", "")
+    """Remove leading and trailing white space of any kind (``trim`` drops spaces only).
+
+    The look-behind tries each inner run of white space once, not from all of its places.
+    """
+    return F.regexp_replace(_col(c), rf"(?U)^{_WS}+|(?<!{_WS}){_WS}+\z", "")
 
 
 def collapse(c: Column | str) -> Column:
@@ -41,10 +44,13 @@ def normalize_text(c: Column | str) -> Column:
 def clean_job_description(c: Column | str) -> Column:
     """Blank out tags, then links, then e-mail addresses; collapse, strip, lower.
 
-    The address pattern is tried only at the start of a run of non-space characters:
-    a run either matches from its start or not at all, so this keeps the scan linear.
+    Two things keep the scan linear on any text. No tag can start after the last ``>``, so
+    that part is set aside. And an address is tried only at the start of a run of
+    non-space characters: a run matches from its start or not at all.
     """
-    out = F.regexp_replace(_col(c), r"<[^>]+>", " ")
+    rest = F.substring_index(_col(c), ">", -1)
+    tagged = F.left(_col(c), F.length(_col(c)) - F.length(rest))
+    out = F.concat(F.regexp_replace(tagged, r"<[^>]+>", " "), rest)
     out = F.regexp_replace(out, rf"(?U)http{_NON_WS}+|www\.{_NON_WS}+", " ")
     out = F.regexp_replace(out, rf"(?U)(?<!{_NON_WS}){_NON_WS}+@{_NON_WS}+", " ")
     return F.coalesce(F.lower(strip(collapse(out))), F.lit(""))

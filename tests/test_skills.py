@@ -94,7 +94,7 @@ def test_table_of_phrases_with_symbols_at_their_edges(spark):
     assert extract(spark, texts, vocabulary=vocabulary) == [brute(t, vocabulary) for t in texts]
 
 
-# Labelled texts with the scores that are known for them.
+# Labelled texts with the scores that are known for them.
 SHORT = [
     ("Senior Software Engineer working with Python, React, AWS, Docker, Kubernetes, "
      "PostgreSQL, Redis.",
@@ -106,16 +106,42 @@ SHORT = [
 ]
 
 
-def test_known_scores(spark):
-    df = spark.createDataFrame(SHORT, "t string, truth array<string>").withColumn(
+LONG = [
+    ("Senior Software Engineer - We seek an experienced engineer with Python, \n"
+     "React, and AWS expertise. Must have strong knowledge of Docker, Kubernetes, \n"
+     "and CI/CD pipelines. Experience with PostgreSQL and Redis required.",
+     ["python", "react", "aws", "docker", "kubernetes", "postgresql", "redis"]),
+    ("Machine Learning Engineer - Build ML models using PyTorch and TensorFlow. \n"
+     "Need experience with MLOps, Airflow, and cloud platforms (AWS/GCP). \n"
+     "Strong Python and SQL skills essential.",
+     ["pytorch", "tensorflow", "python", "sql", "airflow", "mlops"]),
+    ("Data Engineer - Design data pipelines with Spark, Kafka, and Airflow. \n"
+     "Proficiency in Python, SQL, and Snowflake. Experience with dbt and \n"
+     "data modeling required.",
+     ["spark", "kafka", "airflow", "python", "sql", "snowflake", "dbt"]),
+]
+
+
+def scored(spark, labelled, **options):
+    df = spark.createDataFrame(labelled, "t string, truth array<string>").withColumn(
         "predicted", extract_skills("t"))
-    row = evaluate_lists(df, "truth", "predicted").first()
+    return evaluate_lists(df, "truth", "predicted", **options).first()
+
+
+def test_known_scores(spark):
+    row = scored(spark, SHORT)
     assert (row["total_tp"], row["total_fp"], row["total_fn"]) == (19, 2, 0)
     assert row["precision"] == pytest.approx(0.9047619047619048)
     assert row["recall"] == 1.0
     assert row["f1_score"] == pytest.approx(0.95)
 
 
+def test_known_scores_of_longer_texts(spark):
+    row = scored(spark, LONG, ignore_case=True)
+    assert (row["total_tp"], row["total_fp"], row["total_fn"]) == (20, 4, 0)
+    assert row["precision"] == pytest.approx(20 / 24)
+
+
 def test_scores_without_any_match(spark):
     df = spark.createDataFrame([([], [])], "truth array<string>, predicted array<string>")
     row = evaluate_lists(df, "truth", "predicted").first()

@@ -1,4 +1,5 @@
 import re
+import time
 
 from hypothesis import HealthCheck, given, settings, strategies as st
 
@@ -31,6 +32,16 @@ def test_cleanup_agrees_with_plain_regular_expressions(spark, items):
     assert many(spark, items, text.word_count) == [len(s.split()) for s in items]
 
 
+def test_long_odd_texts_take_no_long_time(spark):
+    texts = ["a" + " " * 50_000 + "b", "< " * 30_000, "a" * 300_000 + "@", "<>" * 20_000 + "<x"]
+    start = time.time()
+    cleaned = many(spark, texts, text.clean_job_description)
+    assert cleaned[0] == "a b" and cleaned[1] == ("< " * 30_000).strip()
+    assert cleaned[2] == texts[2] and cleaned[3] == texts[3]
+    assert many(spark, texts[:1], text.normalize_text) == ["a b"]
+    assert time.time() - start < 20
+
+
 def test_null_text_becomes_empty(spark):
     assert many(spark, [None, ""], text.normalize_text) == ["", ""]
     assert many(spark, [None, ""], text.clean_job_description) == ["", ""]
