@@ -20,8 +20,6 @@ CELL_BYTES = 64 << 20
 TASKS_PER_CORE = 4
 # Queries measured together, and candidate pairs measured exactly together, in a task.
 _BLOCK, _MEASURED = 256, 1 << 16
-# Slack for rounding in the fast distances; the kept pairs are measured again exactly.
-_SLACK = 1e-9
 
 
 def nearest(vectors: DataFrame, rows: DataFrame, key: str, query: Column, k: int,
@@ -55,14 +53,14 @@ def interview_questions(vectors: DataFrame, questions: DataFrame, query: Column,
 
 
 def _matrix(column) -> np.ndarray:
-    """An Arrow list column of equal-length vectors as a 2-d double array."""
+    """An Arrow list column of equal-length vectors as a 2-d array."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     if column.null_count:
         raise ValueError("a vector is missing")
     sizes = np.diff(np.asarray(column.offsets))
     if len(sizes) and sizes.min() != sizes.max():
         raise ValueError("vectors differ in length")
-    flat = np.asarray(column.flatten(), dtype=np.float64)
+    flat = np.asarray(column.flatten())
     return flat.reshape(len(column), sizes[0] if len(sizes) else 0)
 
 
@@ -71,24 +69,37 @@ def _keys(column) -> np.ndarray:
     return np.asarray(column.to_pylist(), dtype=None if len(column) else object)
 
 
+def _slack(dim: int, kind) -> float:
+    """Bound on the rounding of a fast squared distance, relative to the squared norms."""
+    unit = np.finfo(kind).eps
+    return (2 * dim + 32) * unit
+
+
 class _Block:
     """The k nearest seen so far for each of a few hundred queries."""
 
     def __init__(self, queries: np.ndarray, k: int):
         self.queries, self.k = queries, k
-        self.square = (queries * queries).sum(axis=1)
+        self.square = (queries.astype(np.float64) ** 2).sum(axis=1)
         self.bound = np.full(len(queries), np.inf)
         self.q = np.zeros(0, dtype=np.int64)
         self.d = np.zeros(0)
         self.key: np.ndarray | None = None
 
     def add(self, keys: np.ndarray, rows: np.ndarray, square: np.ndarray) -> None:
-        fast = (self.square[:, None] + square) - 2.0 * (self.queries @ rows.T)
-        slack = _SLACK * (1.0 + self.square + square.max())
+        """``rows`` are compared in single precision first, with room for its rounding;
+        every pair that may be near enough is then measured in double precision."""
+        largest = max(self.square.max(), square.max())
+        kind = np.float32 if largest < 1e30 else np.float64
+        fast = self.queries.astype(kind, copy=False) @ rows.astype(kind, copy=False).T
+        fast *= -2
+        fast += square.astype(kind)
+        fast += self.square.astype(kind)[:, None]
+        slack = _slack(rows.shape[1], kind) * (self.square + square.max()) + 1e-37
         near = fast <= (self.bound + slack)[:, None]
         if len(rows) > self.k and np.count_nonzero(near) > 2 * self.k * len(fast):
             kth = np.partition(fast, self.k - 1, axis=1)[:, self.k - 1]
-            near &= fast <= (kth + slack)[:, None]
+            near &= fast <= (kth + 2 * slack)[:, None]
         q, r = np.nonzero(near)
         for lo in range(0, len(q), _MEASURED):
             step = slice(lo, lo + _MEASURED)
@@ -96,7 +107,8 @@ class _Block:
 
     def _measure(self, q, r, keys, rows) -> None:
         """Exact distances of the candidates, merged and cut to k per query."""
-        d = np.sqrt(((self.queries[q] - rows[r]) ** 2).sum(axis=1))
+        apart = self.queries[q].astype(np.float64) - rows[r]
+        d = np.sqrt((apart * apart).sum(axis=1))
         near = keys[r] if self.key is None else np.concatenate([self.key, keys[r]])
         q, d = np.concatenate([self.q, q]), np.concatenate([self.d, d])
         order = np.lexsort((near, d, q))
@@ -116,7 +128,7 @@ class _Best:
                        for at in range(0, len(queries), _BLOCK)]
 
     def add(self, keys: np.ndarray, rows: np.ndarray) -> None:
-        square = (rows * rows).sum(axis=1)
+        square = (rows.astype(np.float64) ** 2).sum(axis=1)
         for _, block in self.blocks if len(rows) else ():
             block.add(keys, rows, square)
 

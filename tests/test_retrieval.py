@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from jobloom.functions import vectors as V
 from jobloom.operators import encode
-from jobloom.operators.retrieval import interview_questions, nearest_for_all, similar_jobs
+from jobloom.operators.retrieval import (
+    _Best, interview_questions, nearest_for_all, similar_jobs,
+)
 
 
 def frame(spark, key, matrix, kind="long"):
@@ -46,6 +48,22 @@ def test_nearest_for_all_equals_brute_force(spark, query_bytes, kind):
         queries.astype(float), corpus.astype(float), 7, name)
 
 
+@pytest.mark.parametrize("scale", [1e-25, 1.0, 1e18])
+def test_near_ties_are_settled_in_double_precision(scale):
+    rng = np.random.default_rng(1)
+    base = rng.normal(size=(1, 96))
+    rows = (base + rng.normal(size=(2000, 96)) * 1e-7) * scale
+    queries = (base + rng.normal(size=(300, 96)) * 1e-7) * scale
+    best = _Best(queries, 5)
+    for at in range(0, 2000, 500):
+        best.add(np.arange(at, at + 500), rows[at:at + 500])
+    got = {}
+    for q, key, _ in best.found():
+        for i, j in zip(q.tolist(), key.tolist()):
+            got.setdefault(i, []).append(j)
+    assert got == brute(queries, rows, 5)
+
+
 def test_fewer_rows_than_asked_for(spark):
     q, c = frame(spark, "profile_id", [[0, 0]]), frame(spark, "job_id", [[0, 1], [1, 0], [3, 0]])
     assert found(nearest_for_all(q, c, "profile_id", "job_id", 10), "job_id") == {0: [0, 1, 2]}
