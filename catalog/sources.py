@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from catalog.common import RAW_JOBS_ONCE_SQL, case, raw_jobs_once, sql_strip
+from catalog.common import RAW_JOBS_ONCE_SQL, case, raw_jobs_once, sql_collapse, sql_strip
 from jobloom.plans.questions import clean_questions
 from jobloom.plans.silver import select_raw
 from jobloom.schemas import API_PAGE, BRONZE_JOBS
@@ -107,6 +107,17 @@ def a4(t):
         tabbed.select(F.lit("tabbed"), F.md5("question"), "topic"))
 
 
+@case(f"""with i as (select page_id, unnest(list_filter(list_transform(
+          string_split_regex(html, '(?i)<li\\b[^>]*>')[2:],
+          lambda p: {sql_strip(sql_collapse(
+              "regexp_replace(string_split_regex(p, '(?i)</?(?:li|ul|ol)\\b')[1], "
+              "'<[^>]+>', ' ', 'g')"))}), lambda p: p <> '')) as question from pages)
+      select page_id, question, cast(count(*) as bigint) as rows from i group by 1, 2""")
+def a4_html(t):
+    items = t.pages.select("page_id", F.explode(questions.list_items("html")).alias("question"))
+    return items.groupBy("page_id", "question").agg(F.count("*").alias("rows"))
+
+
 @case("""select md5(text) as question, role as topic, '2025-12-06 01:02:03' as loaded_at
       from conversations""")
 def a5(t):
@@ -177,6 +188,7 @@ CASES = {
     "a2_silver_scan": a2,
     "a3_c12_c13_question_csv_folder": a3,
     "a4_question_lists": a4,
+    "a4_html_list_items": a4_html,
     "a5_latest_snapshot": a5,
     "a6_flatten_pages": a6,
     "a6_land_first_seen": a6_landed,

@@ -45,12 +45,12 @@ def word_sequences(text: Column, shapes: list[tuple[int, bool, bool]]) -> Column
 
 
 def match_phrases(df: DataFrame, key: str, text: Column | str,
-                  vocabulary: DataFrame) -> DataFrame:
+                  vocabulary: DataFrame, salts: int = 8) -> DataFrame:
     """Unique (key, skill) rows for a vocabulary of (phrase, skill) rows.
 
-    Only sequences shaped like some phrase are taken out of the texts. A text gives each
-    sequence once; AQE broadcasts a small vocabulary and splits the rows of a word that
-    stands in very many texts.
+    Only sequences shaped like some phrase are taken out of the texts, each once per text.
+    A word that stands in most texts is spread over ``salts`` groups by the text's key, and
+    every phrase is there in each of them.
     """
     entries = vocabulary.select(fold(F.trim("phrase")).alias("phrase"), "skill").filter(
         "phrase <> ''").dropDuplicates()
@@ -58,5 +58,9 @@ def match_phrases(df: DataFrame, key: str, text: Column | str,
     shapes = [tuple(r) for r in entries.select(*_shape(F.col("phrase"))).distinct().collect()]
     if not shapes:
         return df.select(key, F.lit("").alias("skill")).filter("false")
-    runs = df.select(key, F.explode(word_sequences(_col(text), sorted(shapes))).alias("phrase"))
-    return runs.join(entries, "phrase").select(key, "skill").dropDuplicates([key, "skill"])
+    runs = df.select(key, F.pmod(F.xxhash64(key), F.lit(salts)).alias("salt"),
+                     F.explode(word_sequences(_col(text), sorted(shapes))).alias("phrase"))
+    everywhere = entries.withColumn(
+        "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return runs.join(everywhere, ["phrase", "salt"]).select(key, "skill").dropDuplicates(
+        [key, "skill"])

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from jobloom.functions.text import default_topic, strip
+from jobloom.functions.text import collapse, default_topic, strip
 from jobloom.schemas import QUESTION_SNAPSHOT
 
 QUESTION_NAMES = ("question", "questions", "interview_question")
@@ -171,6 +171,26 @@ def read_tabbed_text(spark: SparkSession, path: str, topic: str = "technical") -
     )
 
 
+def list_items(html: Column | str) -> Column:
+    """The texts of the list items of a page, without tags; blank ones dropped. An item
+    ends at its closing tag, or where the next item or the list's end begins."""
+    c = F.col(html) if isinstance(html, str) else html
+    parts = F.split(c, r"(?i)<li\b[^>]*>")
+    inner = F.transform(F.slice(parts, 2, F.size(parts)),
+                        lambda p: F.split(p, r"(?i)</?(?:li|ul|ol)\b", 2)[0])
+    plain = F.transform(inner, lambda p: strip(collapse(F.regexp_replace(p, r"<[^>]+>", " "))))
+    return F.filter(plain, lambda p: p != "")
+
+
+def read_html_lists(spark: SparkSession, path: str, topic: str = "technical") -> DataFrame:
+    """The list items of HTML files, one page per file."""
+    pages = spark.read.text(path, wholetext=True)
+    return pages.select(
+        F.posexplode(list_items("value")).alias("line", "question"), F.lit(topic).alias("topic"),
+        F.col("_metadata.file_name").alias("source"), F.lit(0).alias("block"),
+    ).select("question", "topic", "source", "block", "line")
+
+
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     """All JSON-line snapshots, with the load time from the name of each file (or of the
     folder, when a snapshot was written in several parts)."""

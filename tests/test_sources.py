@@ -79,6 +79,14 @@ def test_question_lists(spark, tmp_path):
     assert [r["question"] for r in tabbed.collect()] == ["What are MSE and RMSE"]
 
 
+def test_html_lists(spark, tmp_path):
+    put(f"{tmp_path}/a.html", "<p>intro</p><ul><LI class='x'>What is <b>SQL</b>?</li>\n"
+        "<li> Why? <li></ul><ol><li>Open</ol>after")
+    got = questions.read_html_lists(spark, str(tmp_path)).orderBy("line").collect()
+    assert [r["question"] for r in got] == ["What is SQL ?", "Why?", "Open"]
+    assert {r["source"] for r in got} == {"a.html"}
+
+
 def test_newest_snapshot(spark, tmp_path):
     line = '{"question": "%s", "source": "s", "topic": "technical"}\n'
     put(f"{tmp_path}/interview_raw_20251205_220439.jsonl", line % "old 👶")
