@@ -134,7 +134,7 @@ def extract_skills(
         known = set(chunk)
         table = {p: sorted({s for q in _implied(p, known, symbol_safe) for s in by_phrase[q]})
                  for p in chunk}
-        hits = F.array_distinct(F.transform(_matches(c, chunk, symbol_safe), fold))
+        hits = F.transform(F.array_distinct(_matches(c, chunk, symbol_safe)), fold)
         hits = F.filter(hits, lambda h: h != "")
         parts.append(F.flatten(F.transform(hits, _skills_of(table))))
     if not parts:

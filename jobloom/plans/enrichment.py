@@ -9,11 +9,17 @@ from jobloom.functions.text import _col, skill_text, vector_text
 from jobloom.operators.encode import embed_text_column
 
 
-def skill_pairs(df: DataFrame, key: str, text: Column | str, **options) -> DataFrame:
-    """(key, skill) rows, unique. Lists are already unique per row, so when the key is unique
-    too the final distinct only removes what equal keys would repeat."""
-    found = df.select(key, F.explode(extract_skills(_col(text), **options)).alias("skill"))
-    return found.dropDuplicates([key, "skill"])
+def pairs_of(rows: DataFrame, key: str = "job_id", unique_key: bool = False) -> DataFrame:
+    """(key, skill) rows from ``skills`` lists, unique. A list holds a skill once, so where
+    the key is unique as well (as in silver jobs) nothing needs to be shuffled."""
+    pairs = rows.select(key, F.explode("skills").alias("skill"))
+    return pairs if unique_key else pairs.dropDuplicates([key, "skill"])
+
+
+def skill_pairs(df: DataFrame, key: str, text: Column | str, unique_key: bool = False,
+                **options) -> DataFrame:
+    found = df.select(key, extract_skills(_col(text), **options).alias("skills"))
+    return pairs_of(found, key, unique_key)
 
 
 def job_skills(jobs: DataFrame, **options) -> DataFrame:
@@ -41,7 +47,3 @@ def enrich_jobs(jobs: DataFrame, make_encoder=None, dim: int = 256, **options) -
                         vector_text().alias("_text"))
     return embed_text_column(texts, "_text", make_encoder, dim).select(
         "job_id", "skills", "embedding")
-
-
-def pairs_of(enriched: DataFrame, key: str = "job_id") -> DataFrame:
-    return enriched.select(key, F.explode("skills").alias("skill")).dropDuplicates([key, "skill"])

@@ -29,7 +29,7 @@ def refresh_jobs(spark: SparkSession, bronze: str, silver: str, warehouse: Wareh
     enrich_jobs(jobs, make_encoder, warehouse.dim).write.mode("overwrite").parquet(
         f"{silver}/job_enriched")
     enriched = read_silver(spark, f"{silver}/job_enriched")
-    skills, pairs = counted(pairs_of(enriched), "pairs")
+    skills, pairs = counted(pairs_of(enriched, unique_key=True), "pairs")
     skills.write.mode("overwrite").parquet(f"{silver}/job_skills_ner")
 
     warehouse.ensure_tables()
@@ -47,6 +47,6 @@ def refresh_questions(spark: SparkSession, folder: str, warehouse: Warehouse,
     questions = warehouse.reload_questions(cleaned, row_order())
     warehouse.upsert_embeddings(
         "interview_embeddings", question_vectors(questions, make_encoder, warehouse.dim))
-    warehouse.replace_skills("interview_skills_ner", question_skills(questions))
+    warehouse.replace_skills("interview_skills_ner", question_skills(questions, unique_key=True))
     # Numbering reads its input twice, so the count comes from the written table's footers.
     return {"loaded": questions.count()}
