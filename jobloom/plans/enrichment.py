@@ -18,8 +18,10 @@ def pairs_of(rows: DataFrame, key: str = "job_id", unique_key: bool = False) ->
 
 def skill_pairs(df: DataFrame, key: str, text: Column | str, unique_key: bool = False,
                 **options) -> DataFrame:
-    found = df.select(key, extract_skills(_col(text), **options).alias("skills"))
-    return pairs_of(found, key, unique_key)
+    """The same rows straight from texts. The lists are exploded where they are made: as a
+    column of their own, the filters Spark infers for it would make them again."""
+    pairs = df.select(key, F.explode(extract_skills(_col(text), **options)).alias("skill"))
+    return pairs if unique_key else pairs.dropDuplicates([key, "skill"])
 
 
 def job_skills(jobs: DataFrame, **options) -> DataFrame:
