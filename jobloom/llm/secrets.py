@@ -125,7 +125,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = with_any.select(*none.columns).unionByName(none)
     short = F.transform("_base", lambda s: F.struct(s["start"], s["kind"], s["stop"]))
     base = _written(F.col("_base"))
-    count = {f"n_{k}": F.size(F.filter("_base", lambda s, i=i: s["kind"] == i)).cast("long")
+    kinds = F.transform("_base", lambda s: s["kind"])
+    count = {f"n_{k}": (F.size(kinds) - F.size(F.array_remove(kinds, i))).cast("long")
              for i, k in enumerate(KINDS)}
     return rows.select(
         F.col("_id").alias(id_col), *[c.alias(n) for n, c in count.items()],
