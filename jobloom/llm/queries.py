@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from jobloom.llm import exact, licenses, secrets, sharding
+from jobloom.llm import exact, licenses, secrets, sharding, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,6 +16,11 @@ def op2_shard_minimax(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, folder, "documents"), shards=24)
 
 
+def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return tokens.token_table(_table(spark, folder, "documents"), path)
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_dedup(_table(spark, folder, "documents"))
 
@@ -28,6 +34,6 @@ def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_shard_minimax, op6_exact_dedup, op7_secret_scan, op8_license_scan)}
+    op2_shard_minimax, op5_token_files, op6_exact_dedup, op7_secret_scan, op8_license_scan)}
 
 ORACLE_SQL: dict[str, str] = {"op6_exact_dedup": exact.SQL}
