@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from jobloom.llm import exact, licenses, secrets, sharding, tokens
+from jobloom.llm import decontaminate, exact, licenses, secrets, sharding, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -16,6 +16,11 @@ def op2_shard_minimax(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, folder, "documents"), shards=24)
 
 
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(
+        _table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return tokens.token_table(_table(spark, folder, "documents"), path)
@@ -34,6 +39,6 @@ def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_shard_minimax, op5_token_files, op6_exact_dedup, op7_secret_scan, op8_license_scan)}
+    op2_shard_minimax, op4_decontaminate, op5_token_files, op6_exact_dedup, op7_secret_scan, op8_license_scan)}
 
 ORACLE_SQL: dict[str, str] = {"op6_exact_dedup": exact.SQL}
