@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from jobloom.llm import decontaminate, exact, licenses, secrets, sharding, tokens
+from jobloom.llm import decontaminate, exact, licenses, secrets, sharding, simhash, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.simhash_groups(_table(spark, folder, "documents"))
+
+
 def op2_shard_minimax(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, folder, "documents"), shards=24)
 
@@ -39,6 +43,6 @@ def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_shard_minimax, op4_decontaminate, op5_token_files, op6_exact_dedup, op7_secret_scan, op8_license_scan)}
+    op1_simhash_near_dedup, op2_shard_minimax, op4_decontaminate, op5_token_files, op6_exact_dedup, op7_secret_scan, op8_license_scan)}
 
 ORACLE_SQL: dict[str, str] = {"op6_exact_dedup": exact.SQL}
