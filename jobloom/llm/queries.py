@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from jobloom.llm import decontaminate, exact, licenses, secrets, sharding, simhash, tokens
+from jobloom.llm import (
+    decontaminate, exact, language, licenses, mixing, secrets, sharding, simhash, tokens,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,6 +22,10 @@ def op2_shard_minimax(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, folder, "documents"), shards=24)
 
 
+def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_sources(_table(spark, folder, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(
         _table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
@@ -42,7 +48,11 @@ def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, folder, "documents"))
 
 
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(_table(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_simhash_near_dedup, op2_shard_minimax, op4_decontaminate, op5_token_files, op6_exact_dedup, op7_secret_scan, op8_license_scan)}
+    op1_simhash_near_dedup, op2_shard_minimax, op3_mix_sources, op4_decontaminate, op5_token_files, op6_exact_dedup, op7_secret_scan, op8_license_scan, op9_language_id)}
 
 ORACLE_SQL: dict[str, str] = {"op6_exact_dedup": exact.SQL}
