@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from jobloom.llm.components import components
 from jobloom.session import checkpoint
@@ -226,6 +226,23 @@ def near_links(prints: DataFrame, col: str = "fp") -> DataFrame:
     return cells.select(*key, "r").mapInArrow(_linked, "u long, v long")
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """_id, fp, _k1, _k2 (hashes of id and text), root, component_id, linked of every row."""
+    text = F.col(text_col).cast("string")
+    written = [F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.coalesce(text, F.lit(""))]
+    rows = checkpoint(docs.select(
+        F.col(id_col).alias("_id"), fingerprints(text).alias("fp"),
+        F.xxhash64(*written).alias("_k1"), F.hash(*written).alias("_k2")))
+    prints = checkpoint(rows.groupBy("fp").agg(F.min("_id").alias("least")))
+    roots = components(near_links(prints.select("fp")), "u", "v")
+    named = prints.join(roots, prints.fp == roots.node, "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    groups = named.groupBy("root").agg(
+        F.min("least").alias("component_id"), F.count("*").alias("linked"))
+    labels = checkpoint(named.select("fp", "root").join(groups, "root"))
+    return rows.join(labels, "fp")
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, fingerprint (16 hex digits), component_id, linked (number of
     different fingerprints in the component).
@@ -235,28 +252,23 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     repeat are members like any other; a null id is never the smallest unless all are null;
     an empty table gives no rows; other columns are ignored.
     """
-    rows = checkpoint(docs.select(F.col(id_col).alias("_id"),
-                                  fingerprints(F.col(text_col)).alias("fp")))
-    prints = checkpoint(rows.groupBy("fp").agg(F.min("_id").alias("least")))
-    roots = components(near_links(prints.select("fp")), "u", "v")
-    named = prints.join(roots, prints.fp == roots.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    groups = named.groupBy("root").agg(
-        F.min("least").alias("component_id"), F.count("*").alias("linked"))
-    # Fingerprints without a link are their own group, and need no join.
-    labels = checkpoint(named.join(groups, "root").select("fp", "component_id", "linked"))
-    out = rows.join(labels, "fp")
-    return out.select(F.col("_id").alias(id_col),
-                      F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-                      "component_id", "linked")
+    return _grouped(docs, id_col, text_col).select(
+        F.col("_id").alias(id_col),
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "linked")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group stays: that with the smallest id. All columns are kept.
 
-    Rows that repeat the id that stays are all kept, unless their texts are linked to none.
+    Of rows that share the smallest id, that with the smallest hash stays; of rows that also
+    share the text, any one.
     """
-    stay = simhash_groups(docs, id_col, text_col).filter(
-        F.col(id_col).eqNullSafe(F.col("component_id"))).select(
-        F.col(id_col).alias("_stay")).distinct()
-    return docs.join(stay, F.col(id_col).eqNullSafe(F.col("_stay")), "left_semi")
+    grouped = _grouped(docs, id_col, text_col)
+    first = F.min(F.struct(F.col("_id").isNull(), "_id", "_k1", "_k2"))
+    stay = grouped.groupBy("root").agg(first.alias("s")).select("s._k1", "s._k2")
+    written = [F.coalesce(F.col(id_col).cast("string"), F.lit("-")),
+               F.coalesce(F.col(text_col).cast("string"), F.lit(""))]
+    own = docs.withColumns({"_k1": F.xxhash64(*written), "_k2": F.hash(*written)})
+    same = Window.partitionBy("_k1", "_k2").orderBy("_k1")
+    return own.join(stay, ["_k1", "_k2"]).withColumn("_n", F.row_number().over(same)).filter(
+        "_n = 1").select(*docs.columns)
