@@ -60,6 +60,14 @@ class Windows:
         self.alone[rows[self.length == 1, 0].astype(np.int64)] = True
         self.pairs = np.unique(rows[:, 0].astype(np.int64) * size + rows[:, 1].astype(np.int64))
 
+    @classmethod
+    def of(cls, state: dict) -> Windows:
+        """The windows with the given attributes. Broadcasts hold plain values, so that
+        workers need not import this module."""
+        windows = cls.__new__(cls)
+        windows.__dict__ = state
+        return windows
+
     def suffix_array(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ordered keys and their positions: all suffixes whose first words begin a window.
 
@@ -160,12 +168,12 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     columns are kept.
     """
     sc = docs.sparkSession.sparkContext
-    sent = [sc.broadcast(Windows(b)) for b in _blocks(benchmark, item_col, item_text_col)]
+    sent = [sc.broadcast(vars(Windows(b))) for b in _blocks(benchmark, item_col, item_text_col)]
 
     def finder(group: list):
         @F.arrow_udf(_MATCHES_DDL)
         def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            blocks = [b.value for b in group]
+            blocks = [Windows.of(b.value) for b in group]
             for batch in batches:
                 out = [row for run in _shards(batch.to_pylist()) for row in _search(run, blocks)]
                 yield pa.array(out, type=_MATCHES)

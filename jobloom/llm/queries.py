@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from jobloom.llm import (
-    decontaminate, exact, language, licenses, mixing, secrets, sharding, simhash, tokens,
+    decontaminate, exact, language, licenses, mixing, scoring, secrets, sharding, simhash,
+    tokens,
 )
 
 
@@ -52,7 +53,11 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(_table(spark, folder, "documents"))
 
 
+def op10_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return scoring.score_texts(_table(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_simhash_near_dedup, op2_shard_minimax, op3_mix_sources, op4_decontaminate, op5_token_files, op6_exact_dedup, op7_secret_scan, op8_license_scan, op9_language_id)}
+    op1_simhash_near_dedup, op2_shard_minimax, op3_mix_sources, op4_decontaminate, op5_token_files, op6_exact_dedup, op7_secret_scan, op8_license_scan, op9_language_id, op10_lm_score)}
 
 ORACLE_SQL: dict[str, str] = {"op6_exact_dedup": exact.SQL}
