@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from jobloom.llm.words import ascii_lower, known, words
-from jobloom.session import checkpoint
 
 # The phrases whose places are counted, with their labels.
 PHRASES = {
@@ -53,10 +52,11 @@ LEAST_SCORE = 0.5   # share of the template's words that a verified span holds
 
 
 def _grams(tokens: Column) -> Column:
-    """Hashes of all K-word grams, in order."""
+    """All K-word grams in order: hash, and the words themselves."""
     return F.when(F.size(tokens) >= K, F.transform(
         F.sequence(F.lit(0), F.size(tokens) - K),
-        lambda i: F.xxhash64(*[F.get(tokens, i + j) for j in range(K)])))
+        lambda i: F.struct(F.xxhash64(*[F.get(tokens, i + j) for j in range(K)]).alias("gram"),
+                           F.slice(tokens, i + 1, K).alias("own"))))
 
 
 def _tokens(text_col: str) -> Column:
@@ -74,38 +74,38 @@ def diagonal_spans(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id"
                    text_col: str = "text") -> DataFrame:
     """Verified spans: _id, _text, template, label, first_word, last_word, score.
 
-    Every gram of every document is joined with the template positions of that gram; votes are
-    counted for each (document, template, diagonal), where the diagonal is the document
-    position minus the template position; neighbouring diagonals merge into one span; the
-    span's words are then compared with the template's. Templates are a fixed table of some
-    hundred grams, so they are broadcast; votes are pre-aggregated before they are shuffled,
-    and only documents with votes are read again for the comparison.
+    Every gram of every document is joined with the template positions of that gram, and
+    each match is verified word for word; votes are counted for each (document, template,
+    diagonal), where the diagonal is the document position minus the template position;
+    neighbouring diagonals merge into one span, which is kept when the template words it
+    covers are LEAST_SCORE of the template. Templates are a fixed table of some hundred grams,
+    so they are broadcast: only votes leave the task that reads a document, pre-aggregated.
     """
-    grams = templates.select("template", F.posexplode(_grams(F.col("tokens"))).alias("_t", "gram"))
+    length = F.size("tokens").alias("length")
+    grams = templates.select("template", "label", length, F.posexplode(
+        _grams(F.col("tokens"))).alias("_t", "g")).select(
+        "template", "label", "length", "_t", F.col("g.gram").alias("gram"), F.col("g.own").alias("_w"))
     rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(known(F.col(text_col))).alias("_text"),
                        _tokens(text_col).alias("tokens"))
-    places = rows.select("_id", "_text", F.posexplode(_grams(F.col("tokens"))).alias("_d", "gram"))
-    votes = places.join(F.broadcast(grams), "gram").groupBy(
-        "_id", "_text", "template", (F.col("_d") - F.col("_t")).alias("diagonal")).agg(
-        F.min("_d").alias("first"), F.max("_d").alias("last"))
+    places = rows.select("_id", "_text", F.posexplode(_grams(F.col("tokens"))).alias("_d", "g"))
+    places = places.select("_id", "_text", "_d", F.col("g.gram").alias("gram"),
+                           F.col("g.own").alias("_o"))
+    met = places.join(F.broadcast(grams), "gram").filter(F.col("_o") == F.col("_w"))
+    votes = met.groupBy("_id", "_text", "template", "label", "length",
+                        (F.col("_d") - F.col("_t")).alias("diagonal")).agg(
+        F.min("_d").alias("first"), F.max("_d").alias("last"), F.collect_set("_t").alias("hit"))
     # One document's votes for one template: bounded by the document.
     by = Window.partitionBy("_id", "_text", "template").orderBy("diagonal")
     far = F.col("diagonal") - F.lag("diagonal").over(by) > NEIGHBOUR
     runs = votes.withColumn("_new", F.coalesce(far, F.lit(True)).cast("int")).withColumn(
         "_run", F.sum("_new").over(by))
-    spans = checkpoint(runs.groupBy("_id", "_text", "template", "_run").agg(
+    spans = runs.groupBy("_id", "_text", "template", "label", "length", "_run").agg(
         F.min("first").alias("first_word"), (F.max("last") + K - 1).alias("last_word"),
-        F.min("diagonal").alias("diagonal")))
-    hit = spans.select(F.col("_id").alias("_i"), F.col("_text").alias("_x")).distinct()
-    same = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_text") == F.col("_x"))
-    read = rows.join(hit, same, "left_semi").dropDuplicates(["_id", "_text"]).select(
-        F.col("_id").alias("_i"), F.col("_text").alias("_x"), "tokens")
-    own = templates.select("template", "label", F.col("tokens").alias("_words"))
-    seen = spans.join(read, same).join(F.broadcast(own), "template").withColumn(
-        "_part", F.slice("tokens", F.col("first_word") + 1,
-                         F.col("last_word") - F.col("first_word") + 1))
-    share = F.size(F.array_intersect("_part", "_words")) / F.size(F.array_distinct("_words"))
-    return seen.withColumn("score", share).filter(F.col("score") >= LEAST_SCORE).select(
+        F.array_distinct(F.flatten(F.collect_list("hit"))).alias("hit"))
+    covered = F.array_distinct(F.flatten(F.transform(
+        "hit", lambda t: F.sequence(t, t + (K - 1)))))
+    scored = spans.withColumn("score", F.size(covered) / F.col("length"))
+    return scored.filter(F.col("score") >= LEAST_SCORE).select(
         "_id", "_text", "template", "label", "first_word", "last_word", "score")
 
 
@@ -130,7 +130,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     score.
 
     The base columns report the phrases; ``labels`` adds those of verified spans; ``score`` is
-    the largest share of a template's distinct words found in a verified span, or 0.5 where
+    the largest share of a template's words that a verified span covers, or 0.5 where
     only phrases were found, else 0. Null text counts as empty: no words, null places, empty
     labels. Rows that repeat id and text give equal rows; other columns are ignored.
     """
