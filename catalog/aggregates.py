@@ -218,6 +218,18 @@ def i1(t):
     return shown(clean_jobs(raw_jobs(t), relative_error=0))
 
 
+_IDS = ("case when cast(id as bigint) % 7 = 0 then null when cast(id as bigint) % 11 = 0 "
+        "then ' ' else id end")
+
+
+@case(f"select {_SHOWN_SQL} from ({SILVER_SQL})".replace(
+    f"from ({RAW_JOBS_SQL})", f"from (select * from (select * replace ({_IDS} as id) "
+    f"from ({RAW_JOBS_SQL})) where trim(id) <> '')"))
+def i1_bad_ids(t):
+    """Postings without an id, or with a blank one, are dropped."""
+    return shown(clean_jobs(raw_jobs(t).withColumn("id", F.expr(_IDS)), relative_error=0))
+
+
 CASES = {
     "d1_newest_per_business_key": d1,
     "d2_newest_per_job": d2,
@@ -236,4 +248,5 @@ CASES = {
     "e5_role_skill_demand": e5,
     "e6_stage_counts": e6,
     "i1_silver_jobs": i1,
+    "i1_silver_jobs_without_ids": i1_bad_ids,
 }

@@ -12,7 +12,6 @@ from jobloom.functions import text, values, vectors
 from jobloom.functions.lists import deduplicate_skills, split_skills
 from jobloom.plans.report import ALL_SECTIONS, ANY_SECTION
 from jobloom.plans.silver import select_raw
-from jobloom.session import spread
 
 
 @case(f"""
@@ -38,7 +37,7 @@ def c2(t):
 @case(r"""select doc_id, md5(regexp_replace(lower(text), '[\s\x{0b}]+', ' ', 'g')) as description
           from documents""")
 def c3(t):
-    return spread(t.documents).select(
+    return t.documents.select(
         "doc_id", F.md5(text.clean_description("text")).alias("description"))
 
 
@@ -73,7 +72,7 @@ def c5(t):
 @case(f"""select doc_id, md5(coalesce(lower({sql_collapse(sql_strip("nullif(text, '')"))}), ''))
         as normalized from documents""")
 def c6(t):
-    return spread(t.documents).select("doc_id", F.md5(text.normalize_text("text")).alias("normalized"))
+    return t.documents.select("doc_id", F.md5(text.normalize_text("text")).alias("normalized"))
 
 
 def _sql_cleaned(e: str) -> str:
@@ -91,7 +90,7 @@ def c7(t):
                            F.col("html").alias("body"))
     docs = t.documents.select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"),
                               F.col("text").alias("body"))
-    return spread(pages.union(docs)).select(
+    return pages.union(docs).select(
         "kind", "id", F.md5(text.clean_job_description("body")).alias("cleaned"))
 
 
@@ -100,7 +99,7 @@ def c7(t):
         as skills from documents""")
 def c8(t):
     words = F.split("text", " ")
-    return spread(t.documents).select(
+    return t.documents.select(
         "doc_id", F.array_join(deduplicate_skills(words), "|").alias("skills"))
 
 
@@ -184,10 +183,9 @@ def c19(t):
                '. Candidate skills: ', skills) as question_query
       from ({PROFILES_SQL})""")
 def c20(t):
-    role = F.coalesce("target_role", F.lit(""))
     return profiles(t).select(
-        "profile_id", text.job_query_text(role, "skills").alias("job_query"),
-        text.question_query_text(role, "skills").alias("question_query"))
+        "profile_id", text.job_query_text("target_role", "skills").alias("job_query"),
+        text.question_query_text("target_role", "skills").alias("question_query"))
 
 
 def _sql_contains(phrases, glue: str) -> str:
@@ -203,7 +201,7 @@ def _sql_contains(phrases, glue: str) -> str:
         {_sql_contains(ALL_SECTIONS, 'and')} as all_sections
       from documents""")
 def c21(t):
-    return spread(t.documents).select(
+    return t.documents.select(
         "doc_id", text.word_count("text").cast("bigint").alias("words"),
         text.line_count("text").cast("bigint").alias("lines"),
         text.mentions_any("text", ("the", "und")).alias("some"),

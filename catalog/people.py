@@ -15,12 +15,14 @@ from catalog.vectors import (
 from jobloom.functions.text import line_count, word_count
 from jobloom.functions.vectors import cosine_similarity
 from jobloom.plans import career
-from jobloom.plans.report import ALL_SECTIONS, ANY_SECTION, evaluation_report
+from jobloom.plans.report import (
+    ALL_SECTIONS, ANY_SECTION, evaluation_report, similarity_scores, write_report,
+)
 from jobloom.plans.roadmap import (
     PROMPT_QUESTIONS, PROMPT_ROLES, PROMPT_SKILLS, ROADMAP_GAPS, ROADMAP_QUESTIONS,
     ROADMAP_ROLES, ROADMAP_SKILLS, PromptWording, RoadmapWording,
 )
-from jobloom.session import checkpoint
+from jobloom.session import checkpoint, scratch_path
 
 # One row per profile with its four lists, in SQL.
 ROWS_SQL = f"""with hits as materialized ({SHORTLIST_SQL}),
@@ -161,6 +163,25 @@ def _all(phrases, glue):
     return f" {glue} ".join(f"contains(lower(text), '{p}')" for p in phrases)
 
 
+def _scored(t):
+    return _with_centre(t).select(
+        "vec_id", F.size("embedding").alias("dim"),
+        F.round(cosine_similarity("embedding", "c"), 9).alias("score"))
+
+
+@case("""select e.vec_id as id, round(list_cosine_similarity(
+        e.embedding::double[], c.embedding::double[]), 6) as score
+      from embeddings e join (select vec_id as label, embedding from embeddings) c using (label)""")
+def i8_scores(t):
+    """All scores, written and read again."""
+    path = scratch_path(t.spark, "report")
+    scored = _scored(t)
+    write_report(evaluation_report(skill_lists(t), scored, t.documents, "text"), path,
+                 similarity_scores(scored, "vec_id"))
+    back = t.spark.read.schema("id long, score double").json(f"{path}_scores")
+    return back.select("id", F.round("score", 6).alias("score"))
+
+
 @case(f"""with s as ({SCORES_SQL}),
       v as (select vec_id, list_cosine_similarity(e.embedding::double[], c.embedding::double[]) as c
             from embeddings e join (select vec_id as label, embedding from embeddings) c
@@ -169,18 +190,13 @@ def _all(phrases, glue):
         (select cast(count(*) as bigint) from v) as n_scores, cast(64 as bigint) as dim,
         (select round(avg(c), 6) from v) as mean_similarity,
         (select round(min(c), 6) from v) as min_similarity,
-        (select string_agg(vec_id, '|' order by vec_id) from (
-          select vec_id from v order by round(c, 9) desc, vec_id limit 10)) as best,
         (select cast(sum(len(list_filter(regexp_split_to_array(text, '{SQL_WS}+'),
           lambda w: w <> ''))) as bigint) from documents) as words,
         (select cast(count(*) as bigint) from documents where {_all(ANY_SECTION, 'or')}) as any_of,
         (select cast(count(*) as bigint) from documents where {_all(ALL_SECTIONS, 'and')}) as all_of
       from s""")
 def i8(t):
-    scored = _with_centre(t).select(
-        "vec_id", F.size("embedding").alias("dim"),
-        F.round(cosine_similarity("embedding", "c"), 9).alias("score"))
-    report = evaluation_report(skill_lists(t), scored, "vec_id", t.documents, "text")
+    report = evaluation_report(skill_lists(t), _scored(t), t.documents, "text")
     s, e, r = "skill_extraction", "embeddings", "roadmap"
     return report.select(
         *[F.col(f"{s}.{c}") for c in ("total_tp", "total_fp", "total_fn")],
@@ -188,8 +204,6 @@ def i8(t):
         F.col(f"{e}.embedding_dimension").cast("bigint").alias("dim"),
         F.round(f"{e}.mean_similarity", 6).alias("mean_similarity"),
         F.round(f"{e}.min_similarity", 6).alias("min_similarity"),
-        F.array_join(F.transform(f"{e}.similarity_scores", lambda x: x["id"].cast("string")),
-                     "|").alias("best"),
         F.col(f"{r}.output_word_count").alias("words"),
         F.col(f"{r}.with_any_section").alias("any_of"),
         F.col(f"{r}.with_all_sections").alias("all_of"))
@@ -201,4 +215,5 @@ CASES = {
     "i6_roadmap_texts": i6,
     "i7_prompt_texts": i7,
     "i8_evaluation_report": i8,
+    "i8_similarity_scores": i8_scores,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog.aggregates import SCORES_SQL, skill_lists
@@ -17,18 +19,14 @@ from jobloom.sources import jobs as job_files
 from jobloom.sources import tables
 
 
-@case(f"""select strftime(try_cast(created as timestamp), '%Y-%m-%d') as dt,
-        cast(count(*) as bigint) as rows, cast(sum(length(description)) as bigint) as chars
-      from ({RAW_JOBS_ONCE_SQL}) group by 1""")
+@case(f"""select id as job_id, strftime(try_cast(created as timestamp), '%Y-%m-%d') as dt,
+        md5(description) as description from ({RAW_JOBS_ONCE_SQL})""")
 def b1(t):
     path = scratch_path(t.spark, "jobs")
-    cleaned = clean_fields(select_raw(raw_jobs_once(t)))
-    tables.write_silver(cleaned.withColumn("chars", F.length("title")), path)
-    back = tables.read_silver(t.spark, path)
-    raw = raw_jobs_once(t).select(F.col("id").alias("job_id"),
-                                  F.length("description").alias("raw_chars"))
-    return back.join(raw, "job_id").groupBy(F.col("dt").cast("string").alias("dt")).agg(
-        F.count("*").alias("rows"), F.sum("raw_chars").alias("chars"))
+    tables.write_silver(clean_fields(select_raw(raw_jobs_once(t))), path)
+    return tables.read_silver(t.spark, path).select(
+        "job_id", F.col("dt").cast("string").alias("dt"),
+        F.md5("description").alias("description"))
 
 
 @case("select cast(doc_id as string) as id, md5(text) as description, lang as title from documents")
@@ -125,6 +123,55 @@ def b8(t):
         *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1_score")])
 
 
+@case(f"""with r as (select *, cast(id as bigint) % 2 = 0 as again from ({RAW_JOBS_ONCE_SQL}))
+      select id as job_id,
+        case when again then 'second ' else '' end || lower(trim(title)) as title,
+        redirect_url as url,
+        trim(company) || case when again then '|more' else '' end as skills,
+        round(case when again then embedding[64] else embedding[1] end::double, 6) as first
+      from r join embeddings on cast(vec_id as string) = id""")
+def b_warehouse(t):
+    """Two loads through the warehouse: half of the postings come again, changed. The second
+    load's address is not taken over, its title and vector are, its skill is added."""
+    w = tables.Warehouse(t.spark, f"jobloom_{uuid.uuid4().hex[:12]}",
+                         scratch_path(t.spark, "warehouse"), dim=64, buckets=4)
+    w.ensure_tables()
+    first = clean_fields(select_raw(raw_jobs_once(t)))
+    again = F.col("job_id").cast("bigint") % 2 == 0
+    second = first.filter(again).withColumns({
+        "title": F.concat(F.lit("second "), "title"), "url": F.lit("another")})
+    vectors = t.embeddings.select(F.col("vec_id").cast("string").alias("job_id"), "embedding")
+    skills = first.select("job_id", F.col("company").alias("skill"))
+    for rows, found, vector in (
+            (first, skills, vectors),
+            (second, skills.union(second.select("job_id", F.lit("more"))),
+             vectors.filter(again).withColumn("embedding", F.reverse("embedding")))):
+        w.upsert_jobs(rows)
+        w.add_skills("job_skills_ner", found)
+        w.upsert_embeddings("job_embeddings", vector)
+    listed = w.table("job_skills_ner").groupBy("job_id").agg(F.array_sort(F.collect_list(
+        F.struct((F.col("skill") == "more").alias("added"), "skill"))).alias("s"))
+    return w.table("jobs").join(w.table("job_embeddings"), "job_id").join(listed, "job_id").select(
+        "job_id", "title", "url",
+        F.array_join(F.transform("s", lambda x: x["skill"]), "|").alias("skills"),
+        F.round(F.col("embedding")[0].cast("double"), 6).alias("first"))
+
+
+@case("""select row_number() over (order by conv_id, turn) as q_id, md5(text) as question,
+        role as topic, true as stamped from conversations""")
+def b_questions(t):
+    """Questions loaded twice through the warehouse: ids start anew, vectors are emptied."""
+    w = tables.Warehouse(t.spark, f"jobloom_{uuid.uuid4().hex[:12]}",
+                         scratch_path(t.spark, "warehouse"), dim=64, buckets=4)
+    w.ensure_tables()
+    rows = t.conversations.select("conv_id", "turn", F.col("text").alias("question"),
+                                  F.col("role").alias("topic"), F.lit("talk").alias("source"))
+    for _ in range(2):
+        loaded = w.reload_questions(rows, [F.col("conv_id").asc(), F.col("turn").asc()])
+    return loaded.select("q_id", F.md5("question").alias("question"), "topic",
+                         F.col("created_at").isNotNull().alias("stamped"))
+
+
 _BAD = "case when event_type = 'error' then 'soon' else {ts} end"
 
 
@@ -157,6 +204,8 @@ CASES = {
     "b5_insert_new_pairs": b5,
     "b6_upsert_vectors": b6,
     "b7_b11_reload_with_ids": b7,
+    "b3_b6_warehouse_loads": b_warehouse,
+    "b7_b11_warehouse_questions": b_questions,
     "b8_report_json": b8,
     "b9_load_coercion": b9,
     "b10_vector_text": b10,

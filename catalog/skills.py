@@ -9,7 +9,6 @@ from jobloom.functions.skills import extract_skills
 from jobloom.functions.vocabulary import default_vocabulary, phrase_rows
 from jobloom.operators.phrases import match_phrases
 from jobloom.plans.enrichment import question_skills, skill_pairs
-from jobloom.session import spread
 
 # No vocabulary phrase occurs in the test texts, so every document gets two: all phrases
 # in turn, then spellings that should and should not match.
@@ -37,7 +36,7 @@ def skill_docs(t):
         at = (F.col("doc_id") * step % len(items) + 1).cast("int")
         return F.element_at(F.split(F.lit("\u0001".join(items)), "\u0001"), at)
 
-    return spread(t.documents).select("doc_id", "lang", F.concat_ws(
+    return t.documents.select("doc_id", "lang", F.concat_ws(
         " ", "text", pick(INJECTED, 1), F.lit("end"), pick(_SPELLINGS, 5)).alias("body"))
 
 
@@ -82,7 +81,7 @@ WORDS = {"english": ["the", "of the", "and", "with by"], "german": ["und", "in n
                 phrase_rows(WORDS, stopwords=("french",))))
 def g1(t):
     found = extract_skills("text", WORDS, stopwords=("french",))
-    return spread(t.documents).select("doc_id", F.array_join(found, "|").alias("skills"))
+    return t.documents.select("doc_id", F.array_join(found, "|").alias("skills"))
 
 
 @case(lists_sql(SKILL_DOCS_SQL, _ROWS))
@@ -108,7 +107,7 @@ def g2_table(t):
     words = F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))
     vocabulary = t.benchmark.select(F.explode(words).alias("phrase")).distinct().withColumn(
         "skill", F.col("phrase"))
-    return match_phrases(spread(t.documents), "doc_id", "text", vocabulary).groupBy("doc_id").agg(
+    return match_phrases(t.documents, "doc_id", "text", vocabulary).groupBy("doc_id").agg(
         F.count("*").alias("words"))
 
 

@@ -89,6 +89,46 @@ def i3(t):
     return kept.select(F.md5("question").alias("question"), "topic")
 
 
+@case(f"""with q as (select trim(text) as question from benchmark
+        union all select regexp_replace(trim(text), '\\s+', ' ', 'g') from benchmark
+        union all select 'item ' || doc_id || ' ' || lang from documents)
+      select md5(question) as question, 'technical' as topic from (
+        select distinct {sql_strip('question')} as question from q) where question <> ''""")
+def i3_folder(t):
+    """One folder with a CSV that begins with a blank line, numbered and tabbed text, HTML."""
+    root = scratch_path(t.spark, "folder")
+    quoted = F.concat(F.lit('"'), F.replace(F.trim("text"), F.lit('"'), F.lit('""')), F.lit('"'))
+    t.benchmark.select(F.concat(F.lit("\n  \nQuestions\n"), quoted)).repartition(3).write.option(
+        "lineSep", "\n").option("maxRecordsPerFile", 1).text(f"{root}/csv")
+    line = F.regexp_replace(F.trim("text"), r"\s+", " ")
+    number = F.col("item_id").cast("string")
+    t.benchmark.select(F.concat(number, F.when(F.col("item_id") % 2 == 0, ". ").otherwise("\t"),
+                                line)).write.text(f"{root}/lists")
+    item = F.concat(F.lit("<li>item "), F.col("doc_id").cast("string"), F.lit(" <b>"), "lang",
+                    F.lit("</b></li>"))
+    t.documents.select(item).write.text(f"{root}/pages")
+    for part, kind in (("csv", "csv"), ("lists", "txt"), ("pages", "html")):
+        _rename(t.spark, f"{root}/{part}", kind)
+    raw = questions.read_question_folder(t.spark, f"{root}/*")
+    return clean_questions(raw, questions.row_order()).select(
+        F.md5("question").alias("question"), "topic")
+
+
+def _rename(spark, folder, kind):
+    """Text files under the name that a reader looks for."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    for f in fs.listStatus(place):
+        old = f.getPath()
+        if old.getName().endswith(".txt"):
+            fs.rename(old, jvm.org.apache.hadoop.fs.Path(place, old.getName()[:-3] + kind + ".tmp"))
+    for f in fs.listStatus(place):
+        old = f.getPath()
+        if old.getName().endswith(".tmp"):
+            fs.rename(old, jvm.org.apache.hadoop.fs.Path(place, old.getName()[:-4]))
+
+
 @case("""with o as (select regexp_replace(trim(text), '\\s+', ' ', 'g') as q from benchmark)
       select 'numbered' as form, md5(q) as question, 'technical' as topic from o
       union all select 'tabbed', md5(q), 'technical' from o""")
@@ -126,7 +166,7 @@ def a5(t):
                                   F.col("role").alias("topic"))
     rows.write.json(f"{root}/interview_raw_20251205_220439.jsonl")
     rows.write.json(f"{root}/interview_raw_20251206_010203.jsonl")
-    newest = questions.latest_snapshot(questions.read_snapshots(t.spark, f"{root}/*"))
+    newest = questions.read_latest_snapshot(t.spark, f"{root}/*")
     return newest.select(F.md5("question").alias("question"), "topic", F.date_format(
         "loaded_at", "yyyy-MM-dd HH:mm:ss").alias("loaded_at"))
 
@@ -184,6 +224,7 @@ def a7(t):
 
 
 CASES = {
+    "i3_question_folder": i3_folder,
     "a1_bronze_jobs_scan": a1,
     "a2_silver_scan": a2,
     "a3_c12_c13_question_csv_folder": a3,

@@ -18,7 +18,7 @@ from jobloom.operators.retrieval import (
 )
 from jobloom.plans.career import shortlist_jobs, shortlist_questions
 from jobloom.plans.enrichment import enrich_jobs, pairs_of
-from jobloom.session import scratch_path, spread
+from jobloom.session import scratch_path
 from jobloom.sources.questions import union_sources
 
 DIM = 256
@@ -32,7 +32,7 @@ def _unit_checks(df, key):
 @case(f"""select doc_id, cast({DIM} as bigint) as dim, case when trim(text) = '' then 0.0
         else 1.0 end as norm from documents""")
 def h1(t):
-    return _unit_checks(embed_text_column(spread(t.documents), "text", dim=DIM), "doc_id")
+    return _unit_checks(embed_text_column(t.documents, "text", dim=DIM), "doc_id")
 
 
 def letter_encoder():
@@ -51,20 +51,18 @@ _LETTERS = ", ".join(
 
 
 @case(f"""with v as (select doc_id, [{_LETTERS}]::double[] as v from documents)
-      select doc_id,
-        round((v[1] / sqrt(list_sum(list_transform(v, lambda x: x * x))))::float::double, 5) as a,
-        round((v[5] / sqrt(list_sum(list_transform(v, lambda x: x * x))))::float::double, 5) as e
+      select doc_id, array_to_string(list_transform(v, lambda y: cast(round(1e4 * (y / sqrt(
+        list_sum(list_transform(v, lambda x: x * x))))::float::double) as bigint)), ' ') as letters
       from v""")
 def h1_model(t):
-    v = encode_texts(spread(t.documents).select("doc_id", "text"), "text", letter_encoder)
-    return v.select("doc_id", *[F.round(F.col("embedding")[i].cast("double"), 5).alias(n)
-                                for i, n in ((0, "a"), (4, "e"))])
+    v = encode_texts(t.documents.select("doc_id", "text"), "text", letter_encoder)
+    return v.select("doc_id", F.array_join(F.transform("embedding", lambda x: F.round(
+        x.cast("double") * 1e4).cast("bigint").cast("string")), " ").alias("letters"))
 
 
 @case(f"""select profile_id, cast({DIM} as bigint) as dim, 1.0 as norm from ({PROFILES_SQL})""")
 def h2(t):
-    texts = profiles(t).select("profile_id", job_query_text(
-        F.coalesce("target_role", F.lit("any")), "skills").alias("query"))
+    texts = profiles(t).select("profile_id", job_query_text("target_role", "skills").alias("query"))
     return _unit_checks(embed_queries(texts, "query", dim=DIM), "profile_id")
 
 
@@ -176,12 +174,11 @@ def h8_questions(t):
             list_distance(p.embedding::double[], v.embedding::double[]), v.vec_id) as rank
         from embeddings p, embeddings v) where rank <= 5""")
 def h8_grid(t):
-    """All vectors against all vectors, by the way taken when the queries are too many to
-    hand to every task."""
+    """All vectors against all vectors, the queries in several blocks."""
     queries = t.embeddings.select(F.col("vec_id").alias("profile_id"), "embedding")
     corpus = t.embeddings.select(F.col("vec_id").alias("job_id"), "embedding")
     found = nearest_for_all(queries, corpus, "profile_id", "job_id", 5,
-                            query_bytes=0, cell_bytes=1 << 17)
+                            block_bytes=1 << 16)
     return _hits(found, "job_id")
 
 

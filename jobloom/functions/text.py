@@ -90,14 +90,22 @@ def default_topic(topic: Column | str, default: str = "technical") -> Column:
     return F.coalesce(_col(topic), F.lit(default))
 
 
+# The two sentences that are embedded for a profile.
+JOB_QUERY = "Target role: %s. Current skills: %s"
+QUESTION_QUERY = "Technical interview questions for %s. Candidate skills: %s"
+
+
+def _filled(sentence: str, *parts: Column | str) -> Column:
+    """The sentence with its parts; a missing part leaves its place empty."""
+    return F.format_string(sentence, *[F.coalesce(_col(p), F.lit("")) for p in parts])
+
+
 def job_query_text(role: Column | str, skills: Column | str) -> Column:
-    return F.format_string("Target role: %s. Current skills: %s", _col(role), _col(skills))
+    return _filled(JOB_QUERY, role, skills)
 
 
 def question_query_text(role: Column | str, skills: Column | str) -> Column:
-    return F.format_string(
-        "Technical interview questions for %s. Candidate skills: %s", _col(role), _col(skills)
-    )
+    return _filled(QUESTION_QUERY, role, skills)
 
 
 def word_count(c: Column | str) -> Column:

@@ -21,27 +21,28 @@ def first_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[C
     return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
 
 
-def newest_posting(df: DataFrame, text_order: bool = True) -> DataFrame:
+def newest_posting(df: DataFrame, text_hash: Column | None = None) -> DataFrame:
     """One row per (title, company, location), the newest.
 
-    Full ties are settled by the description. A caller that needs no text turns that off,
-    and the texts are not even read.
+    Full ties are settled by the description's hash, which may be handed in for rows that
+    leave their texts elsewhere.
     """
     key = duplicate_key("title", "company", "location")
-    return first_per_key(df.withColumn("_dup", key), ["_dup"], _newest_first(text_order)).drop(
+    return first_per_key(df.withColumn("_dup", key), ["_dup"], _newest_first(text_hash)).drop(
         "_dup")
 
 
-def newest_per_job(df: DataFrame) -> DataFrame:
-    return first_per_key(df, ["job_id"], _newest_first())
+def newest_per_job(df: DataFrame, text_hash: Column | None = None) -> DataFrame:
+    return first_per_key(df, ["job_id"], _newest_first(text_hash))
 
 
-def _newest_first(text_order: bool = True) -> list[Column]:
-    order = [
+def _newest_first(text_hash: Column | None = None) -> list[Column]:
+    text_hash = F.xxhash64("description") if text_hash is None else text_hash
+    return [
         F.col("posted_ts").desc_nulls_last(), F.col("job_id").asc(),
         F.col("url").asc(), F.col("title").asc(), F.col("salary_mid").desc_nulls_last(),
+        text_hash.asc(),
     ]
-    return order + [F.xxhash64("description").asc()] if text_order else order
 
 
 def first_question(df: DataFrame, order: Sequence[Column]) -> DataFrame:

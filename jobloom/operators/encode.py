@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+import sys
+import types
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
@@ -26,29 +30,49 @@ def hashed_vectors(df: DataFrame, text: str, dim: int = 256,
         "_words", "_counts", "_scaled")
 
 
+def _loaded(name: str, make_encoder: Callable[[], Encoder]) -> Encoder:
+    """The encoder of this worker process, made at the first call.
+
+    Functions travel inside their task, so a module of this package is new in every task; the
+    encoder is kept in a module of its own, which lives as long as the process. One encoder
+    is kept at a time.
+    """
+    home = sys.modules.setdefault("_jobloom_encoder", types.ModuleType("_jobloom_encoder"))
+    if getattr(home, "name", None) != name:
+        home.encode = None
+        home.encode, home.name = make_encoder(), name
+    return home.encode
+
+
+def _lists(vectors: np.ndarray, known: np.ndarray) -> pa.Array:
+    """Rows of a matrix as an Arrow list column, null where a row is not known."""
+    dim = vectors.shape[1] if vectors.ndim == 2 else 0
+    ends = np.concatenate([[0], np.cumsum(known) * dim]).astype(np.int32)
+    mask = pa.array(~known) if len(known) else None
+    return pa.ListArray.from_arrays(
+        pa.array(ends), pa.array(vectors.astype(np.float32).ravel()), mask=mask)
+
+
 def encode_texts(df: DataFrame, text: str, make_encoder: Callable[[], Encoder],
                  batch_size: int = 32, output: str = "embedding") -> DataFrame:
     """Vectors from a caller's model.
 
-    ``make_encoder`` runs once per task and returns a function from texts to a 2-d array;
-    it is fed ``batch_size`` texts at a time. Rows without text get a null vector.
+    ``make_encoder`` runs once per worker process and returns a function from texts to a 2-d
+    array; it is fed ``batch_size`` texts at a time. Rows without text get a null vector.
     """
+    name = hashlib.sha256(cloudpickle.dumps(make_encoder)).hexdigest()
 
     @F.arrow_udf("array<float>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encode = make_encoder()
+        encode = _loaded(name, make_encoder)
         for batch in batches:
-            texts = batch.to_pylist()
-            known = [i for i, t in enumerate(texts) if t is not None]
-            out: list = [None] * len(texts)
-            for at in range(0, len(known), batch_size):
-                rows = known[at:at + batch_size]
-                found = np.asarray(encode([texts[i] for i in rows]), dtype=np.float64)
-                length = np.linalg.norm(found, axis=1, keepdims=True)
-                scaled = found / np.where(length > 0, length, 1.0)
-                for i, v in zip(rows, scaled.astype(np.float32)):
-                    out[i] = v
-            yield pa.array(out, type=pa.list_(pa.float32()))
+            known = np.asarray(batch.is_valid())
+            texts = batch.drop_null().to_pylist()
+            found = [np.asarray(encode(texts[at:at + batch_size]), dtype=np.float64)
+                     for at in range(0, len(texts), batch_size)]
+            matrix = np.concatenate(found) if found else np.zeros((0, 0))
+            length = np.linalg.norm(matrix, axis=1, keepdims=True)
+            yield _lists(matrix / np.where(length > 0, length, 1.0), known)
 
     return df.withColumn(output, run(_col(text)))
 

@@ -2,7 +2,8 @@
 
 Word sequences of the texts are joined to the phrases, so the vocabulary may be as large
 as a table. For a vocabulary that fits in code use ``functions.skills`` instead: it needs
-no join at all. Both give the same pairs.
+no join at all. Both give the same pairs under the default rule for symbols at a phrase's
+edge; this form knows no other.
 """
 
 from __future__ import annotations
@@ -11,6 +12,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from jobloom.functions.skills import WORD, fold
 from jobloom.functions.text import _col
+from jobloom.session import checkpoint
+
+# The vocabulary filter takes up to two to this power bits: 2 MiB.
+MOST_BITS = 24
 
 _GAP = r"[^\p{L}\p{N}_]+"
 
@@ -44,23 +49,35 @@ def word_sequences(text: Column, shapes: list[tuple[int, bool, bool]]) -> Column
     return F.array_distinct(F.transform(F.concat(*found), fold))
 
 
+def _known_bits(entries: DataFrame, bits: int) -> DataFrame:
+    """One row: which of ``bits`` hash values occur among the phrases, 64 to a number."""
+    at = entries.select(F.pmod(F.xxhash64("phrase"), F.lit(bits)).alias("h")).select(
+        F.floor(F.col("h") / 64).alias("word"), F.expr("shiftleft(1L, cast(h % 64 as int))").alias("bit"))
+    words = at.groupBy("word").agg(F.bit_or("bit").alias("w"))
+    every = entries.sparkSession.range(bits // 64).withColumnRenamed("id", "word")
+    listed = F.array_sort(F.collect_list(F.struct(
+        "word", F.coalesce("w", F.lit(0).cast("long")).alias("w"))))
+    return every.join(words, "word", "left").agg(F.transform(listed, lambda s: s["w"]).alias("bits"))
+
+
 def match_phrases(df: DataFrame, key: str, text: Column | str,
-                  vocabulary: DataFrame, salts: int = 8) -> DataFrame:
+                  vocabulary: DataFrame) -> DataFrame:
     """Unique (key, skill) rows for a vocabulary of (phrase, skill) rows.
 
-    Only sequences shaped like some phrase are taken out of the texts, each once per text.
-    A word that stands in most texts is spread over ``salts`` groups by the text's key, and
-    every phrase is there in each of them.
+    Only sequences shaped like some phrase are taken out of the texts, each once per text, and
+    only those whose hash some phrase has leave their task: the filter has 16 bits a phrase (at
+    most MOST_BITS, past which it lets more through, never less). What is left of a word that
+    stands in most texts is split at run time, as in any join of uneven keys.
     """
-    entries = vocabulary.select(fold(F.trim("phrase")).alias("phrase"), "skill").filter(
-        "phrase <> ''").dropDuplicates()
+    entries = checkpoint(vocabulary.select(fold(F.trim("phrase")).alias("phrase"), "skill").filter(
+        "phrase <> ''").dropDuplicates())
     # One row per shape: the longest phrase has a handful of words.
     shapes = [tuple(r) for r in entries.select(*_shape(F.col("phrase"))).distinct().collect()]
     if not shapes:
         return df.select(key, F.lit("").alias("skill")).filter("false")
-    runs = df.select(key, F.pmod(F.xxhash64(key), F.lit(salts)).alias("salt"),
-                     F.explode(word_sequences(_col(text), sorted(shapes))).alias("phrase"))
-    everywhere = entries.withColumn(
-        "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    return runs.join(everywhere, ["phrase", "salt"]).select(key, "skill").dropDuplicates(
-        [key, "skill"])
+    bits = 1 << min(MOST_BITS, max(10, (16 * entries.count()).bit_length()))
+    place = F.pmod(F.xxhash64("phrase"), F.lit(bits))
+    known = F.get(_known_bits(entries, bits).scalar(), F.floor(place / 64).cast("int"))
+    runs = df.select(key, F.explode(word_sequences(_col(text), sorted(shapes))).alias("phrase"))
+    near = runs.filter(F.getbit(known, F.pmod(place, F.lit(64)).cast("int")) == 1)
+    return near.join(entries, "phrase").select(key, "skill").dropDuplicates([key, "skill"])

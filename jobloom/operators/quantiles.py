@@ -1,6 +1,6 @@
-"""Quartiles and the interquartile-range rule, kept inside the plan.
+"""Quartiles and the interquartile-range rule.
 
-Nothing is collected: the quartiles reach the rows as a scalar subquery.
+The quartiles reach the rows as a scalar subquery.
 """
 
 from __future__ import annotations
@@ -8,10 +8,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-# Accuracy of the first look of the exact search: it leaves about 4/LOOK of the rows.
-LOOK = 2_000
+from jobloom.session import checkpoint
+
+# Points of the grid that each look takes inside a bracket.
+GRID = 200
+# Values that are fetched and put in order at the end.
+FEW = 10_000
 
 
 def approximate_quantiles(
@@ -24,38 +28,48 @@ def approximate_quantiles(
 
 
 def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:
-    """One row, one array ``q``: for each p the value at rank ceil(p * n).
+    """One row, one array ``q``: for each p the value at rank ceil(p * n); empty when the
+    column holds no value.
 
-    A first aggregate brackets each wanted rank between two approximate quantiles. The
-    second counts what lies below each bracket and how often each value inside occurs;
-    equal values are counted before the shuffle. Only bracketed values are put in order.
+    The values alone are checkpointed. A search then narrows a bracket around each rank: a
+    sketch proposes three values inside the bracket, and exact counts of what lies below and
+    at each of them settle which part holds the rank. So a poor sketch costs another look but
+    never a wrong value, and no task or window ever orders more than FEW values.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).filter("v is not null")
-    ends = [e for p in probabilities for e in (max(p - 2 / LOOK, 0.0), min(p + 2 / LOOK, 1.0))]
-    look = values.agg(F.struct(
-        F.percentile_approx("v", ends, LOOK).alias("ends"), F.count("*").alias("n")).alias("s"))
-    probes = []
-    for i, p in enumerate(probabilities):
-        low = F.col("s.ends")[2 * i] if p > 2 / LOOK else F.lit(float("-inf"))
-        high = F.col("s.ends")[2 * i + 1] if p < 1 - 2 / LOOK else F.lit(float("inf"))
-        rank = F.greatest(F.ceil(F.lit(float(p)) * F.col("s.n")), F.lit(1))
-        probes.append(F.when(F.col("v") <= high, F.struct(
-            F.lit(i).alias("i"), rank.alias("rank"),
-            F.when(F.col("v") >= low, F.col("v")).alias("v"))))
-    counts = (
-        values.withColumn("s", look.scalar())
-        .select(F.explode(F.filter(F.array(*probes), lambda x: x.isNotNull())).alias("x"))
-        .groupBy("x.i", "x.rank", "x.v").agg(F.count("*").alias("n"))
-    )
-    # Values below the bracket carry a null, which sorts first.
-    upto = Window.partitionBy("i").orderBy(F.col("v").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, 0)
-    hits = (
-        counts.withColumn("upto", F.sum("n").over(upto)).filter("upto >= rank")
-        .groupBy("i").agg(F.min("v").alias("v"))
-    )
-    ordered = F.array_sort(F.collect_list(F.struct("i", "v")))
-    return hits.agg(F.transform(ordered, lambda s: s["v"]).alias("q"))
+    values = checkpoint(df.select(F.col(column).cast("double").alias("v")).filter("v is not null"))
+    n = values.count()
+    found = [_at_rank(values, n, max(1, math.ceil(float(p) * n))) for p in probabilities] if n else []
+    row = F.array(*map(F.lit, found)) if found else F.array()
+    return df.sparkSession.range(1).select(row.cast("array<double>").alias("q"))
+
+
+def _at_rank(values: DataFrame, n: int, rank: int) -> float:
+    """The value at ``rank`` (from 1) among ``n``."""
+    inside, below, size = values, 0, n
+    while size > FEW:
+        grid = inside.agg(F.percentile_approx(
+            "v", [i / GRID for i in range(GRID + 1)], 10 * GRID)).first()[0]
+        place = (rank - below) / size * GRID
+        tries = sorted({grid[min(GRID, max(0, int(place) + d))] for d in (-1, 0, 2)})
+        counts = inside.agg(*[c for i, x in enumerate(tries) for c in (
+            F.count_if(F.col("v") < x).alias(f"under{i}"), F.count_if(F.col("v") <= x).alias(f"upto{i}"))
+        ]).first()
+        low, high = below, below + size
+        for i, x in enumerate(tries):
+            under, upto = below + counts[f"under{i}"], below + counts[f"upto{i}"]
+            if under < rank <= upto:
+                return x
+            if upto < rank and upto >= low:
+                low, inside = upto, inside.filter(F.col("v") > x)
+            elif under >= rank and under <= high:
+                high, inside = under, inside.filter(F.col("v") < x)
+        below, size = low, high - low
+    rows = inside.groupBy("v").agg(F.count("*").alias("n")).collect()
+    for r in sorted(rows, key=lambda r: (math.isnan(r.v), r.v)):
+        below += r.n
+        if below >= rank:
+            return r.v
+    raise AssertionError("the rank lies outside its bracket")
 
 
 def quantiles(df: DataFrame, column: str, probabilities: Sequence[float],

@@ -12,12 +12,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from jobloom.functions.vectors import euclidean_distance, similarity
 from jobloom.session import checkpoint
 
-# Query vectors up to this many bytes go to every task; more are spread over a grid.
-QUERY_BYTES = 64 << 20
-# Rows of one grid cell side, in bytes of vectors.
-CELL_BYTES = 64 << 20
-# Scan tasks per core, at most.
-TASKS_PER_CORE = 4
+# Keys and vectors of the queries that one scan of the corpus carries to its tasks.
+BLOCK_BYTES = 64 << 20
+# One row in so many is measured first, to bound each query's k-th distance.
+SAMPLE = 64
 # Queries measured together, and candidate pairs measured exactly together, in a task.
 _BLOCK, _MEASURED = 256, 1 << 16
 
@@ -78,10 +76,11 @@ def _slack(dim: int, kind) -> float:
 class _Block:
     """The k nearest seen so far for each of a few hundred queries."""
 
-    def __init__(self, queries: np.ndarray, k: int):
+    def __init__(self, queries: np.ndarray, k: int, bound: np.ndarray | None = None):
+        """``bound``: squared distances that the k nearest are known not to exceed."""
         self.queries, self.k = queries, k
         self.square = (queries.astype(np.float64) ** 2).sum(axis=1)
-        self.bound = np.full(len(queries), np.inf)
+        self.bound = np.full(len(queries), np.inf) if bound is None else bound.copy()
         self.q = np.zeros(0, dtype=np.int64)
         self.d = np.zeros(0)
         self.key: np.ndarray | None = None
@@ -108,7 +107,9 @@ class _Block:
     def _measure(self, q, r, keys, rows) -> None:
         """Exact distances of the candidates, merged and cut to k per query."""
         apart = self.queries[q].astype(np.float64) - rows[r]
-        d = np.sqrt((apart * apart).sum(axis=1))
+        square = (apart * apart).sum(axis=1)
+        known = square <= self.bound[q]
+        q, r, d = q[known], r[known], np.sqrt(square[known])
         near = keys[r] if self.key is None else np.concatenate([self.key, keys[r]])
         q, d = np.concatenate([self.q, q]), np.concatenate([self.d, d])
         order = np.lexsort((near, d, q))
@@ -117,15 +118,17 @@ class _Block:
         kept = place < self.k
         self.q, self.d, self.key = q[kept], d[kept], near[kept]
         full = place[kept] == self.k - 1
-        self.bound[self.q[full]] = self.d[full] ** 2
+        # Not below the square that the root was taken of.
+        self.bound[self.q[full]] = np.nextafter(self.d[full] ** 2 * (1 + 1e-15), np.inf)
 
 
 class _Best:
     """All queries of a task, in blocks small enough to merge cheaply."""
 
-    def __init__(self, queries: np.ndarray, k: int):
-        self.blocks = [(at, _Block(queries[at:at + _BLOCK], k))
-                       for at in range(0, len(queries), _BLOCK)]
+    def __init__(self, queries: np.ndarray, k: int, bound: np.ndarray | None = None):
+        self.blocks = [
+            (at, _Block(queries[at:at + _BLOCK], k, None if bound is None else bound[at:at + _BLOCK]))
+            for at in range(0, len(queries), _BLOCK)]
 
     def add(self, keys: np.ndarray, rows: np.ndarray) -> None:
         square = (rows.astype(np.float64) ** 2).sum(axis=1)
@@ -156,84 +159,64 @@ def _output(queries: DataFrame, corpus: DataFrame, query_key: str, key: str) ->
     ])
 
 
-def _scan_with_queries(queries: DataFrame, corpus: DataFrame, query_key: str, key: str,
-                       k: int, out: T.StructType) -> DataFrame:
-    """Every task holds all queries and reads its own part of the corpus once.
-
-    A task hands on k rows per query, so the number of tasks is kept to a few per core:
-    splits are read one after the other by the same task, with nothing shuffled.
-    """
+def _scan(held: pa.Table, bound: np.ndarray | None, corpus: DataFrame, query_key: str, key: str,
+          k: int, out: T.StructType) -> DataFrame:
+    """Every task holds one block of queries and reads its own part of the corpus in place."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    held = queries.toArrow()
     query_keys, matrix = _keys(held[query_key]), _matrix(held["embedding"])
     schema = to_arrow_schema(out)
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _Best(matrix, k)
+        best = _Best(matrix, k, bound)
         for batch in batches:
             best.add(_keys(batch.column(key)), _matrix(batch.column("embedding")))
         yield from _result(best, query_keys, schema).to_batches()
 
-    spark = corpus.sparkSession
-    tasks = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism,
-                int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return corpus.select(key, "embedding").coalesce(tasks).mapInArrow(scan, out)
-
-
-def _grid(queries: DataFrame, corpus: DataFrame, query_key: str, key: str, k: int,
-          out: T.StructType, query_blocks: int, corpus_blocks: int) -> DataFrame:
-    """Both sides in hashed blocks; each pair of blocks is one group of bounded size.
-
-    Blocks come from a hash of the key, so they are even whatever the vectors look like.
-    """
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    schema = to_arrow_schema(out)
-
-    def block(column: str, n: int) -> Column:
-        return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
+    return corpus.mapInArrow(scan, out)
 
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    left = queries.select(query_key, F.col("embedding"), block(query_key, query_blocks).alias("_q"),
-                          every(corpus_blocks).alias("_c"))
-    right = corpus.select(key, F.col("embedding"), block(key, corpus_blocks).alias("_c"),
-                          every(query_blocks).alias("_q"))
+def _cut(found: DataFrame, query_key: str, key: str, k: int) -> DataFrame:
+    rank = F.row_number().over(
+        Window.partitionBy(query_key).orderBy(F.col("distance").asc(), F.col(key).asc()))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k)
 
-    def meet(q: pa.Table, c: pa.Table) -> pa.Table:
-        best = _Best(_matrix(q["embedding"]), k)
-        keys, rows = _keys(c[key]), _matrix(c["embedding"])
-        for at in range(0, len(rows), 1 << 14):
-            best.add(keys[at:at + (1 << 14)], rows[at:at + (1 << 14)])
-        return _result(best, _keys(q[query_key]), schema)
 
-    return left.groupBy("_q", "_c").cogroup(right.groupBy("_q", "_c")).applyInArrow(meet, out)
+def _bounds(held: pa.Table, corpus: DataFrame, query_key: str, key: str, k: int,
+            out: T.StructType) -> np.ndarray:
+    """Squared distances that each query's k nearest cannot exceed: those of its k-th nearest
+    in a hashed sample, which can only be farther away. One number per query comes back."""
+    sample = corpus.filter(F.pmod(F.xxhash64(key), F.lit(SAMPLE)) == 0)
+    kth = _cut(_scan(held, None, sample, query_key, key, k, out), query_key, key, k).filter(
+        F.col("rank") == k).select(query_key, "distance").toArrow()
+    found = dict(zip(kth[query_key].to_pylist(), kth["distance"].to_pylist()))
+    d = np.array([found.get(q, np.inf) for q in held[query_key].to_pylist()], dtype=float)
+    return np.nextafter(d ** 2 * (1 + 1e-15), np.inf)
 
 
 def nearest_for_all(queries: DataFrame, corpus: DataFrame, query_key: str, key: str,
-                    k: int, query_bytes: int = QUERY_BYTES,
-                    cell_bytes: int = CELL_BYTES) -> DataFrame:
+                    k: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """For every query its k nearest corpus rows: (query_key, key, distance, rank).
 
-    Pairs are measured inside the tasks as matrix products; a task hands on at most k rows
-    per query. Ties are broken by key. Both inputs hold their key and ``embedding``. The
-    queries are checkpointed first: they are needed twice, and a model may have made them.
+    The queries are cut into hashed blocks of at most about ``block_bytes``; for each block the
+    corpus is scanned where it lies, pairs being measured inside the tasks as matrix products.
+    A sample first bounds every query's k-th distance, so that a task hands on only what may
+    be among the k nearest of the whole corpus; the result is exact. Ties are broken by key.
+    Rows without a vector are left out on both sides. The queries are checkpointed first: they
+    are needed twice, and a model may have made them.
     """
     out = _output(queries, corpus, query_key, key)
     queries = checkpoint(
         queries.select(query_key, "embedding").filter(F.col("embedding").isNotNull()))
     corpus = corpus.select(key, "embedding").filter(F.col("embedding").isNotNull())
-    size = queries.agg(
-        F.coalesce(F.sum(F.size("embedding")), F.lit(0)).alias("cells")).first()["cells"] * 4
-    if size <= query_bytes:
-        found = _scan_with_queries(queries, corpus, query_key, key, k, out)
-    else:
-        total = corpus.agg(
-            F.coalesce(F.sum(F.size("embedding")), F.lit(0)).alias("cells")).first()["cells"] * 4
-        found = _grid(queries, corpus, query_key, key, k, out,
-                      math.ceil(size / cell_bytes), max(1, math.ceil(total / cell_bytes)))
-    rank = F.row_number().over(
-        Window.partitionBy(query_key).orderBy(F.col("distance").asc(), F.col(key).asc()))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k)
+    own = F.size("embedding") * 4 + F.coalesce(F.octet_length(F.col(query_key).cast("string")), F.lit(0))
+    size = queries.agg(F.coalesce(F.sum(own), F.lit(0)).alias("bytes")).first()["bytes"]
+    blocks = max(1, math.ceil(size / block_bytes))
+    found = None
+    for block in range(blocks):
+        mine = F.pmod(F.xxhash64(query_key), F.lit(blocks)) == block
+        held = queries.filter(mine).toArrow()
+        bound = _bounds(held, corpus, query_key, key, k, out)
+        part = _scan(held, bound, corpus, query_key, key, k, out)
+        found = part if found is None else found.unionByName(part)
+    return _cut(found, query_key, key, k)

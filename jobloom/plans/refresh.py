@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import SparkSession
 
 from jobloom.operators.counts import counted
@@ -10,8 +12,8 @@ from jobloom.plans.enrichment import (
 )
 from jobloom.plans.questions import clean_questions
 from jobloom.plans.silver import clean_jobs
-from jobloom.sources.jobs import read_bronze
-from jobloom.sources.questions import read_question_csvs, row_order
+from jobloom.sources.jobs import land_jobs, read_bronze, read_pages, write_bronze
+from jobloom.sources.questions import QUESTION_NAMES, read_question_folder, row_order
 from jobloom.sources.tables import Warehouse, read_silver, write_silver
 
 
@@ -39,14 +41,34 @@ def refresh_jobs(spark: SparkSession, bronze: str, silver: str, warehouse: Wareh
     return {"found": found.get["rows"], "cleaned": kept.get["rows"], "pairs": pairs.get["rows"]}
 
 
+def land_and_refresh(spark: SparkSession, pages: str, bronze: str, date: str, silver: str,
+                     warehouse: Warehouse, make_encoder=None,
+                     relative_error: float = 0.05) -> dict[str, int]:
+    """From the landed API pages: flatten and land them as one day of bronze, then refresh."""
+    write_bronze(land_jobs(read_pages(spark, pages)), bronze, date)
+    return refresh_jobs(spark, bronze, silver, warehouse, make_encoder, relative_error)
+
+
 def refresh_questions(spark: SparkSession, folder: str, warehouse: Warehouse,
-                      make_encoder=None) -> dict[str, int]:
-    """Question files to freshly numbered questions, their vectors and skills."""
+                      make_encoder=None, silver: str | None = None, skip_name: str = "behavioral",
+                      candidates: Sequence[str] = QUESTION_NAMES,
+                      topic: str = "technical") -> dict[str, int]:
+    """Question files of every kind to freshly numbered questions, their vectors and skills.
+
+    With ``silver``, the three tables are also written there as parquet.
+    """
     warehouse.ensure_tables()
-    cleaned = clean_questions(read_question_csvs(spark, folder), row_order())
-    questions = warehouse.reload_questions(cleaned, row_order())
-    warehouse.upsert_embeddings(
-        "interview_embeddings", question_vectors(questions, make_encoder, warehouse.dim))
-    warehouse.replace_skills("interview_skills_ner", question_skills(questions, unique_key=True))
+    raw = read_question_folder(spark, folder, skip_name, candidates, topic)
+    questions = warehouse.reload_questions(clean_questions(raw, row_order()), row_order())
+    vectors = question_vectors(questions, make_encoder, warehouse.dim)
+    skills = question_skills(questions, unique_key=True)
+    if silver:
+        for name, table in (("interview_questions", questions), ("interview_skills_ner", skills),
+                            ("interview_embeddings", vectors)):
+            table.write.mode("overwrite").parquet(f"{silver}/{name}")
+        vectors = read_silver(spark, f"{silver}/interview_embeddings")
+        skills = read_silver(spark, f"{silver}/interview_skills_ner")
+    warehouse.upsert_embeddings("interview_embeddings", vectors)
+    warehouse.replace_skills("interview_skills_ner", skills)
     # Numbering reads its input twice, so the count comes from the written table's footers.
     return {"loaded": questions.count()}

@@ -14,21 +14,21 @@ ANY_SECTION = ("skill gap", "roadmap", "week", "project", "networking")
 ALL_SECTIONS = ("top skill gaps", "12-week learning roadmap", "networking", "alternative roles")
 
 
-def similarity_summary(scored: DataFrame, key: str, dim: Column | str = "dim",
-                       score: str = "score", shown: int = 10) -> DataFrame:
-    """Dimension and spread of the scores, with the ``shown`` best (key, score) pairs."""
-    best = (
-        scored.select(key, score).orderBy(F.col(score).desc_nulls_last(), F.col(key).asc())
-        .limit(shown)
-        .agg(F.array_sort(F.collect_list(F.struct(F.col(key).alias("id"), F.col(score)))))
-    )
+def similarity_scores(scored: DataFrame, key: str, score: str = "score") -> DataFrame:
+    """Every score as a row (id, score): the table that belongs to the summary."""
+    return scored.select(F.col(key).alias("id"), F.col(score).alias("score"))
+
+
+def similarity_summary(scored: DataFrame, dim: Column | str = "dim",
+                       score: str = "score") -> DataFrame:
+    """Dimension and spread of the scores, in one pass."""
     return scored.agg(
         F.max(dim).alias("embedding_dimension"),
         F.count(score).alias("n_scores"),
         F.avg(score).alias("mean_similarity"),
         F.min(score).alias("min_similarity"),
         F.max(score).alias("max_similarity"),
-    ).withColumn("similarity_scores", best.scalar())
+    )
 
 
 def text_summary(texts: DataFrame, text: str, any_of: Sequence[str] = ANY_SECTION,
@@ -44,11 +44,12 @@ def text_summary(texts: DataFrame, text: str, any_of: Sequence[str] = ANY_SECTIO
     )
 
 
-def evaluation_report(lists: DataFrame, scored: DataFrame, key: str, texts: DataFrame,
+def evaluation_report(lists: DataFrame, scored: DataFrame, texts: DataFrame,
                       text: str, ignore_case: bool = False) -> DataFrame:
     """One row of three structs, ready for ``write.json``.
 
-    ``lists`` holds ``truth`` and ``predicted`` arrays, ``scored`` holds (key, dim, score).
+    ``lists`` holds ``truth`` and ``predicted`` arrays, ``scored`` holds (dim, score). The
+    scores themselves are rows of their own: see ``similarity_scores``.
     """
     def packed(df: DataFrame) -> Column:
         return df.select(F.struct(*df.columns)).scalar()
@@ -57,10 +58,13 @@ def evaluation_report(lists: DataFrame, scored: DataFrame, key: str, texts: Data
     return spark.range(1).select(
         packed(evaluate_lists(lists, "truth", "predicted", ignore_case))
         .alias("skill_extraction"),
-        packed(similarity_summary(scored, key)).alias("embeddings"),
+        packed(similarity_summary(scored)).alias("embeddings"),
         packed(text_summary(texts, text)).alias("roadmap"),
     )
 
 
-def write_report(report: DataFrame, path: str) -> None:
+def write_report(report: DataFrame, path: str, scores: DataFrame | None = None) -> None:
+    """The report as JSON; all scores, where given, as JSON lines beside it."""
     report.write.mode("overwrite").json(path)
+    if scores is not None:
+        scores.write.mode("overwrite").json(f"{path.rstrip('/')}_scores")

@@ -8,6 +8,7 @@ from jobloom.functions.text import clean_description, clean_title
 from jobloom.functions.values import mid_salary, posted_timestamp, to_double
 from jobloom.operators.dedupe import newest_per_job, newest_posting
 from jobloom.operators.quantiles import null_outliers
+from jobloom.session import checkpoint, scratch_path
 
 _RENAMED = {"id": "job_id", "latitude": "lat", "longitude": "lon",
             "created": "posted_raw", "redirect_url": "url"}
@@ -24,6 +25,11 @@ def select_raw(bronze: DataFrame) -> DataFrame:
     return bronze.select(*out)
 
 
+def with_id(raw: DataFrame) -> DataFrame:
+    """Postings without an id are dropped, and so are lines that could not be read."""
+    return raw.filter(F.trim("job_id") != "")
+
+
 def clean_fields(raw: DataFrame) -> DataFrame:
     """All cleaned columns but the description."""
     return raw.withColumns({
@@ -39,16 +45,26 @@ def clean_descriptions(rows: DataFrame) -> DataFrame:
     return rows.withColumn("description", clean_description("description"))
 
 
+# What the two dedupes decide by, beside the row's place and the text's hash.
+_DECIDING = ("job_id", "title", "company", "location", "url", "posted_ts", "salary_mid")
+
+
 def clean_jobs(bronze: DataFrame, relative_error: float = 0.05) -> DataFrame:
     """Clean, keep the newest posting per business key, null salary outliers, keep the
     newest row per job. Outliers are judged between the two dedupes.
 
-    No key depends on the description, so only the rows that remain have theirs cleaned.
-    The quartiles read only the key, time and salary columns a second time; the texts go
-    through the two dedupes once.
+    Bronze is read once: the cleaned rows go to shared storage with a number each. Both
+    dedupes and the quartiles work on the deciding columns alone, and the rows that remain
+    are joined to their texts, which are moved this one time and cleaned only then.
     """
-    cleaned = clean_fields(select_raw(bronze))
-    kept = newest_per_job(null_outliers(
-        newest_posting(cleaned), "salary_mid", relative_error,
-        source=newest_posting(cleaned, text_order=False)))
-    return clean_descriptions(kept)
+    spark = bronze.sparkSession
+    path = scratch_path(spark, "cleaned")
+    cleaned = clean_fields(with_id(select_raw(bronze)))
+    cleaned.withColumns({"_row": F.monotonically_increasing_id(),
+                         "_hash": F.xxhash64("description")}).write.parquet(path)
+    rows = spark.read.parquet(path)
+    deciding = rows.select("_row", "_hash", *_DECIDING)
+    distinct = checkpoint(newest_posting(deciding, F.col("_hash")))
+    kept = newest_per_job(null_outliers(distinct, "salary_mid", relative_error), F.col("_hash"))
+    whole = rows.drop("salary_mid", "_hash").join(kept.select("_row", "salary_mid"), "_row")
+    return clean_descriptions(whole.select(*cleaned.columns))

@@ -58,10 +58,3 @@ def checkpoint(df):
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def spread(df):
-    """Use all cores on a small input: a frame read straight from files whose splits are
-    fewer than the cores is dealt out anew. Larger inputs are returned as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -49,8 +49,11 @@ class Warehouse:
     """
 
     def __init__(self, spark: SparkSession, database: str, location: str,
-                 dim: int, buckets: int = 8):
+                 dim: int, buckets: int = 8, keep: int = 2):
+        """``keep``: versions of a table that stay, the current one included; readers of an
+        older one must be done by then."""
         self.spark, self.database, self.dim, self.buckets = spark, database, dim, buckets
+        self.keep = max(1, keep)
         self.location = location.rstrip("/")
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.location}'")
 
@@ -82,11 +85,21 @@ class Warehouse:
     def _publish(self, spec: TableSpec, df: DataFrame, version: int) -> None:
         store = self._store(spec.name, version)
         path = f"{self.location}/{spec.name}/version={version}"
-        (df.select(*spec.schema.fieldNames()).write.mode("overwrite").format("parquet")
+        # Dealt by the key into the buckets, so that a bucket is one file.
+        (df.select(*spec.schema.fieldNames()).repartition(self.buckets, *spec.key).write.mode("overwrite").format("parquet")
            .bucketBy(self.buckets, *spec.key).option("path", path).saveAsTable(store))
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self._full(spec.name)} "
             f"TBLPROPERTIES ('jobloom.version' = '{version}') AS SELECT * FROM {store}")
+        old = version - self.keep
+        if old >= 0:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._store(spec.name, old)}")
+            self._delete(f"{self.location}/{spec.name}/version={old}")
+
+    def _delete(self, path: str) -> None:
+        jvm, jsc = self.spark._jvm, self.spark._jsc
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(jsc.hadoopConfiguration()).delete(place, True)
 
     def _replace(self, name: str, df: DataFrame) -> None:
         self._publish(TABLES[name], df, self._version(name) + 1)
@@ -108,12 +121,11 @@ class Warehouse:
         self._replace("jobs", upsert(self.table("jobs"), stage, spec.key, spec.update_columns))
 
     def add_skills(self, name: str, pairs: DataFrame) -> None:
-        """Append unseen pairs; known ones are left alone."""
+        """Add unseen pairs; known ones are left alone."""
         spec = TABLES[name]
         stage = pairs.select(*[F.col(f.name).cast(f.dataType) for f in spec.schema.fields])
-        fresh = new_pairs(self.table(name), stage, spec.key)
-        (fresh.write.mode("append").format("parquet").bucketBy(self.buckets, *spec.key)
-              .saveAsTable(self._store(name, self._version(name))))
+        known = self.table(name)
+        self._replace(name, known.unionByName(new_pairs(known, stage, spec.key)))
 
     def replace_skills(self, name: str, pairs: DataFrame) -> None:
         """All pairs anew, for ids that were numbered anew."""

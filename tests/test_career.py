@@ -1,12 +1,15 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from jobloom.functions.vectors import cosine_similarity
 from jobloom.operators.demand import role_skill_demand, top_skills
 from jobloom.operators.encode import embed_text_column
 from jobloom.plans import career, enrichment
-from jobloom.plans.report import ALL_SECTIONS, ANY_SECTION, evaluation_report, write_report
+from jobloom.plans.report import (
+    ALL_SECTIONS, ANY_SECTION, evaluation_report, similarity_scores, write_report,
+)
 from jobloom.plans.roadmap import RoadmapWording, prompt_text, roadmap_text
 from jobloom.session import scratch_path
 
@@ -117,11 +120,13 @@ def test_report(spark):
     scored = embed_text_column(docs, "t").withColumn("q", query).select(
         "id", F.size("embedding").alias("dim"),
         cosine_similarity("embedding", "q").alias("score"))
-    report = evaluation_report(lists, scored, "id", docs, "t")
+    report = evaluation_report(lists, scored, docs, "t")
     path = scratch_path(spark, "report")
-    write_report(report, path)
+    write_report(report, path, similarity_scores(scored, "id"))
     got = json.loads(spark.read.text(path).first()[0])
     assert got["skill_extraction"]["total_tp"] == 1
     assert got["embeddings"]["embedding_dimension"] == 256
-    assert [s["id"] for s in got["embeddings"]["similarity_scores"]] == [1, 2]
+    assert got["embeddings"]["n_scores"] == 2
+    scores = spark.read.json(f"{path}_scores").orderBy("id").collect()
+    assert [(s["id"], s["score"]) for s in scores] == [(1, pytest.approx(2 ** -0.5)), (2, 0.0)]
     assert got["roadmap"]["output_word_count"] == 3

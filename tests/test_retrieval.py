@@ -32,9 +32,9 @@ def found(df, key):
     return out
 
 
-@pytest.mark.parametrize("query_bytes", [1 << 20, 0])
+@pytest.mark.parametrize("block_bytes", [1 << 20, 200])
 @pytest.mark.parametrize("kind", ["long", "string"])
-def test_nearest_for_all_equals_brute_force(spark, query_bytes, kind):
+def test_nearest_for_all_equals_brute_force(spark, block_bytes, kind):
     rng = np.random.default_rng(0)
     # A third of the corpus is one vector.
     corpus = rng.normal(size=(300, 8)).astype(np.float32)
@@ -43,7 +43,7 @@ def test_nearest_for_all_equals_brute_force(spark, query_bytes, kind):
     name = (lambda i: i) if kind == "long" else (lambda i: f"j{i}")
     got = nearest_for_all(frame(spark, "profile_id", queries),
                           frame(spark, "job_id", corpus, kind).repartition(5),
-                          "profile_id", "job_id", 7, query_bytes=query_bytes, cell_bytes=1 << 11)
+                          "profile_id", "job_id", 7, block_bytes=block_bytes)
     assert found(got, "job_id") == brute(
         queries.astype(float), corpus.astype(float), 7, name)
 
@@ -71,6 +71,17 @@ def test_fewer_rows_than_asked_for(spark):
     assert nearest_for_all(q.limit(0), c, "profile_id", "job_id", 10).count() == 0
 
 
+def test_corpus_is_not_shuffled(spark, tmp_path):
+    frame(spark, "job_id", np.random.default_rng(2).normal(size=(200, 4))).write.parquet(
+        str(tmp_path / "c"))
+    got = nearest_for_all(frame(spark, "profile_id", np.eye(4)), spark.read.parquet(
+        str(tmp_path / "c")), "profile_id", "job_id", 3, block_bytes=40)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") > 1 and not any(
+        x in plan for x in ("Join", "Repartition", "Generate"))
+    assert got.count() == 12
+
+
 @settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.lists(st.integers(-2, 2), min_size=3, max_size=3), min_size=1, max_size=40))
 def test_many_equal_distances(spark, matrix):
@@ -138,3 +149,22 @@ def test_own_encoder_gets_small_batches(spark):
 def test_empty_query_is_an_error(spark):
     with pytest.raises(Exception, match="query text is empty"):
         encode.embed_queries(spark.createDataFrame([("",)], "t string"), "t").collect()
+
+
+def test_model_is_loaded_once_per_worker(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def make():
+        import os
+        import uuid
+
+        open(f"{folder}/{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+        return lambda texts: np.ones((len(texts), 3))
+
+    df = spark.createDataFrame([(str(i) if i % 5 else None,) for i in range(400)], "t string")
+    for _ in range(2):
+        got = encode.encode_texts(df.repartition(32), "t", make).collect()
+        assert sum(r["embedding"] is None for r in got) == 80
+        assert all(len(r["embedding"]) == 3 for r in got if r["embedding"] is not None)
+    loads = [p.name.split("-")[0] for p in tmp_path.iterdir()]
+    assert len(loads) == len(set(loads))

@@ -123,3 +123,37 @@ def test_missing_bronze_is_an_error(spark, tmp_path):
 def test_sql_with_parameters(spark):
     df = tables.run_query(spark, "select id from range(10) where id >= :low", {"low": 8})
     assert sorted(r["id"] for r in df.collect()) == [8, 9]
+
+
+def test_blank_first_lines_are_no_header(spark, tmp_path):
+    put(f"{tmp_path}/a.csv", "\n  \nquestion,topic\nWhat?,tech\n")
+    assert [r["question"] for r in questions.read_question_csvs(spark, str(tmp_path)).collect()] == [
+        "What?"]
+
+
+def test_question_folder_of_every_kind(spark, tmp_path):
+    put(f"{tmp_path}/a.csv", "Frage,topic\nWhat?,tech\n")
+    put(f"{tmp_path}/dl.txt", "1. Padding\nheading\n")
+    put(f"{tmp_path}/ml.txt", "S.No\tQuestions\n1\tRMSE\n")
+    put(f"{tmp_path}/p.html", "<ul><li>Why?</li></ul>")
+    put(f"{tmp_path}/behavioral.txt", "1. Weakness\n")
+    read = lambda **k: sorted((r["question"], r["topic"]) for r in
+                              questions.read_question_folder(spark, str(tmp_path), **k).collect())
+    lists = [("Padding", "technical"), ("RMSE", "technical"), ("Why?", "technical")]
+    with pytest.warns(UserWarning, match="a.csv"):
+        assert read() == lists
+    assert read(candidates=["frage"]) == sorted([*lists, ("What?", "tech")])
+    (tmp_path / "none").mkdir()
+    with pytest.raises(FileNotFoundError):
+        questions.read_question_folder(spark, str(tmp_path / "none"))
+
+
+def test_latest_snapshot_opens_the_newest_files_alone(spark, tmp_path):
+    put(f"{tmp_path}/raw_20250101_000000.jsonl", '{"question": "old"}\n')
+    put(f"{tmp_path}/raw_20250102_000000.jsonl", '{"question": "new"}\n')
+    got = questions.read_latest_snapshot(spark, str(tmp_path))
+    assert [r["question"] for r in got.collect()] == ["new"]
+    assert [f.rsplit("/", 1)[1] for f in got.inputFiles()] == ["raw_20250102_000000.jsonl"]
+    put(f"{tmp_path}/x/raw.jsonl", '{"question": "?"}\n')
+    with pytest.raises(FileNotFoundError):
+        questions.read_latest_snapshot(spark, f"{tmp_path}/x")

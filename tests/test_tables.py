@@ -1,5 +1,6 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -237,3 +238,47 @@ def test_refresh_from_files_to_warehouse(spark, tmp_path):
             (1, 16), (2, 16)]
     demand = spark.table("careers_refresh.v_role_skill_demand")
     assert ("dev 1", "kafka", 1) in rows(demand)
+
+
+def test_buckets_are_files_and_old_versions_go(spark, tmp_path):
+    w = Warehouse(spark, "careers_files", str(tmp_path / "w"), dim=2, buckets=3, keep=2)
+    w.ensure_tables()
+    for n in range(4):
+        w.upsert_jobs(jobs_frame(spark, [dict(job_id=str(i), title=f"t{n}") for i in range(500)]))
+    versions = sorted(p.name for p in (tmp_path / "w" / "jobs").iterdir())
+    assert versions == ["version=3", "version=4"]
+    files = list((tmp_path / "w" / "jobs" / "version=4").glob("part-*.parquet"))
+    assert len(files) == 3 and w.table("jobs").filter("title = 't3'").count() == 500
+
+
+def test_truncated_lines_do_not_stop_a_load(spark, tmp_path):
+    day = tmp_path / "bronze" / "date=2024-01-05"
+    day.mkdir(parents=True)
+    (day / "a.jsonl").write_text('{"id": "1", "title": "Dev", "description": "python"}\n'
+                                 '{"id": "2", "title": "Ops"\n{"title": "No id"}\n')
+    w = Warehouse(spark, "careers_truncated", scratch_path(spark, "warehouse"), dim=4, buckets=2)
+    got = refresh_jobs(spark, str(tmp_path / "bronze"), str(tmp_path / "silver"), w)
+    assert got["cleaned"] == 1 and w.table("jobs").count() == 1
+
+
+def test_bronze_is_read_once(spark, tmp_path):
+    from jobloom.sources.jobs import read_bronze, write_bronze
+
+    write_bronze(bronze(spark, [dict(id="1", title="a", description="x")]), str(tmp_path / "b"),
+                 "2024-01-05")
+    plan = clean_jobs(read_bronze(spark, str(tmp_path / "b")), 0)._jdf.queryExecution().toString()
+    assert "json" not in plan.lower().replace("jsonl", "")
+
+
+@pytest.mark.parametrize("few", [3, 10_000])
+def test_exact_quantiles_with_one_value_in_most_rows(spark, monkeypatch, few):
+    from jobloom.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "FEW", few)
+    values = [5.0] * 700 + [float(i) for i in range(200)] + [float("nan")] * 3
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double").repartition(7)
+    ordered = sorted(values[:-3])
+    ps = [0.0, 0.01, 0.1, 0.25, 0.5, 0.8, 0.95]
+    want = [ordered[max(1, int(np.ceil(p * 903))) - 1] for p in ps]
+    assert quantiles.exact_quantiles(df, "x", ps).first()["q"] == want
+    assert quantiles.exact_quantiles(df.filter("x < 0"), "x", ps).first()["q"] == []
