@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from jobloom.llm.words import ALNUM_WORD, TO_LOWER
+from jobloom.llm.words import ALNUM_WORD, LOWER, TO_LOWER, UPPER
 
 WINDOW = 13              # words of a window; a shorter item is one window
 SHARD_WORDS = 1 << 20    # words under one suffix array
@@ -244,3 +244,41 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "
     hit = F.aggregate(F.zip_with("_m.ends", "_m.starts", lambda e, s: e - s),
                       F.lit(0).cast("long"), lambda a, x: a + x)
     return found.filter(~_is_contaminated(hit, F.col("_m.n_words"))).select(*docs.columns)
+
+
+_SQL_WORDS = (f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), "
+              f"'{ALNUM_WORD}')")
+SQL = f"""
+with w as (select doc_id, {_SQL_WORDS} as ws from documents),
+b as (select item_id, {_SQL_WORDS} as ws from benchmark),
+windows as (
+  select distinct item_id, array_to_string(ws[k:k + {WINDOW - 1}], ' ') as win,
+    least({WINDOW}, len(ws)) as n
+  from (select *, unnest(range(1, greatest(1, len(ws) - {WINDOW - 1}) + 1)) as k from b
+        where len(ws) > 0)),
+places as (select doc_id, ws, unnest(range(1, len(ws) + 1)) as k from w),
+hits as (
+  select doc_id, k, p.n, item_id from (
+    select doc_id, k, n, array_to_string(ws[k:k + n - 1], ' ') as win
+    from places, (select distinct n from windows) where k + n - 1 <= len(ws)) p
+  join windows using (win) where p.n = windows.n),
+hit as (select distinct doc_id, unnest(range(k, k + n)) as pos from hits),
+runs as (
+  select doc_id, min(pos) as lo, count(*) as size from (
+    select doc_id, pos, pos - row_number() over (partition by doc_id order by pos) as run from hit)
+  group by doc_id, run),
+longest as (
+  select doc_id, max(size) as longest_match, min(lo) filter (size = most) - 1 as first_match,
+    sum(size) as n_hit
+  from (select *, max(size) over (partition by doc_id) as most from runs) group by doc_id),
+items as (
+  select doc_id, count(*) as n_items, string_agg(i, ',' order by i) as ids
+  from (select distinct doc_id, cast(item_id as varchar) as i from hits where item_id is not null)
+  group by doc_id)
+select doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+  cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(ws) as contaminated,
+  cast(coalesce(longest_match, 0) as bigint) as longest_match,
+  cast(first_match as bigint) as first_match
+from w left join longest using (doc_id) left join items using (doc_id)
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from jobloom.llm.words import ascii_lower, known, words
+from jobloom.llm.words import ALNUM_WORD, LOWER, UPPER, ascii_lower, known, words
 
 # The phrases whose places are counted, with their labels.
 PHRASES = {
@@ -160,3 +160,49 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.array_join(F.array_sort(F.array_union(F.col("_base"), labels)), ",").alias("labels"),
         F.coalesce(F.col("_score"), F.when(F.col("n_base") > 0, F.lit(0.5)), F.lit(0.0)).alias(
             "score"))
+
+
+def _sql() -> str:
+    """The same scan in SQL: grams as texts instead of hashes."""
+    split = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{ALNUM_WORD}')"
+    places = " union all ".join(
+        f"select doc_id, k - 1 as pos, '{label}' as label from p where "
+        + " and ".join(f"ws[k + {j}] = '{w}'" for j, w in enumerate(phrase.split(" ")))
+        for phrase, label in PHRASES.items())
+    texts = ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(TEMPLATES))
+    return f"""
+with w as (select doc_id, {split} as ws from documents),
+p as (select doc_id, ws, unnest(range(1, len(ws) + 1)) as k from w),
+base as ({places}),
+t as (select template, label, {split} as ws from (values {texts}) as v(template, label, text)),
+g as (select template, label, len(ws) as length, k, array_to_string(ws[k:k + {K - 1}], ' ') as gram
+  from (select *, unnest(range(1, len(ws) - {K - 2})) as k from t)),
+votes as (
+  select doc_id, template, label, length, p.k as d, g.k as t, p.k - g.k as diagonal
+  from p join g on array_to_string(ws[p.k:p.k + {K - 1}], ' ') = gram
+  where p.k + {K - 1} <= len(ws)),
+marked as (
+  select *, sum(fresh) over (partition by doc_id, template order by diagonal) as run from (
+    select *, case when diagonal - lag(diagonal) over (
+        partition by doc_id, template order by diagonal) <= {NEIGHBOUR} then 0 else 1 end as fresh
+    from (select distinct doc_id, template, diagonal from votes))),
+spans as (
+  select doc_id, label, count(distinct pos) / length as score from (
+    select doc_id, template, label, length, run, unnest(range(t, t + {K})) as pos
+    from votes join marked using (doc_id, template, diagonal))
+  group by doc_id, template, label, length, run),
+method as (select doc_id, list(distinct label) as labels, max(score) as score
+  from spans where score >= {LEAST_SCORE} group by doc_id),
+counted as (select doc_id, count(*) as n, min(pos) as lo, max(pos) as hi,
+  list(distinct label) as labels from base group by doc_id)
+select doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(n, 0) as bigint) as n_base,
+  cast(lo as bigint) as first_word, cast(hi as bigint) as last_word,
+  array_to_string(list_sort(coalesce(c.labels, [])), ',') as base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(c.labels, []),
+    coalesce(m.labels, [])))), ',') as labels,
+  coalesce(m.score, case when n > 0 then 0.5 end, 0.0)::double as score
+from w left join counted c using (doc_id) left join method m using (doc_id)
+"""
+
+
+SQL = _sql()

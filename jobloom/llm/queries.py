@@ -60,4 +60,9 @@ def op10_lm_score(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_shard_minimax, op3_mix_sources, op4_decontaminate, op5_token_files, op6_exact_dedup, op7_secret_scan, op8_license_scan, op9_language_id, op10_lm_score)}
 
-ORACLE_SQL: dict[str, str] = {"op6_exact_dedup": exact.SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op4_decontaminate": decontaminate.SQL,
+    "op6_exact_dedup": exact.SQL,
+    "op7_secret_scan": secrets.SQL,
+    "op8_license_scan": licenses.SQL,
+}

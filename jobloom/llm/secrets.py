@@ -10,7 +10,7 @@ from jobloom.session import checkpoint
 # The three kinds, in order. A match is dropped when its value is shorter than
 # the least length; only for ``assign`` can a failing match hide a later one, so only there is
 # the length tested after matching.
-ASSIGN = (r"(?i:(password|passwd|secret|token|api_?key))[\x22']?\x20*[:=]\x20*[\x22']?"
+ASSIGN = (r"(?i:(password|passwd|secret|token|api_?key))[\x22\x27]?\x20*[:=]\x20*[\x22\x27]?"
           r"([A-Za-z0-9+/_.=-]+)")
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
@@ -133,3 +133,53 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.sha2(base, 256).alias("base_sha256"),
         _written(F.array_sort(F.concat(short, F.col("_live")))).alias("spans"),
         F.size("_live").cast("long").alias("n_live"), F.col("_examples").alias("n_example"))
+
+
+def _sql() -> str:
+    """The same scan in SQL: pieces between matches give the places."""
+    kinds = " union all ".join(
+        f"select doc_id, source, {i} as kind, string_split_regex(t, p) as gaps, "
+        f"regexp_extract_all(t, p, 0) as found, regexp_extract_all(t, p, {group}) as vals, "
+        f"{least} as least from (select *, '{pattern}' as p from d)"
+        for i, (pattern, group, least) in enumerate(KINDS.values()))
+    names = ", ".join(f"'{n}'" for n in NAMES)
+    counts = ", ".join(f"cast(count(*) filter (kind = {i}) as bigint) as n_{k}"
+                       for i, k in enumerate(KINDS))
+    return rf"""
+with d as (select doc_id, source, coalesce(text, '') as t from documents),
+k as ({kinds}),
+s as (
+  select doc_id, source, kind, least, vals[i] as val,
+    coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0)
+      + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) as start,
+    length(found[i]) as n
+  from (select *, unnest(range(1, len(found) + 1)) as i from k)),
+base as (select *, start + n as stop from s where length(val) >= least),
+owners as (select val, count(distinct coalesce(source, chr(0))) >= {EXAMPLE_OWNERS} as wide
+  from base group by val),
+judged as (select b.*, wide, not wide and regexp_matches(val, '[0-9]')
+    and regexp_matches(val, '[A-Za-z]')
+    and len(list_distinct(string_split(val, ''))) >= {LIVE_SYMBOLS} as live
+  from base b join owners using (val)),
+spans as (
+  select doc_id, start, kind, stop from judged
+  union all select distinct doc_id, stop - length(val), {NAMES.index("live")}, stop
+  from judged where live),
+written as (
+  select doc_id, string_agg(list_extract([{names}], kind + 1) || ':' || cast(start as bigint)
+      || ':' || cast(stop as bigint), ',' order by start, kind, stop) as spans,
+    cast(count(*) filter (kind = {NAMES.index("live")}) as bigint) as n_live
+  from spans group by doc_id),
+counted as (
+  select doc_id, {counts}, cast(count(*) filter (wide) as bigint) as n_example,
+    string_agg(list_extract([{names}], kind + 1) || ':' || cast(start as bigint) || ':'
+      || cast(stop as bigint), ',' order by start, kind) as base
+  from judged group by doc_id)
+select doc_id, {", ".join(f"coalesce(n_{k}, 0) as n_{k}" for k in KINDS)},
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans,
+  coalesce(n_live, 0) as n_live, coalesce(n_example, 0) as n_example
+from d left join counted using (doc_id) left join written using (doc_id)
+"""
+
+
+SQL = _sql()
