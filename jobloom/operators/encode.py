@@ -30,7 +30,7 @@ def hashed_vectors(df: DataFrame, text: str, dim: int = 256,
         "_words", "_counts", "_scaled")
 
 
-def _loaded(name: str, make_encoder: Callable[[], Encoder]) -> Encoder:
+def once_per_worker(name: str, make_encoder: Callable[[], Encoder]) -> Encoder:
     """The encoder of this worker process, made at the first call.
 
     Functions travel inside their task, so a module of this package is new in every task; the
@@ -64,7 +64,7 @@ def encode_texts(df: DataFrame, text: str, make_encoder: Callable[[], Encoder],
 
     @F.arrow_udf("array<float>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encode = _loaded(name, make_encoder)
+        encode = once_per_worker(name, make_encoder)
         for batch in batches:
             known = np.asarray(batch.is_valid())
             texts = batch.drop_null().to_pylist()
