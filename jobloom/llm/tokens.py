@@ -17,62 +17,169 @@ from __future__ import annotations
 
 import array
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from jobloom.llm import perfect
 from jobloom.llm.words import known
+from jobloom.operators.encode import once_per_worker
 from jobloom.session import scratch_path
 
 MAGIC = b"TOKSEG01"
 END_ID = 2
 SEGMENT_IDS = 1 << 19   # a file is closed when it holds so many ids: 2 MiB of payload
-MEMO_PIECES = 200_000   # pieces kept in a worker's memory before it starts anew
+RUN_CHARS = 1 << 22     # characters of texts that are encoded together
+MEMO_PIECES = 600_000   # pieces kept in a worker's memory before it starts anew
 
 # Between two visible Latin characters a space always opens a new piece of the byte-level
 # pre-tokenizer, and merges never cross pieces, so texts may be cut there.
 CUT = re.compile("(?<=[!-~À-ɏ])(?= [!-~À-ɏ])")
+# Signs beside which a space may be no such cut.
+ODD = re.compile("[^\n -~À-ɏ]")
+# Before a piece that no space precedes; even texts hold no such character.
+FIRST = "\0"
+
+# Latin letters, and visible ASCII signs behind them: two pieces (one without signs). The
+# apostrophe is left out, as it may begin a piece with letters.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\\[-`{-~]*)")
+
+
+def byte_letters() -> dict[int, int]:
+    """The letter under which the byte-level alphabet shows each byte: visible Latin-1 signs
+    stand for themselves, the others follow from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
+
 
 FILE_SCHEMA = ("shard int, segment int, first_key long, last_key long, n_docs long, "
                "n_ids long, content binary")
 
 
 class Encoder:
-    """Ids of a text as little-endian bytes, through the tokenizers library.
+    """Ids of texts as little-endian bytes, through the tokenizers library.
 
     Pieces between safe cuts are encoded once and remembered; a text that holds the written
     form of an added token is encoded whole.
     """
 
     def __init__(self, path: str):
+        # One thread: the cores are taken by the other tasks.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [t.content for t in added]
+        self.pieces = self.tokenizer.model.tokenize
+        self.letters = byte_letters()
+        self.line_end = self._piece("\n")
+        # Ids of words that follow a space, and of pieces as they stand behind FIRST.
         self.memo: dict[str, bytes] = {}
 
-    def _ids(self, text: str) -> bytes:
-        return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def __call__(self, text: str) -> bytes:
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array.array("I", e.ids).tobytes() for e in found]
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one piece of the pre-tokenizer, by the tokenizer's own model."""
+        shown = piece.encode().decode("latin-1").translate(self.letters)
+        return array.array("I", [t.id for t in self.pieces(shown)]).tobytes()
+
+    def _plain(self, word: str, first: bool) -> bytes | None:
+        """Ids of letters and the signs behind them; None for anything else."""
+        if word.isascii() and word.isalpha():  # most words: no need for the pattern
+            letters, signs = word, ""
+        else:
+            plain = PLAIN.fullmatch(word)
+            if plain is None:
+                return None
+            letters, signs = plain.groups()
+        before = FIRST if first else ""
+        found = self.memo.get(before + letters) if signs else None
+        if found is None:
+            found = self._piece(letters if first else " " + letters)
+        if not signs:
+            return found
+        tail = self.memo.get(FIRST + signs)
+        if tail is None:
+            tail = self.memo[FIRST + signs] = self._piece(signs)
+        return found + tail
+
+    def _learn(self, new: set[str]) -> None:
+        other = []
+        for p in new:
+            first = p.startswith(FIRST)
+            # A line end between visible signs is a piece of its own.
+            head, *lines = p.removeprefix(FIRST).split("\n")
+            found = [self._plain(head, first)]
+            for line in lines:
+                found += [self.line_end, self._plain(line, True)]
+            if None in found:
+                other.append(p)
+            else:
+                self.memo[p] = b"".join(found)
+        self.memo.update(zip(other, self._encoded(
+            [p[1:] if p.startswith(FIRST) else " " + p for p in other])))
+
+    def _known(self, pieces: list[str]) -> list[bytes]:
+        if len(self.memo) > MEMO_PIECES:
+            self.memo.clear()
+        if new := set(pieces).difference(self.memo):
+            self._learn(new)
+        return list(map(self.memo.__getitem__, pieces))
+
+    def _even(self, text: str) -> bool:
+        """Whether every space of the text is a safe cut, and no added token is written in it."""
+        return not (
+            "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " "
+            or (not text.replace("\n", "").isprintable() if text.isascii() else ODD.search(text))
+            or any(s in text for s in self.special))
+
+    def _odd(self, text: str) -> bytes:
         if any(s in text for s in self.special):
-            return self._ids(text)
-        pieces = CUT.split(text)
-        memo = self.memo
-        new = [p for p in dict.fromkeys(pieces) if p not in memo]
-        if new:
-            if len(memo) + len(new) > MEMO_PIECES:
-                memo.clear()
-                new = list(dict.fromkeys(pieces))
-            found = self.tokenizer.encode_batch(new, add_special_tokens=False)
-            memo.update((p, array.array("I", e.ids).tobytes()) for p, e in zip(new, found))
-        return b"".join(map(memo.__getitem__, pieces))
+            return self._encoded([text])[0]
+        return b"".join(self._known([FIRST + p for p in CUT.split(text)]))
+
+    def _split(self, texts: list[str]) -> list[bytes]:
+        """Even texts together: their different words are looked up once, and the ids of all
+        words are gathered as one array."""
+        words = pc.split_pattern(pa.array([FIRST + t for t in texts], pa.string()), " ")
+        coded = words.flatten().dictionary_encode()
+        found = self._known(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        pool = np.frombuffer(b"".join(found), "<u4")
+        index = coded.indices.to_numpy()
+        length = sizes[index]
+        ends = np.concatenate([[0], np.cumsum(length)])
+        place = np.repeat((np.cumsum(sizes) - sizes)[index] - ends[:-1], length)
+        data = pool[place + np.arange(ends[-1])].tobytes()
+        cuts = (4 * ends[words.offsets.to_numpy()]).tolist()
+        return [data[a:z] for a, z in zip(cuts, cuts[1:])]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        even = [self._even(t) for t in texts]
+        together = iter(self._split([t for t, e in zip(texts, even) if e]) if any(even) else [])
+        return [next(together) if e else self._odd(t) for t, e in zip(texts, even)]
+
+
+def _runs(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Stretches of texts of about RUN_CHARS characters; a longer text is one of its own."""
+    at = 0
+    while at < len(texts):
+        stop, chars = at, 0
+        while stop < len(texts) and (stop == at or chars + len(texts[stop]) <= RUN_CHARS):
+            chars += len(texts[stop])
+            stop += 1
+        yield at, stop
+        at = stop
 
 
 def pack(keys: list[int], payloads: list[bytes]) -> bytes:
@@ -155,7 +262,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str, id_col: str
     names = [x.split(" ")[0] for x in FILE_SCHEMA.split(", ")]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path)
+        encoder = once_per_worker(f"tokens {tokenizer_path}", lambda: Encoder(tokenizer_path))
         end = array.array("I", [END_ID]).tobytes()
         keys, payloads, held, segment, shard = [], [], 0, 0, 0
 
@@ -166,13 +273,15 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str, id_col: str
         arrow = pa.schema([("shard", pa.int32()), ("segment", pa.int32()),
                            *[(n, pa.int64()) for n in names[2:6]], ("content", pa.binary())])
         for batch in batches:
-            for key, text, shard in zip(*(c.to_pylist() for c in batch.columns)):
-                keys.append(key)
-                payloads.append(encoder(text) + end)
-                held += len(payloads[-1])
-                if held >= 4 * segment_ids:
-                    yield closed()
-                    keys, payloads, held, segment = [], [], 0, segment + 1
+            ids, texts, parts = (c.to_pylist() for c in batch.columns)
+            for a, z in _runs(texts):
+                for key, shard, data in zip(ids[a:z], parts[a:z], encoder(texts[a:z])):
+                    keys.append(key)
+                    payloads.append(data + end)
+                    held += len(payloads[-1])
+                    if held >= 4 * segment_ids:
+                        yield closed()
+                        keys, payloads, held, segment = [], [], 0, segment + 1
         if keys:
             yield closed()
 

@@ -159,7 +159,10 @@ def test_pieces_encode_as_the_whole(text):
     path = public_tokenizers.path("byte_bpe_50k.json")
     encoder = test_pieces_encode_as_the_whole.__dict__.setdefault("e", tokens.Encoder(path))
     whole = encoder.tokenizer.encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(encoder(text), "<u4").tolist() == whole
+    got = encoder([text, "a plain text,\nof words.", text])
+    assert np.frombuffer(got[0], "<u4").tolist() == whole and got[2] == got[0]
+    assert np.frombuffer(got[1], "<u4").tolist() == encoder.tokenizer.encode(
+        "a plain text,\nof words.", add_special_tokens=False).ids
 
 
 # Languages
@@ -222,10 +225,10 @@ def check_base(rows, got):
         held, n, known, total, base = want[r.doc_id]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held, n, known, total)
         assert r.base_score == pytest.approx(base, rel=1e-9)
-        assert r.score < 0 and math.isfinite(r.score)
+        assert r.score <= 0 and math.isfinite(r.score)
 
 
-@pytest.mark.parametrize("head", [4, 65_534])
+@pytest.mark.parametrize("head", [4, 131_070])
 def test_scores_of_odd_rows(odd, monkeypatch, head):
     monkeypatch.setattr(scoring, "HEAD_WORDS", head)
     check_base(DOCS, scoring.score_texts(odd).collect())
@@ -252,31 +255,57 @@ def code_of(n):
 def test_code_is_complete(n):
     code = code_of(n)
     assert sum(2.0 ** -x for x in code.length) == pytest.approx(1.0)
-    paths = {tuple(code.bit[a:a + k]) for a, k in zip(code.start, code.length)}
+    paths = {tuple(code.step[a:a + k] & 1) for a, k in zip(code.start, code.length)}
     assert len(paths) == n + 2
 
 
-def test_next_token_probabilities_sum_to_one():
-    """Over all continuations of a prefix: the symbols, with the spelled words' first bytes."""
-    rng = np.random.default_rng(2)
+def counts_of(seed, most):
+    rng = np.random.default_rng(seed)
+    return scoring.table(rng.integers(0, most, (scoring.SLOTS, 2)))
+
+
+def test_next_symbol_probabilities_sum_to_one():
     code = code_of(6)
-    ones = rng.integers(0, 50, scoring.SLOTS).astype(np.float32)
-    counts = np.stack([ones + rng.integers(0, 50, scoring.SLOTS), ones])
-    model = {"code": code, "counts": counts, "weights": scoring.first_weights()}
-    symbols = np.arange(len(code.symbols))
-    word, bit, slots = scoring.code_bits(code, symbols, np.full(8, 3), np.full(8, 1))
-    x, gate = scoring.inputs(counts, slots, 0)
-    log2 = scoring.mix(model["weights"].copy(), np.zeros(len(bit), np.int64), x, gate, bit,
-                       np.array([len(bit)]))
-    assert (2 ** np.bincount(word, log2)).sum() == pytest.approx(1.0, abs=1e-4)
+    model = {"counts": counts_of(2, 50), "weights": scoring.first_weights()}
+    length, bit, slots = scoring.code_bits(code, np.arange(8), np.full(8, 3), np.full(8, 1))
+    x, gate = scoring.inputs(model["counts"], slots)
+    log2 = scoring.mix(model["weights"], np.int32(0), x, gate, bit, [len(bit)])
+    assert (2.0 ** np.bincount(np.repeat(np.arange(8), length), log2)).sum() == pytest.approx(1, abs=1e-3)
+
+
+def test_next_byte_probabilities_sum_to_one():
+    model = {"counts": counts_of(4, 30), "weights": scoring.first_weights()}
+    short = scoring.spell(model, [b"ab"])[0]
+    longer = [b"ab" + bytes([x]) for x in range(256) if x != 32]
+    # What follows "ab" is a space, or another byte; the end of the longer word is divided out.
+    given = scoring.spell(model, [b"a"])
+    assert short < 0 and given[0] < 0 and len(scoring.spell(model, longer)) == 255
+    _, bit, slots = scoring.byte_bits([b"ab" + bytes([x]) for x in range(256)])
+    x, gate = scoring.inputs(model["counts"], slots)
+    log2 = scoring.mix(model["weights"], np.int32(0), x, gate, bit, [len(bit)]).reshape(256, 4, 8)
+    assert (2.0 ** log2[:, 2].sum(1)).sum() == pytest.approx(1, abs=1e-3)
+
+
+def test_refining_learns_the_text_at_hand():
+    code = code_of(50)
+    total = np.zeros((scoring.SLOTS, 2), np.int64)
+    rng = np.random.default_rng(1)
+    run = scoring.Run(code, [" ".join(f"w{i}" for i in rng.integers(0, 50, 4000))])
+    _, bit, slots = scoring.code_bits(code, run.symbol, run.before, run.before2)
+    scoring.tally(total, bit, slots)
+    model = {"code": code, "counts": scoring.table(total), "weights": scoring.first_weights()}
+    text = " ".join(f"w{i}" for i in rng.integers(0, 50, 4000))
+    fixed = scoring.score_run(model | {"weights": model["weights"].copy()},
+                              scoring.Run(code, [text[:500]]))[0] / 500
+    assert scoring.score_run(model, scoring.Run(code, [text]))[0] / len(text) > 1.02 * fixed
 
 
 def test_score_does_not_depend_on_neighbours():
     rng = np.random.default_rng(3)
     code = code_of(50)
-    ones = rng.integers(0, 9, scoring.SLOTS).astype(np.float32)
-    model = {"code": code, "counts": np.stack([ones * 2, ones]), "weights": scoring.first_weights()}
+    model = {"code": code, "counts": counts_of(5, 9), "weights": scoring.first_weights()}
     texts = [" ".join(f"w{i}" for i in rng.integers(0, 60, n)) for n in (0, 5, 200, 1000, 1)] + [None]
     together = scoring.score_run(model, scoring.Run(code, texts))
     alone = [scoring.score_run(model, scoring.Run(code, [t]))[0] for t in texts]
-    assert together == pytest.approx(alone, rel=1e-9)
+    assert together == pytest.approx(alone, rel=1e-4)
+    assert model["weights"].tolist() == scoring.first_weights().tolist()
