@@ -252,6 +252,8 @@ def test_buckets_are_files_and_old_versions_go(spark, tmp_path):
 
 
 def test_truncated_lines_do_not_stop_a_load(spark, tmp_path):
+    from jobloom.plans.refresh import refresh_jobs
+
     day = tmp_path / "bronze" / "date=2024-01-05"
     day.mkdir(parents=True)
     (day / "a.jsonl").write_text('{"id": "1", "title": "Dev", "description": "python"}\n'
