@@ -108,6 +108,7 @@ def test_groups_of_odd_rows(spark):
     assert group[None] is None
     kept = simhash.drop_near_copies(df)
     assert kept.columns == df.columns
-    assert [r.doc_id for r in kept.filter(F.col("doc_id").isin(0, 1, 2, 4, 5, 11)).collect()] == [0, 4]
+    near = kept.filter(F.col("doc_id").isin(0, 1, 2, 4, 5, 11))
+    assert sorted(r.doc_id for r in near.collect()) == [0, 4]
     empty = simhash.simhash_groups(df.limit(0))
     assert empty.count() == 0 and empty.columns[:3] == ["doc_id", "fingerprint", "component_id"]
