@@ -35,7 +35,7 @@ from jobloom.session import scratch_path
 MAGIC = b"TOKSEG01"
 END_ID = 2
 SEGMENT_IDS = 1 << 19   # a file is closed when it holds so many ids: 2 MiB of payload
-RUN_CHARS = 1 << 22     # characters of texts that are encoded together
+RUN_CHARS = 1 << 21     # characters of texts that are encoded together
 MEMO_PIECES = 600_000   # pieces kept in a worker's memory before it starts anew
 
 # Between two visible Latin characters a space always opens a new piece of the byte-level
