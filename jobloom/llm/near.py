@@ -1,0 +1,138 @@
+"""Near copies: documents whose sets of five-word shingles have a Jaccard similarity of 0.8.
+
+Candidates share one of ``BANDS`` keys, each made of ``ROWS`` MinHash values of the shingles. In
+every round each key names its first document; a document that is first at all its keys
+is kept, and whatever meets it at a key is compared with it on all shingles and goes when
+similar enough. Kept and dropped documents leave, and the rest has another round. So a document
+goes only for a kept one that it resembles itself, every two kept ones that share a key have
+been compared, and a round compares no more pairs than there are keys.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
+
+from jobloom.session import checkpoint
+
+SHINGLE = 5
+SIMILAR = (4, 5)         # least similarity, as a fraction
+BANDS = 16               # a pair at 0.8 shares a key with probability 1 - (1 - 0.8**5)**16 = 0.998
+ROWS = 5
+SEED = 42
+ORDERED = 2              # rounds in order of ids; then in random orders, so that chains end soon
+CHUNK = 1 << 12          # shingles hashed at a time
+
+
+def shingles(text: str | None) -> np.ndarray:
+    """The different hashes of the five-word shingles; of fewer words, the hash of them all.
+    Words are split at ASCII white space after lower-casing A-Z."""
+    import xxhash
+
+    words = text.encode().lower().split() if text else []
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined, h = b" ".join(words), xxhash.xxh64_intdigest
+    if len(words) <= SHINGLE:
+        return np.array([h(joined, SEED)], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    return np.unique(np.array(
+        [h(joined[a:b], SEED) for a, b in
+         zip(starts[:len(words) - SHINGLE + 1].tolist(), ends[SHINGLE - 1:].tolist())], np.uint64))
+
+
+def band_keys(grams: np.ndarray) -> np.ndarray:
+    """One key for each band; equal for all texts without words."""
+    import xxhash
+
+    rng = np.random.default_rng(SEED)
+    times, plus = rng.integers(0, 1 << 64, (2, BANDS * ROWS, 1), np.uint64)
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(grams), CHUNK):
+        x = grams[at:at + CHUNK] * (times | np.uint64(1)) + plus
+        least = np.minimum(least, (x ^ (x >> np.uint64(32))).min(axis=1))
+    return np.array([xxhash.xxh64_intdigest(band.tobytes(), k)
+                     for k, band in enumerate(least.reshape(BANDS, ROWS))], np.uint64).view("<i8")
+
+
+def _described(text: Column) -> Column:
+    """node (128-bit hash of the words), n (number of shingles), keys."""
+    kind = pa.struct([("node", pa.binary()), ("n", pa.int32()), ("keys", pa.list_(pa.int64()))])
+
+    @F.arrow_udf("node binary, n int, keys array<long>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        import xxhash
+
+        for batch in batches:
+            out = []
+            for value in batch:
+                t = value.as_py()
+                grams = shingles(t)
+                words = b" ".join(t.encode().lower().split()) if t else b""
+                out.append({"node": xxhash.xxh128_digest(words), "n": len(grams),
+                            "keys": band_keys(grams).tolist()})
+            yield pa.array(out, kind)
+
+    return run(text)
+
+
+def _shingled(text: Column) -> Column:
+    @F.arrow_udf("array<long>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([shingles(t.as_py()).view("<i8") for t in batch], pa.list_(pa.int64()))
+
+    return run(text)
+
+
+def _met(cells: DataFrame) -> DataFrame:
+    """The cells whose key another node has."""
+    many = cells.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
+    return checkpoint(cells.join(many, "key", "left_semi"))
+
+
+def _alike(pairs: DataFrame, grams: DataFrame) -> DataFrame:
+    """The nodes among ``pairs`` (node, n, lead, lead_n) that resemble their lead."""
+    top, all_ = SIMILAR
+    near = pairs.filter(F.least("n", "lead_n") * all_ >= F.greatest("n", "lead_n") * top)
+    own = grams.select("node", "grams")
+    led = grams.select(F.col("node").alias("lead"), F.col("grams").alias("lead_grams"))
+    common = F.size(F.array_intersect("grams", "lead_grams"))
+    return near.join(own, "node").join(led, "lead").filter(
+        common * (top + all_) >= (F.col("n") + F.col("lead_n")) * top).select("node").distinct()
+
+
+def staying(rows: DataFrame) -> DataFrame:
+    """_k1, _k2 of the rows (_id, text, _k1, _k2) that stay; _k1 and _k2 name id and text."""
+    known = checkpoint(rows.withColumn("d", _described(F.col("text"))).select(
+        F.col("_id").isNull().alias("none"), "_id", "_k1", "_k2", "d.*"))
+    first = F.min(F.struct("none", "_id", "_k1", "_k2")).alias("first")
+    nodes = checkpoint(known.groupBy("node").agg(
+        first, F.min("n").alias("n"), F.min("keys").alias("keys")))
+    cells = _met(nodes.filter("n > 0").select("node", "n", "first", F.explode("keys").alias("key")))
+    asked = nodes.join(cells.select("node").distinct(), "node", "left_semi").select(
+        "node", F.col("first._k1").alias("_k1"), F.col("first._k2").alias("_k2"))
+    grams = checkpoint(rows.join(asked, ["_k1", "_k2"]).dropDuplicates(["node"]).select(
+        "node", _shingled(F.col("text")).alias("grams")))
+    dropped, turn = [], 0
+    while not cells.isEmpty():
+        order = F.col("first") if turn < ORDERED else F.xxhash64("node", F.lit(turn))
+        least = cells.groupBy("key").agg(F.min(F.struct(order, "node", "n")).alias("least"))
+        seen = checkpoint(cells.join(least, "key").select(
+            "node", "n", F.col("least.node").alias("lead"), F.col("least.n").alias("lead_n")).distinct())
+        leads = seen.groupBy("node").agg(F.bool_and(F.col("lead") == F.col("node")).alias("all")).filter(
+            "all").select("node")
+        pairs = seen.filter(F.col("lead") != F.col("node")).join(
+            leads.withColumnRenamed("node", "lead"), "lead", "left_semi")
+        hits = checkpoint(_alike(pairs, grams))
+        dropped.append(hits)
+        cells = _met(cells.join(leads.union(hits), "node", "left_anti"))
+        turn += 1
+    stay = nodes if not dropped else nodes.join(
+        reduce(DataFrame.union, dropped), "node", "left_anti")
+    return stay.select("first._k1", "first._k2")

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from jobloom.llm import near
 from jobloom.llm.components import components
 from jobloom.session import checkpoint
 
@@ -258,17 +259,19 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group stays: that with the smallest id. All columns are kept.
+    """Of documents whose five-word shingles have a similarity of 0.8 or more, one stays: see
+    ``near``. All columns are kept.
 
-    Of rows that share the smallest id, that with the smallest hash stays; of rows that also
-    share the text, any one.
+    Of equal words the row with the smallest id stays, of rows that share it that with the
+    smallest hash, of rows that also share the text any one; a null id stands last. Texts
+    without words are equal.
     """
-    grouped = _grouped(docs, id_col, text_col)
-    first = F.min(F.struct(F.col("_id").isNull(), "_id", "_k1", "_k2"))
-    stay = grouped.groupBy("root").agg(first.alias("s")).select("s._k1", "s._k2")
-    written = [F.coalesce(F.col(id_col).cast("string"), F.lit("-")),
-               F.coalesce(F.col(text_col).cast("string"), F.lit(""))]
-    own = docs.withColumns({"_k1": F.xxhash64(*written), "_k2": F.hash(*written)})
+    text = F.col(text_col).cast("string")
+    written = [F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.coalesce(text, F.lit(""))]
+    by = [F.xxhash64(*written), F.hash(*written)]
+    stay = near.staying(docs.select(F.col(id_col).alias("_id"), text.alias("text"),
+                                    by[0].alias("_k1"), by[1].alias("_k2")))
+    own = docs.withColumns({"_k1": by[0], "_k2": by[1]})
     same = Window.partitionBy("_k1", "_k2").orderBy("_k1")
     return own.join(stay, ["_k1", "_k2"]).withColumn("_n", F.row_number().over(same)).filter(
         "_n = 1").select(*docs.columns)

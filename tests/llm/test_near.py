@@ -1,0 +1,55 @@
+"""The near-copy stage against five-word Jaccard similarity, pair by pair."""
+
+import numpy as np
+
+from jobloom.llm import simhash
+
+
+def grams(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def alike(a, b):
+    a, b = grams(a), grams(b)
+    return 9 * len(a & b) >= 4 * (len(a) + len(b))
+
+
+def stay(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    return sorted(r.doc_id for r in simhash.drop_near_copies(df).collect())
+
+
+def random_words(rng, n):
+    return [f"w{x}" for x in rng.integers(0, 10**9, n)]
+
+
+def test_near_copies_go(spark):
+    rng = np.random.default_rng(3)
+    texts = []
+    for _ in range(40):
+        words = random_words(rng, 300)
+        texts.append(" ".join(words))
+        for at in rng.choice(300, 5, replace=False):
+            words[at] = "changed"
+        texts.append(" ".join(words))
+    pairs = [k for k in range(0, 80, 2) if alike(texts[k], texts[k + 1])]
+    assert len(pairs) > 30
+    want = sorted(set(range(80)) - {k + 1 for k in pairs})
+    assert stay(spark, texts) == want
+
+
+def test_a_repeated_line_makes_no_copies(spark):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(random_words(rng, 300) + ["same", "footer", "line"] * 300) for _ in range(8)]
+    assert stay(spark, texts) == list(range(8))
+
+
+def test_what_goes_resembles_what_stays(spark):
+    """A window that moves along a text: neighbours are alike, the ends are not."""
+    words = random_words(np.random.default_rng(5), 2000)
+    texts = [" ".join(words[10 * k:10 * k + 400]) for k in range(60)]
+    kept = stay(spark, texts)
+    assert 0 in kept and 1 not in kept
+    assert not any(alike(texts[a], texts[b]) for a in kept for b in kept if a < b)
+    assert all(any(alike(texts[a], texts[k]) for a in kept) for k in range(60))
