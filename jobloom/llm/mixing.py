@@ -143,12 +143,14 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     source_col: str = "source") -> DataFrame:
-    """The mix in whole documents: each row as often as its taken words make up the document,
-    rounded to the nearest (of half a document upwards, one more). All columns are kept;
-    only the document at which a quota ends is taken in part, so rounding moves a source by
-    at most half a document per shard."""
+    """The mix in whole documents: each row as often as its taken words make up the document.
+    All columns are kept. Only the document at which a quota ends is taken in part; it gets
+    one copy more with the probability of that part, by a seeded hash of id and text, so that
+    a source keeps its words on average, also where documents are longer than the quotas."""
     taken = mix_sources(docs, id_col, text_col, source_col, carry=docs.columns)
-    copies = F.floor(F.col("taken") / F.col("size") + F.lit(0.5)).cast("int")
+    draw = F.pmod(F.xxhash64(F.lit(SEED), F.lit("rounding"), F.col(f"_{id_col}").cast("string"),
+                             known(F.col(f"_{text_col}"))), F.col("size"))
+    copies = F.floor((F.col("taken") + draw) / F.col("size")).cast("int")
     kept = taken.filter(F.col("taken") > 0).withColumn("_copies", copies).filter("_copies > 0")
     return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(
         *[F.col(f"_{c}").alias(c) for c in docs.columns])
