@@ -73,11 +73,14 @@ def apportion(weights: list[float], caps: list[int], seats: int) -> list[int]:
 
 
 def _quotas(group: pd.DataFrame) -> pd.DataFrame:
-    """Blocks of each source of one shard."""
+    """Blocks of each source of one shard. The last block of a cell may be partial. Sources at
+    ``MOST_TIMES`` take all their blocks; the others share theirs out."""
     group = group.sort_values("rank")
-    want = (group["target"] * group["words"] / group["source_size"].clip(lower=1)).tolist()
-    caps = [MOST_TIMES * int(n) // BLOCK_WORDS for n in group["words"]]
-    blocks = apportion(want, caps, round(sum(want) / BLOCK_WORDS))
+    caps = [-(-MOST_TIMES * int(n) // BLOCK_WORDS) for n in group["words"]]
+    full = group["target"] >= MOST_TIMES * group["source_size"]
+    want = (group["target"] * group["words"] / group["source_size"].clip(lower=1)).mask(full, 0.0)
+    shared = apportion(want.tolist(), caps, round(want.sum() / BLOCK_WORDS))
+    blocks = [cap if f else n for f, cap, n in zip(full, caps, shared)]
     return group.assign(blocks=blocks)[["shard", "rank", "words", "blocks"]]
 
 
@@ -125,7 +128,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         _quotas, "shard int, rank int, words long, blocks long")
     quotas = quotas.join(goals, "rank").select(
         F.col("shard").alias("_shard"), F.col("_source").alias("_src"), "words", "source_size",
-        "target", (F.col("blocks") * BLOCK_WORDS).alias("_quota"))
+        "target", F.least(F.col("blocks") * BLOCK_WORDS, F.col("words") * MOST_TIMES).alias("_quota"))
     placed = dealt.join(quotas, (F.col("shard") == F.col("_shard"))
                         & F.col("_source").eqNullSafe(F.col("_src")))
     by = Window.partitionBy("shard", "_source").orderBy("_order", "_id").rowsBetween(

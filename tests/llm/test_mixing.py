@@ -21,3 +21,15 @@ def test_long_documents_keep_their_share(spark, monkeypatch):
     for s in ("a_hot", "s01_rare"):
         assert goal[s] < size[s][0] * size[s][1] / 2
         assert 0.6 * goal[s] < kept[s] < 1.4 * goal[s], (s, kept[s], goal[s])
+
+
+def test_a_source_at_three_times_loses_no_words_in_small_cells(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 500)
+    rows = [("a", 1)] * 40 + [("b", 2)] * 30 + [("z", 25)] * 4000
+    df = spark.createDataFrame([(i, "w " * n, s) for i, (s, n) in enumerate(rows)],
+                               "doc_id long, text string, source string")
+    kept = Counter()
+    for r in mixing.mix_sources(df).collect():
+        assert r.taken <= 3 * r.size
+        kept[rows[r.doc_id][0]] += r.taken
+    assert kept["a"] == 120 and kept["b"] == 180
