@@ -27,35 +27,40 @@ SEED = 42
 ORDERED = 2              # rounds in order of ids; then in random orders, so that chains end soon
 CHUNK = 1 << 12          # shingles hashed at a time
 
+# MinHash orders the hashes by h * times + plus, times being odd.
+_TIMES, _PLUS = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * ROWS, 1), np.uint64)
+_TIMES |= np.uint64(1)
 
-def shingles(text: str | None) -> np.ndarray:
-    """The different hashes of the five-word shingles; of fewer words, the hash of them all.
-    Words are split at ASCII white space after lower-casing A-Z."""
+
+def _words(text: str | None) -> bytes:
+    """Words between ASCII white space, A-Z lower-cased, with a blank between them."""
+    return b" ".join(text.encode().lower().split()) if text else b""
+
+
+def shingles(words: bytes) -> np.ndarray:
+    """The different hashes of the five-word shingles; of fewer words, the hash of them all."""
     import xxhash
 
-    words = text.encode().lower().split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
-    joined, h = b" ".join(words), xxhash.xxh64_intdigest
-    if len(words) <= SHINGLE:
-        return np.array([h(joined, SEED)], np.uint64)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])
+    h = xxhash.xxh64_intdigest
+    blanks = np.flatnonzero(np.frombuffer(words, np.uint8) == 32)
+    if len(blanks) < SHINGLE:
+        return np.array([h(words, SEED)], np.uint64)
+    starts, ends = [0, *(blanks + 1).tolist()], [*blanks.tolist(), len(words)]
     return np.unique(np.array(
-        [h(joined[a:b], SEED) for a, b in
-         zip(starts[:len(words) - SHINGLE + 1].tolist(), ends[SHINGLE - 1:].tolist())], np.uint64))
+        [h(words[a:z], SEED) for a, z in zip(starts, ends[SHINGLE - 1:])], np.uint64))
 
 
 def band_keys(grams: np.ndarray) -> np.ndarray:
     """One key for each band; equal for all texts without words."""
     import xxhash
 
-    rng = np.random.default_rng(SEED)
-    times, plus = rng.integers(0, 1 << 64, (2, BANDS * ROWS, 1), np.uint64)
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(grams), CHUNK):
-        x = grams[at:at + CHUNK] * (times | np.uint64(1)) + plus
-        least = np.minimum(least, (x ^ (x >> np.uint64(32))).min(axis=1))
+        x = grams[at:at + CHUNK] * _TIMES
+        x += _PLUS
+        np.minimum(least, x.min(axis=1), out=least)
     return np.array([xxhash.xxh64_intdigest(band.tobytes(), k)
                      for k, band in enumerate(least.reshape(BANDS, ROWS))], np.uint64).view("<i8")
 
@@ -70,10 +75,9 @@ def _described(text: Column) -> Column:
 
         for batch in batches:
             out = []
-            for value in batch:
-                t = value.as_py()
-                grams = shingles(t)
-                words = b" ".join(t.encode().lower().split()) if t else b""
+            for text in batch:
+                words = _words(text.as_py())
+                grams = shingles(words)
                 out.append({"node": xxhash.xxh128_digest(words), "n": len(grams),
                             "keys": band_keys(grams).tolist()})
             yield pa.array(out, kind)
@@ -85,7 +89,8 @@ def _shingled(text: Column) -> Column:
     @F.arrow_udf("array<long>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([shingles(t.as_py()).view("<i8") for t in batch], pa.list_(pa.int64()))
+            yield pa.array([shingles(_words(t.as_py())).view("<i8") for t in batch],
+                           pa.list_(pa.int64()))
 
     return run(text)
 
@@ -109,16 +114,19 @@ def _alike(pairs: DataFrame, grams: DataFrame) -> DataFrame:
 
 def staying(rows: DataFrame) -> DataFrame:
     """_k1, _k2 of the rows (_id, text, _k1, _k2) that stay; _k1 and _k2 name id and text."""
-    known = checkpoint(rows.withColumn("d", _described(F.col("text"))).select(
-        F.col("_id").isNull().alias("none"), "_id", "_k1", "_k2", "d.*"))
+    known = rows.withColumn("d", _described(F.col("text"))).select(
+        F.col("_id").isNull().alias("none"), "_id", "_k1", "_k2", "d.*")
     first = F.min(F.struct("none", "_id", "_k1", "_k2")).alias("first")
     nodes = checkpoint(known.groupBy("node").agg(
         first, F.min("n").alias("n"), F.min("keys").alias("keys")))
-    cells = _met(nodes.filter("n > 0").select("node", "n", "first", F.explode("keys").alias("key")))
-    asked = nodes.join(cells.select("node").distinct(), "node", "left_semi").select(
-        "node", F.col("first._k1").alias("_k1"), F.col("first._k2").alias("_k2"))
-    grams = checkpoint(rows.join(asked, ["_k1", "_k2"]).dropDuplicates(["node"]).select(
+    cells = _met(nodes.filter("n > 0").select("node", F.explode("keys").alias("key")))
+    asked = checkpoint(nodes.join(cells.select("node").distinct(), "node", "left_semi").select(
+        "node", "n", F.struct("first.none", "first._id").alias("first"),
+        F.col("first._k1").alias("_k1"), F.col("first._k2").alias("_k2")))
+    grams = checkpoint(rows.select("text", "_k1", "_k2").join(
+        asked.select("node", "_k1", "_k2"), ["_k1", "_k2"]).dropDuplicates(["node"]).select(
         "node", _shingled(F.col("text")).alias("grams")))
+    cells = checkpoint(cells.join(asked.select("node", "n", "first"), "node"))
     dropped, turn = [], 0
     while not cells.isEmpty():
         order = F.col("first") if turn < ORDERED else F.xxhash64("node", F.lit(turn))
