@@ -2,10 +2,10 @@
 
 Candidates share one of ``BANDS`` keys, each made of ``ROWS`` MinHash values of the shingles. In
 every round each key names its first document; a document that is first at all its keys
-is kept, and whatever meets it at a key is compared with it on all shingles and goes when
-similar enough. Kept and dropped documents leave, and the rest has another round. So a document
+is kept, and whatever meets it at a key is compared with it on all shingles, if that has
+not been done, and goes when similar enough. Kept and dropped documents leave, and the rest has another round. So a document
 goes only for a kept one that it resembles itself, every two kept ones that share a key have
-been compared, and a round compares no more pairs than there are keys.
+been compared, and a round compares no more pairs than documents have keys.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ BANDS = 16               # a pair at 0.8 shares a key with probability 1 - (1 -
 ROWS = 5
 SEED = 42
 ORDERED = 2              # rounds in order of ids; then in random orders, so that chains end soon
+FEW = 32                 # nodes at a key that are all compared with each other at once
 CHUNK = 1 << 12          # shingles hashed at a time
 
 # MinHash orders the hashes by h * times + plus, times being odd.
@@ -102,14 +103,29 @@ def _met(cells: DataFrame) -> DataFrame:
 
 
 def _alike(pairs: DataFrame, grams: DataFrame) -> DataFrame:
-    """The nodes among ``pairs`` (node, n, lead, lead_n) that resemble their lead."""
+    """The ``pairs`` (node, n, lead, lead_n) that are similar."""
     top, all_ = SIMILAR
     near = pairs.filter(F.least("n", "lead_n") * all_ >= F.greatest("n", "lead_n") * top)
     own = grams.select("node", "grams")
     led = grams.select(F.col("node").alias("lead"), F.col("grams").alias("lead_grams"))
     common = F.size(F.array_intersect("grams", "lead_grams"))
     return near.join(own, "node").join(led, "lead").filter(
-        common * (top + all_) >= (F.col("n") + F.col("lead_n")) * top).select("node").distinct()
+        common * (top + all_) >= (F.col("n") + F.col("lead_n")) * top).select("node", "lead")
+
+
+def _few(cells: DataFrame, grams: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The cells of keys with more than FEW nodes; and for the other keys, two cells for each
+    pair of nodes that is similar, under a key of its own."""
+    size = cells.groupBy("key").agg(F.count("*").alias("m"))
+    sized = checkpoint(cells.join(size, "key").filter("m > 1"))
+    small = sized.filter(F.col("m") <= FEW)
+    led = small.select("key", F.col("node").alias("lead"), F.col("n").alias("lead_n"))
+    pairs = small.join(led, "key").filter("node > lead").select(
+        "node", "n", "lead", "lead_n").distinct()
+    ends = checkpoint(_alike(pairs, grams)).select(
+        F.xxhash64("node", "lead").alias("key"), F.explode(F.array("node", "lead")).alias("node"))
+    about = small.select("node", "n", "first").distinct()
+    return sized.filter(F.col("m") > FEW).drop("m"), checkpoint(ends.join(about, "node"))
 
 
 def staying(rows: DataFrame) -> DataFrame:
@@ -127,19 +143,31 @@ def staying(rows: DataFrame) -> DataFrame:
         asked.select("node", "_k1", "_k2"), ["_k1", "_k2"]).dropDuplicates(["node"]).select(
         "node", _shingled(F.col("text")).alias("grams")))
     cells = checkpoint(cells.join(asked.select("node", "n", "first"), "node"))
-    dropped, turn = [], 0
-    while not cells.isEmpty():
+    dropped, turn, sure = [], 0, None
+    while True:
+        if not cells.isEmpty():
+            cells, more = _few(cells, grams)
+            sure = more if sure is None else sure.unionByName(more)
+        if sure is None or (cells.isEmpty() and sure.isEmpty()):
+            break
+        both = cells.withColumn("sure", F.lit(False)).unionByName(sure.withColumn("sure", F.lit(True)))
         order = F.col("first") if turn < ORDERED else F.xxhash64("node", F.lit(turn))
-        least = cells.groupBy("key").agg(F.min(F.struct(order, "node", "n")).alias("least"))
-        seen = checkpoint(cells.join(least, "key").select(
-            "node", "n", F.col("least.node").alias("lead"), F.col("least.n").alias("lead_n")).distinct())
+        least = both.groupBy("key").agg(F.min(F.struct(order, "node", "n")).alias("least"))
+        seen = checkpoint(both.join(least, "key").select(
+            "node", "n", F.col("least.node").alias("lead"), F.col("least.n").alias("lead_n"),
+            "sure").distinct())
         leads = seen.groupBy("node").agg(F.bool_and(F.col("lead") == F.col("node")).alias("all")).filter(
             "all").select("node")
         pairs = seen.filter(F.col("lead") != F.col("node")).join(
             leads.withColumnRenamed("node", "lead"), "lead", "left_semi")
-        hits = checkpoint(_alike(pairs, grams))
+        hits = pairs.filter("sure").select("node")
+        if not cells.isEmpty():
+            hits = hits.union(_alike(pairs.filter("not sure"), grams).select("node"))
+        hits = checkpoint(hits.distinct())
         dropped.append(hits)
-        cells = _met(cells.join(leads.union(hits), "node", "left_anti"))
+        gone = checkpoint(leads.union(hits))
+        cells = checkpoint(cells.join(gone, "node", "left_anti"))
+        sure = _met(sure.join(gone, "node", "left_anti"))
         turn += 1
     stay = nodes if not dropped else nodes.join(
         reduce(DataFrame.union, dropped), "node", "left_anti")
