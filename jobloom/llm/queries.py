@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from jobloom.llm import (
-    decontaminate, exact, language, licenses, mixing, scoring, secrets, sharding, simhash,
-    tokens,
+    align, decontaminate, exact, fim, language, licenses, mixing, scoring, secrets, sharding,
+    simhash, tokens, warc,
 )
 
 
@@ -58,12 +58,31 @@ def op10_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.score_texts(_table(spark, folder, "documents"))
 
 
+def op11_align_tokenizers(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align.alignment_table(_table(spark, folder, "documents"), *paths)
+
+
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fim.middle_table(_table(spark, folder, "documents"))
+
+
+def op13_warc_members(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived_pages(_table(spark, folder, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_simhash_near_dedup, op2_shard_minimax, op3_mix_sources, op4_decontaminate, op5_token_files, op6_exact_dedup, op7_secret_scan, op8_license_scan, op9_language_id, op10_lm_score)}
+    op1_simhash_near_dedup, op2_shard_minimax, op3_mix_sources, op4_decontaminate,
+    op5_token_files, op6_exact_dedup, op7_secret_scan, op8_license_scan, op9_language_id,
+    op10_lm_score, op11_align_tokenizers, op12_fill_in_middle, op13_warc_members)}
 
 ORACLE_SQL: dict[str, str] = {
     "op4_decontaminate": decontaminate.SQL,
     "op6_exact_dedup": exact.SQL,
     "op7_secret_scan": secrets.SQL,
     "op8_license_scan": licenses.SQL,
+    "op12_fill_in_middle": fim.SQL,
+    "op13_warc_members": warc.SQL,
 }

@@ -155,3 +155,73 @@ def viterbi(rows, switch):
     for came in reversed(back):
         path.append(came[path[-1]])
     return path[::-1]
+
+
+def _token_bytes(tokenizer, pieces):
+    """Bytes of every id of a byte-level tokenizer and of a piece model."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    back = {chr(b): b for b in shown}
+    back |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+    one = {i: bytes(back[c] for c in t) for t, i in tokenizer.get_vocab().items()}
+    two = {}
+    for i in range(pieces.get_piece_size()):
+        p = pieces.id_to_piece(i)
+        two[i] = bytes([int(p[3:5], 16)]) if pieces.is_byte(i) else p.replace("▁", " ").encode()
+    return one, two
+
+
+def alignment(docs, tokenizer, pieces):
+    one, two = _token_bytes(tokenizer, pieces)
+    groups = []
+    for _, text in docs:
+        want = (" " + (text or "")).encode()
+        a = tokenizer.encode(" " + (text or ""), add_special_tokens=False).ids
+        b = pieces.encode(text or "")
+        made = b"".join(one[i] for i in a), b"".join(two[i] for i in b)
+        found = []
+        if text and made == (want, want):
+            ends = [set(np.cumsum([len(t[i]) for i in ids]).tolist())
+                    for ids, t in ((a, one), (b, two))]
+            at, done = [0, 0], [0, 0]
+            for end in sorted(ends[0] & ends[1]):
+                cell = []
+                for k, (ids, t) in enumerate(((a, one), (b, two))):
+                    mine = []
+                    while done[k] < end:
+                        mine.append(ids[at[k]])
+                        done[k] += len(t[ids[at[k]]])
+                        at[k] += 1
+                    cell.append(mine)
+                found.append(cell)
+        groups.append(found)
+    links = [Counter((x, y) for a, b in g for x in a for y in b) for g in groups]
+    count = Counter(p for c in links for p in c)
+    best = defaultdict(int)
+    for (x, _), n in count.items():
+        best[x] = max(best[x], n)
+    out = []
+    for (i, _), g, c in zip(docs, groups, links):
+        written = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in g)
+        out.append((i, sum(len(a) for a, _ in g), sum(len(b) for _, b in g), len(g), c.total(),
+                    sum(n for p, n in c.items() if count[p] == best[p[0]]),
+                    sum(n * count[p] for p, n in c.items()),
+                    hashlib.sha256(written.encode()).hexdigest() if g else ""))
+    return out
+
+
+UNITS = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+
+
+def middle(key, text):
+    """n, form, prefix_chars, middle_chars, output."""
+    text = text or ""
+    units = UNITS.findall(text)
+    digest = hashlib.sha256(f"42:{key}".encode()).hexdigest()
+    h = [int(digest[k:k + 8], 16) for k in range(0, 32, 8)]
+    if not text or any(s in text for s in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 50:
+        return len(units), "plain", None, None, text
+    a, z = sorted(x % (len(units) + 1) for x in h[:2])
+    p, m, s = "".join(units[:a]), "".join(units[a:z]), "".join(units[z:])
+    spm = h[3] % 100 < 80
+    output = f"<S>{s}<P>{p}<M>{m}" if spm else f"<P>{p}<S>{s}<M>{m}"
+    return len(units), "spm" if spm else "psm", len(p), len(m), output
