@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from jobloom.llm.words import ALNUM_WORD, LOWER, TO_LOWER, UPPER
+from jobloom.llm.words import ALNUM_WORD, LOWER, TO_LOWER, UPPER, whole_row
 
 WINDOW = 13              # words of a window; a shorter item is one window
 SHARD_WORDS = 1 << 20    # words under one suffix array
@@ -239,11 +239,12 @@ def _is_contaminated(hit, total):
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                         item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The documents that are not contaminated, with their own columns."""
-    found = with_matches(docs, benchmark, text_col, item_col, item_text_col, "_m")
+    """The documents that are not contaminated, with their own columns, whatever their names."""
+    rows = docs.select(whole_row(docs), F.col(text_col).cast("string").alias("_t"))
+    found = with_matches(rows, benchmark, "_t", item_col, item_text_col, "_m")
     hit = F.aggregate(F.zip_with("_m.ends", "_m.starts", lambda e, s: e - s),
                       F.lit(0).cast("long"), lambda a, x: a + x)
-    return found.filter(~_is_contaminated(hit, F.col("_m.n_words"))).select(*docs.columns)
+    return found.filter(~_is_contaminated(hit, F.col("_m.n_words"))).select("_row.*")
 
 
 _SQL_WORDS = (f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), "

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from jobloom.llm.words import crc32_mod, known
+from jobloom.llm.words import crc32_mod, known, whole_row
 
 FOLDS = 4               # crc32(id) mod FOLDS == HELD_OUT is never learned from
 HELD_OUT = 2
@@ -58,19 +58,22 @@ def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return h % BUCKETS, starts, script
 
 
-def learn(docs: DataFrame, text_col: str, lang_col: str, sample_docs: int = SAMPLE_DOCS) -> dict:
+def learn(docs: DataFrame, text_col: str, lang_col: str, sample_docs: int = SAMPLE_DOCS,
+          id_col: str = "doc_id") -> dict:
     """Trigram and script counts of each language, from about ``sample_docs`` documents of each.
 
-    The sample is drawn by a hash of the text against the share that the language's count
-    allows, so it is bounded at every size and the same in every run. Counts are summed in
+    The sample is drawn by a hash of id and text against the share that the language's count
+    allows, so it is bounded at every size, also where many rows hold one text, and the same
+    in every run. Counts are summed in
     the tasks first and then by Spark; the result has at most BUCKETS rows per language.
     """
     labelled = docs.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
-        F.col(text_col).cast("string").alias("t"), F.col(lang_col).cast("string").alias("l"))
+        F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t"),
+        F.col(lang_col).cast("string").alias("l"))
     counts = {r.l: r["count"] for r in labelled.groupBy("l").count().collect()}
     if not counts:
         return {}
-    draw = F.pmod(F.xxhash64("t"), F.lit(1 << 30))
+    draw = F.pmod(F.xxhash64("i", "t"), F.lit(1 << 30))
     share = F.lit(0)
     for lang, n in counts.items():
         share = F.when(F.col("l") == lang, int(min(1.0, sample_docs / n) * (1 << 30))).otherwise(share)
@@ -90,7 +93,7 @@ def learn(docs: DataFrame, text_col: str, lang_col: str, sample_docs: int = SAMP
             [pa.array(i.astype(np.int32)), pa.array(at.astype(np.int32)), pa.array(total[i, at])],
             names=["l", "at", "n"])
 
-    rows = labelled.filter(draw < share).mapInArrow(count, "l int, at int, n long").groupBy(
+    rows = labelled.filter(draw < share).select("t", "l").mapInArrow(count, "l int, at int, n long").groupBy(
         "l", "at").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros((len(langs), BUCKETS + len(SCRIPT_NAMES)))
     l, at, n = (rows[c].to_numpy() for c in ("l", "at", "n"))
@@ -209,7 +212,8 @@ def labels(text: Column, model: dict, spark) -> Column:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         lang_col: str = "lang") -> dict:
     """The model of all documents that are not held out."""
-    return learn(docs.filter(crc32_mod(F.col(id_col), FOLDS) != HELD_OUT), text_col, lang_col)
+    return learn(docs.filter(crc32_mod(F.col(id_col), FOLDS) != HELD_OUT), text_col, lang_col,
+                 id_col=id_col)
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -238,7 +242,9 @@ def _label_or_none(model: dict, docs: DataFrame, text: str = "_t") -> Column:
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     lang_col: str = "lang") -> DataFrame:
-    """The documents that have a language; those labelled ``und`` go. All columns are kept."""
+    """The documents that have a language; those labelled ``und`` go. All columns are kept,
+    whatever their names."""
     model = fit(docs, id_col, text_col, lang_col)
-    kept = docs.withColumn("_label", _label_or_none(model, docs, text_col))
-    return kept.filter(F.col("_label.lang") != UNKNOWN).select(*docs.columns)
+    rows = docs.select(whole_row(docs), F.col(text_col).cast("string").alias("_t"))
+    kept = rows.withColumn("_label", _label_or_none(model, docs))
+    return kept.filter(F.col("_label.lang") != UNKNOWN).select("_row.*")

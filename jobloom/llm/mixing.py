@@ -11,10 +11,11 @@ from __future__ import annotations
 
 import heapq
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from jobloom.llm.words import known, word_count
+from jobloom.llm.words import known, word_count, whole_row
 from jobloom.session import checkpoint
 
 WEIGHTS = (1, 2, 3)       # of the sources in order, repeating
@@ -44,31 +45,37 @@ def targets(sizes: list[int], weights: list[float], most: float = MOST_TIMES) ->
 
 def apportion(weights: list[float], caps: list[int], seats: int) -> list[int]:
     """Sainte-Lague with caps: each seat goes to the highest weight / (2 * seats so far + 1),
-    ties to the first. All seats whose quotient lies above a bound are given at once, the
-    last few one by one."""
-    seats = min(seats, sum(c for c, w in zip(caps, weights) if w > 0))
-
-    def above(bound: float) -> list[int]:
-        return [min(c, int((w / bound + 1) / 2)) if w > 0 else 0 for w, c in zip(weights, caps)]
-
-    low, high = 0.0, 2 * max(weights, default=0.0) + 1.0
-    for _ in range(200):
-        mid = (low + high) / 2
-        if not low < mid < high:
-            break
-        if sum(above(mid)) <= seats:
-            high = mid
+    ties to the first.
+
+    A bound is searched above which there are at most so many quotients, and but for a few all.
+    What lies above it is given at once, less one seat of each, as rounding may have added
+    that one; the last seats are given one by one.
+    """
+    w = np.asarray(weights, np.float64)
+    c = np.where(w > 0, np.asarray(caps, np.int64), 0)
+    seats = min(seats, int(c.sum()))
+    if seats <= 0:
+        return [0] * len(w)
+    given = np.zeros(len(w), np.int64)
+    low, high = 0.0, 2 * float(w.max()) + 1.0
+    bound = min(float(w.sum()) / (2 * seats), high / 2)
+    while low < bound < high:
+        above = np.minimum(c, np.floor((w / bound + 1) / 2)).astype(np.int64)
+        if above.sum() > seats:
+            low = bound
         else:
-            low = mid
-    given = above(high)
-    queue = [(-w / (2 * g + 1), i) for i, (w, g, c) in enumerate(zip(weights, given, caps))
-             if w > 0 and g < c]
+            high, given = bound, above
+            if seats - above.sum() <= len(w):
+                break
+        bound = (low + high) / 2
+    given = np.maximum(given - 1, 0).tolist()
+    queue = [(-x / (2 * g + 1), i) for i, (x, g) in enumerate(zip(w.tolist(), given)) if g < c[i]]
     heapq.heapify(queue)
     for _ in range(seats - sum(given)):
         _, i = heapq.heappop(queue)
         given[i] += 1
-        if given[i] < caps[i]:
-            heapq.heappush(queue, (-weights[i] / (2 * given[i] + 1), i))
+        if given[i] < c[i]:
+            heapq.heappush(queue, (-float(w[i]) / (2 * given[i] + 1), i))
     return given
 
 
@@ -84,8 +91,8 @@ def _quotas(group: pd.DataFrame) -> pd.DataFrame:
     return group.assign(blocks=blocks)[["shard", "rank", "words", "blocks"]]
 
 
-def source_targets(rows: DataFrame) -> DataFrame:
-    """One row per source: _source, rank, source_size, target. The table has one row per
+def source_targets(rows: DataFrame) -> tuple[DataFrame, int]:
+    """One row per source (_source, rank, source_size, target), and all words. The table has one row per
     source, which is what the weights are written for; it passes through the driver."""
     found = rows.groupBy("_source").agg(F.sum("size").alias("n")).collect()
     found.sort(key=lambda r: (r._source is None, r._source or ""))
@@ -94,13 +101,13 @@ def source_targets(rows: DataFrame) -> DataFrame:
     goal = targets(sizes, weights) if found else []
     return rows.sparkSession.createDataFrame(
         [(r._source, i, n, t) for i, (r, n, t) in enumerate(zip(found, sizes, goal))],
-        "_source string, rank int, source_size long, target double")
+        "_source string, rank int, source_size long, target double"), sum(sizes)
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                source_col: str = "source", carry: list[str] | None = None,
-                seed: int = SEED) -> DataFrame:
-    """One row per document: id, size, source_size, target, taken, shard, ``carry``.
+                source_col: str = "source", carry: bool = False, seed: int = SEED) -> DataFrame:
+    """One row per document: id, size, source_size, target, taken, shard; with ``carry`` also
+    the whole document as ``_row``.
 
     size is the number of words (null: 0); sources stand by code point, null last and a source
     like any other. ``taken`` is the number of words the mix takes of the document, repeats
@@ -114,17 +121,19 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("_source"),
         size.alias("size"),
         F.xxhash64(F.lit(seed), F.col(id_col).cast("string"), known(text)).alias("_order"),
-        F.struct(*(carry or [F.lit(0)])).alias("_carry"))
+        *([whole_row(docs)] if carry else []))
     if not carry:
         rows = checkpoint(rows)
-    goals = source_targets(rows)
-    total = rows.agg(F.sum("size")).first()[0] or 0
-    shards = max(1, -(-int(total) // SHARD_WORDS))
+    goals, total = source_targets(rows)
+    shards = max(1, -(-total // SHARD_WORDS))
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("_order"), F.lit(shards)).cast("int"))
     cells = dealt.groupBy("shard", "_source").agg(F.sum("size").alias("words"))
     cells = cells.join(goals, cells["_source"].eqNullSafe(goals["_source"])).select(
         "shard", "rank", "words", "source_size", "target")
-    quotas = cells.groupBy("shard").applyInPandas(
+    # Spread over as many tasks as a shuffle has: the cells are small, so they would be
+    # brought together in one task otherwise.
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    quotas = cells.repartition(n, "shard").groupBy("shard").applyInPandas(
         _quotas, "shard int, rank int, words long, blocks long")
     quotas = quotas.join(goals, "rank").select(
         F.col("shard").alias("_shard"), F.col("_source").alias("_src"), "words", "source_size",
@@ -140,20 +149,19 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     taken = F.when(F.col("size") > 0, turns * F.col("size") + part).otherwise(0)
     return placed.select(
         F.col("_id").alias(id_col), "size", "source_size", "target",
-        taken.cast("long").alias("taken"), "shard",
-        *[F.col("_carry")[c].alias(f"_{c}") for c in carry or []])
+        taken.cast("long").alias("taken"), "shard", *(["_row"] if carry else []))
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     source_col: str = "source") -> DataFrame:
     """The mix in whole documents: each row as often as its taken words make up the document.
-    All columns are kept. Only the document at which a quota ends is taken in part; it gets
+    All columns are kept, whatever their names. Only the document at which a quota ends is taken in part; it gets
     one copy more with the probability of that part, by a seeded hash of id and text, so that
     a source keeps its words on average, also where documents are longer than the quotas."""
-    taken = mix_sources(docs, id_col, text_col, source_col, carry=docs.columns)
-    draw = F.pmod(F.xxhash64(F.lit(SEED), F.lit("rounding"), F.col(f"_{id_col}").cast("string"),
-                             known(F.col(f"_{text_col}"))), F.col("size"))
+    taken = mix_sources(docs, id_col, text_col, source_col, carry=True)
+    own = F.col("_row")
+    draw = F.pmod(F.xxhash64(F.lit(SEED), F.lit("rounding"), own[id_col].cast("string"),
+                             known(own[text_col])), F.col("size"))
     copies = F.floor((F.col("taken") + draw) / F.col("size")).cast("int")
-    kept = taken.filter(F.col("taken") > 0).withColumn("_copies", copies).filter("_copies > 0")
-    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(
-        *[F.col(f"_{c}").alias(c) for c in docs.columns])
+    kept = taken.filter(F.col("taken") > 0).select("_row", copies.alias("_n")).filter("_n > 0")
+    return kept.select("_row", F.explode(F.sequence(F.lit(1), "_n"))).select("_row.*")

@@ -17,8 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from jobloom.llm import near
 from jobloom.llm.components import components
+from jobloom.llm.words import whole_row
 from jobloom.session import checkpoint
 
 SHINGLE = 3
@@ -259,19 +259,19 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Of documents whose five-word shingles have a similarity of 0.8 or more, one stays: see
-    ``near``. All columns are kept.
+    """One document of each group of linked fingerprints: that with the smallest id, as in
+    ``simhash_groups``. All columns are kept, whatever their names.
 
-    Of equal words the row with the smallest id stays, of rows that share it that with the
-    smallest hash, of rows that also share the text any one; a null id stands last. Texts
-    without words are equal.
+    A null id stands last; of rows that share the smallest id that with the smallest hash
+    stays, of rows that also share the text any one. Texts without words are one group. Rows
+    that repeat id and text leave one row in every map task before they are shuffled.
     """
     text = F.col(text_col).cast("string")
     written = [F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.coalesce(text, F.lit(""))]
-    by = [F.xxhash64(*written), F.hash(*written)]
-    stay = near.staying(docs.select(F.col(id_col).alias("_id"), text.alias("text"),
-                                    by[0].alias("_k1"), by[1].alias("_k2")))
-    own = docs.withColumns({"_k1": by[0], "_k2": by[1]})
+    first = F.min(F.struct(F.col("_id").isNull(), "_id", "_k1", "_k2")).alias("first")
+    stay = _grouped(docs, id_col, text_col).groupBy("root").agg(first).select(
+        "first._k1", "first._k2")
+    own = docs.select(whole_row(docs), F.xxhash64(*written).alias("_k1"), F.hash(*written).alias("_k2"))
     same = Window.partitionBy("_k1", "_k2").orderBy("_k1")
-    return own.join(stay, ["_k1", "_k2"]).withColumn("_n", F.row_number().over(same)).filter(
-        "_n = 1").select(*docs.columns)
+    one = own.withColumn("_n", F.row_number().over(same)).filter("_n = 1")
+    return one.join(stay, ["_k1", "_k2"], "left_semi").select("_row.*")

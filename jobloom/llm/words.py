@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # The two word classes and the letters that are lower-cased.
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
@@ -40,3 +40,8 @@ def crc32_mod(value: Column, mod: int) -> Column:
     """crc32 of the value written as text, modulo ``mod``; -1 for null."""
     return F.coalesce(F.pmod(F.crc32(F.encode(value.cast("string"), "UTF-8")), F.lit(mod)),
                       F.lit(-1)).cast("int")
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one, ``_row``: no other column can then clash with the caller's names."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]).alias("_row")

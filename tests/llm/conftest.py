@@ -20,12 +20,15 @@ ITEMS = [(1, "One two three four five six seven eight nine ten eleven twelve thi
          (2, "two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen"),
          (3, "tiny item"), (4, None), (5, ""), (3, "tiny item"), (None, "the same line")]
 # Columns with names that the operators use themselves.
-CLASH = "_id long, size string, shard string, matches string, _text double, word string"
+CLASH = ("_id long, size string, shard string, matches string, _text double, word string, "
+         "_label string, _m string, _k1 int, _k2 string, _n long, copies string, _copies int, "
+         "_row string, _t string, taken string, `a.b` string")
+VALUES = (-1, "s", "t", "m", 0.5, "w", "label", "m1", 7, "k", -9, "three", 8, "r", "tt", "no", "dot")
 
 
 @pytest.fixture(scope="session")
 def odd(spark):
-    rows = [(*r, -1, "s", "t", "m", 0.5, "w") for r in ODD]
+    rows = [(*r, *VALUES) for r in ODD]
     return spark.createDataFrame(
         rows, "doc_id long, text string, lang string, source string, " + CLASH).repartition(3)
 

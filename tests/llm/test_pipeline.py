@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from jobloom.llm import mixing
+from jobloom.llm import decontaminate, language, mixing, simhash
 from tests.llm import plain
 
 FOLDER = "/root/testdata/sf0.001"
@@ -91,6 +91,18 @@ def test_rows_of_the_mix_are_sharded(kept):
     assert all(len(s) == 1 for s in held.values()) and set(slots) <= set(range(24))
 
 
+@pytest.mark.parametrize("stage", [
+    language.keep_identified, simhash.drop_near_copies, mixing.mixed_documents,
+    lambda docs: decontaminate.remove_contaminated(
+        docs, docs.selectExpr("doc_id as item_id", "'tiny item' as text"))])
+def test_columns_of_any_name_pass_through(odd, stage):
+    known = {r.doc_id: tuple(r) for r in odd.collect()}
+    got = stage(odd)
+    rows = got.collect()
+    assert got.schema == odd.schema and rows and all(tuple(r) == known[r.doc_id] for r in rows)
+    assert stage(odd.limit(0)).count() == 0
+
+
 def test_run_gives_the_rows_of_the_last_stage(spark):
     got = corpus_pipeline.run(spark, FOLDER)
     again = corpus_pipeline.run(spark, FOLDER)
