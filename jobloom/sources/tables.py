@@ -1,8 +1,8 @@
 """Parquet tables and the warehouse: named tables with keys, kept current by merges.
 
-A merge writes the whole new content as the next version of the table, then moves the
-view that carries the table's name. Readers see the old or the new version, never a
-mixture, and nothing overwrites data that is still being read.
+A merge writes the buckets that its stage touches as part of the next version of the table, then
+moves the view that carries the table's name; ``versions`` tells how. Readers see the old or
+the new version, never a mixture, and nothing overwrites data that is still being read.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from jobloom.operators.dedupe import dense_ids
 from jobloom.operators.merge import (
     coerce_jobs, new_pairs, require_unique, upsert, upsert_vectors,
 )
-from jobloom.schemas import TABLES, TableSpec
+from jobloom.schemas import TABLES
+from jobloom.sources.versions import BucketTable
 
 
 def write_silver(df: DataFrame, path: str, partition: str = "dt") -> None:
@@ -45,7 +46,8 @@ class Warehouse:
     """The six tables in one Spark database.
 
     ``location`` is on storage all executors share. Choose ``buckets`` so that one bucket of
-    the largest table fits a task (about a gigabyte); merges then shuffle only the stage.
+    the largest table fits a task (about a gigabyte): a merge reads, shuffles and writes the
+    buckets its stage touches, and a session without a lasting catalog finds the tables again.
     """
 
     def __init__(self, spark: SparkSession, database: str, location: str,
@@ -53,23 +55,18 @@ class Warehouse:
         """``keep``: versions of a table that stay, the current one included; readers of an
         older one must be done by then."""
         self.spark, self.database, self.dim, self.buckets = spark, database, dim, buckets
-        self.keep = max(1, keep)
         self.location = location.rstrip("/")
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.location}'")
+        self.stores = {
+            name: BucketTable(spark, database, f"{self.location}/{name}", spec, buckets, max(1, keep))
+            for name, spec in TABLES.items()}
 
     def _full(self, name: str) -> str:
         return f"{self.database}.{name}"
 
-    def _version(self, name: str) -> int:
-        props = {r["key"]: r["value"] for r in
-                 self.spark.sql(f"SHOW TBLPROPERTIES {self._full(name)}").collect()}
-        return int(props["jobloom.version"])
-
     def ensure_tables(self) -> None:
-        for spec in TABLES.values():
-            if not self.spark.catalog.tableExists(self._full(spec.name)):
-                self._publish(spec, self.spark.createDataFrame([], spec.schema), 0)
-
+        for store in self.stores.values():
+            store.ensure()
         self.spark.sql(f"""
             CREATE OR REPLACE VIEW {self._full('v_role_skill_demand')} AS
             SELECT lower(title) AS role_title, skill, count(*) AS demand_count
@@ -79,31 +76,6 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         return self.spark.table(self._full(name))
 
-    def _store(self, name: str, version: int) -> str:
-        return f"{self._full(name)}__v{version}"
-
-    def _publish(self, spec: TableSpec, df: DataFrame, version: int) -> None:
-        store = self._store(spec.name, version)
-        path = f"{self.location}/{spec.name}/version={version}"
-        # Dealt by the key into the buckets, so that a bucket is one file.
-        (df.select(*spec.schema.fieldNames()).repartition(self.buckets, *spec.key).write.mode("overwrite").format("parquet")
-           .bucketBy(self.buckets, *spec.key).option("path", path).saveAsTable(store))
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self._full(spec.name)} "
-            f"TBLPROPERTIES ('jobloom.version' = '{version}') AS SELECT * FROM {store}")
-        old = version - self.keep
-        if old >= 0:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._store(spec.name, old)}")
-            self._delete(f"{self.location}/{spec.name}/version={old}")
-
-    def _delete(self, path: str) -> None:
-        jvm, jsc = self.spark._jvm, self.spark._jsc
-        place = jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(jsc.hadoopConfiguration()).delete(place, True)
-
-    def _replace(self, name: str, df: DataFrame) -> None:
-        self._publish(TABLES[name], df, self._version(name) + 1)
-
     def _require_key(self, stage: DataFrame, key) -> None:
         """A row may be updated once per merge; only the key columns are read for this."""
         wrong = require_unique(stage, key).limit(5).collect()
@@ -114,27 +86,37 @@ class Warehouse:
         return require_unique(self.table(name), TABLES[name].key)
 
     def upsert_jobs(self, jobs: DataFrame) -> None:
-        spec = TABLES["jobs"]
+        """Insert and update; buckets without a key of the stage keep their files."""
+        store = self.stores["jobs"]
         stage = coerce_jobs(jobs).select(
-            *[F.col(f.name).cast(f.dataType) for f in spec.schema.fields])
-        self._require_key(stage, spec.key)
-        self._replace("jobs", upsert(self.table("jobs"), stage, spec.key, spec.update_columns))
+            *[F.col(f.name).cast(f.dataType) for f in store.spec.schema.fields])
+        self._require_key(stage, store.spec.key)
+        touched = store.touched(stage)
+        store.replace_buckets(upsert(store.rows(touched), stage, store.spec.key,
+                                     store.spec.update_columns), touched)
 
     def add_skills(self, name: str, pairs: DataFrame) -> None:
-        """Add unseen pairs; known ones are left alone."""
-        spec = TABLES[name]
-        stage = pairs.select(*[F.col(f.name).cast(f.dataType) for f in spec.schema.fields])
-        known = self.table(name)
-        self._replace(name, known.unionByName(new_pairs(known, stage, spec.key)))
+        """Add unseen pairs as further files; known ones are left alone, and so are their files."""
+        store = self.stores[name]
+        stage = pairs.select(*[F.col(f.name).cast(f.dataType) for f in store.spec.schema.fields])
+        store.append(new_pairs(store.rows(store.touched(stage)), stage, store.spec.key))
 
     def replace_skills(self, name: str, pairs: DataFrame) -> None:
         """All pairs anew, for ids that were numbered anew."""
-        self._replace(name, pairs.dropDuplicates(list(TABLES[name].key)))
+        store = self.stores[name]
+        store.replace(pairs.select(*[F.col(f.name).cast(f.dataType) for f in store.spec.schema.fields])
+                      .dropDuplicates(list(store.spec.key)))
 
     def upsert_embeddings(self, name: str, vectors: DataFrame) -> None:
-        id_column = TABLES[name].key[0]
-        self._require_key(vectors, [id_column])
-        self._replace(name, upsert_vectors(self.table(name), vectors, id_column, self.dim))
+        """Insert and update whole vectors; buckets without a key of the stage keep their files."""
+        store = self.stores[name]
+        id_column = store.spec.key[0]
+        stage = vectors.withColumn(
+            id_column, F.col(id_column).cast(store.spec.schema[id_column].dataType))
+        self._require_key(stage, [id_column])
+        touched = store.touched(stage)
+        store.replace_buckets(
+            upsert_vectors(store.rows(touched), stage, id_column, self.dim), touched)
 
     def reload_questions(self, questions: DataFrame, order) -> DataFrame:
         """Replace all questions; ids restart at 1 and the vectors are emptied."""
@@ -142,7 +124,7 @@ class Warehouse:
             c for c in questions.columns if c not in ("question", "topic", "source")
         ]), order, "q_id")
         stamped = numbered.withColumn("created_at", F.current_timestamp())
-        self._replace("interview_questions", stamped)
+        self.stores["interview_questions"].replace(stamped)
         empty = self.spark.createDataFrame([], TABLES["interview_embeddings"].schema)
-        self._replace("interview_embeddings", empty)
+        self.stores["interview_embeddings"].replace(empty)
         return self.table("interview_questions")

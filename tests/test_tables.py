@@ -240,15 +240,88 @@ def test_refresh_from_files_to_warehouse(spark, tmp_path):
     assert ("dev 1", "kafka", 1) in rows(demand)
 
 
+def piece_files(root):
+    """Every data file below a table's folder, with its time and size."""
+    return {str(p.relative_to(root)): (p.stat().st_mtime_ns, p.stat().st_size)
+            for p in root.glob("load=*/bucket=*/part-*.parquet")}
+
+
 def test_buckets_are_files_and_old_versions_go(spark, tmp_path):
     w = Warehouse(spark, "careers_files", str(tmp_path / "w"), dim=2, buckets=3, keep=2)
     w.ensure_tables()
     for n in range(4):
         w.upsert_jobs(jobs_frame(spark, [dict(job_id=str(i), title=f"t{n}") for i in range(500)]))
-    versions = sorted(p.name for p in (tmp_path / "w" / "jobs").iterdir())
-    assert versions == ["version=3", "version=4"]
-    files = list((tmp_path / "w" / "jobs" / "version=4").glob("part-*.parquet"))
-    assert len(files) == 3 and w.table("jobs").filter("title = 't3'").count() == 500
+    root = tmp_path / "w" / "jobs"
+    assert sorted(p.name for p in root.glob("load=*")) == ["load=3", "load=4"]
+    assert sorted(p.name for p in root.glob("manifest/*")) == ["version=3", "version=4"]
+    assert len(piece_files(root)) == 6 and w.table("jobs").filter("title = 't3'").count() == 500
+    # The version before is still whole.
+    assert spark.table("careers_files.jobs__v3").filter("title = 't2'").count() == 500
+
+
+def test_a_merge_leaves_other_buckets_alone(spark, tmp_path):
+    w = Warehouse(spark, "careers_cow", str(tmp_path / "w"), dim=2, buckets=8, keep=2)
+    w.ensure_tables()
+    w.upsert_jobs(jobs_frame(spark, [dict(job_id=str(i), title="old", url="u") for i in range(400)]))
+    vectors = spark.range(400).selectExpr("cast(id as string) job_id", "array(id, 0D) embedding")
+    w.upsert_embeddings("job_embeddings", vectors)
+    before = {n: piece_files(tmp_path / "w" / n) for n in ("jobs", "job_embeddings")}
+    assert len(before["jobs"]) == 8
+    w.upsert_jobs(jobs_frame(spark, [dict(job_id="7", title="new"), dict(job_id="x", title="more")]))
+    w.upsert_embeddings("job_embeddings", vectors.filter("job_id = '7'").selectExpr(
+        "job_id", "reverse(embedding) embedding"))
+    for name, touched in (("jobs", 2), ("job_embeddings", 1)):
+        after = piece_files(tmp_path / "w" / name)
+        assert before[name].items() <= after.items() and len(after) <= 8 + touched
+        store = w.stores[name]
+        kept = store.pieces(store.version()) & store.pieces(store.version() - 1)
+        assert len(kept) >= 8 - touched
+    assert rows(w.table("jobs").groupBy("title", "url").count()) == [
+        ("more", None, 1), ("new", "u", 1), ("old", "u", 399)]
+    assert rows(w.table("job_embeddings").filter("job_id in ('6', '7')")) == [
+        ("6", [6.0, 0.0]), ("7", [0.0, 7.0])]
+    # Only the touched bucket is read for a merge.
+    plan = w.stores["jobs"].rows([3])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and "(bucket#" in plan
+    # One more version, and what only the dropped one named is gone.
+    w.upsert_jobs(jobs_frame(spark, [dict(job_id="7", title="newest")]))
+    left = piece_files(tmp_path / "w" / "jobs")
+    store = w.stores["jobs"]
+    named = store.pieces(store.version()) | store.pieces(store.version() - 1)
+    assert len(left) == len(named) and w.table("jobs").count() == 401
+
+
+def test_pairs_are_appended_and_compacted(spark, tmp_path):
+    w = Warehouse(spark, "careers_pairs", str(tmp_path / "w"), dim=2, buckets=4, keep=100)
+    w.ensure_tables()
+    pairs = lambda a, z: spark.range(a, z).selectExpr(
+        "cast(id % 50 as string) job_id", "cast(id as string) skill")
+    store, root, seen = w.stores["job_skills_ner"], tmp_path / "w" / "job_skills_ner", {}
+    for n in range(1, 9):
+        w.add_skills("job_skills_ner", pairs(0, n * 40).union(pairs(0, 3)))
+        now = piece_files(root)
+        assert seen.items() <= now.items()
+        seen = now
+        assert w.table("job_skills_ner").count() == n * 40 and store.version() == n
+        assert spark.table(store.store(1)).count() == 40
+    w.add_skills("job_skills_ner", pairs(10, 200))  # nothing new: no version
+    assert store.version() == 8
+    w.add_skills("job_skills_ner", pairs(0, 2000))
+    assert store.version() == 10 and w.duplicate_keys("job_skills_ner").count() == 0
+    assert len(store.pieces(10)) == 4 and w.table("job_skills_ner").count() == 2000
+    w.replace_skills("job_skills_ner", pairs(0, 5))
+    assert w.table("job_skills_ner").count() == 5
+
+
+def test_tables_are_found_again_without_a_catalog(spark, tmp_path):
+    first = Warehouse(spark, "careers_one", str(tmp_path / "w"), dim=2, buckets=2)
+    first.ensure_tables()
+    first.upsert_jobs(jobs_frame(spark, [dict(job_id="1", title="a")]))
+    again = Warehouse(spark, "careers_two", str(tmp_path / "w"), dim=2, buckets=2)
+    again.ensure_tables()
+    assert rows(again.table("jobs").select("job_id", "title")) == [("1", "a")]
+    again.upsert_jobs(jobs_frame(spark, [dict(job_id="2", title="b")]))
+    assert again.table("jobs").count() == 2
 
 
 def test_truncated_lines_do_not_stop_a_load(spark, tmp_path):
