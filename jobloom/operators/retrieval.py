@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from jobloom.functions.vectors import euclidean_distance, similarity
-from jobloom.session import checkpoint
+from jobloom.session import scratch_path
 
-# Keys and vectors of the queries that one scan of the corpus carries to its tasks.
+# Vectors of the queries, and of the corpus, that a task holds at a time.
 BLOCK_BYTES = 64 << 20
 # One row in so many is measured first, to bound each query's k-th distance.
 SAMPLE = 64
@@ -122,35 +121,6 @@ class _Block:
         self.bound[self.q[full]] = np.nextafter(self.d[full] ** 2 * (1 + 1e-15), np.inf)
 
 
-class _Best:
-    """All queries of a task, in blocks small enough to merge cheaply."""
-
-    def __init__(self, queries: np.ndarray, k: int, bound: np.ndarray | None = None):
-        self.blocks = [
-            (at, _Block(queries[at:at + _BLOCK], k, None if bound is None else bound[at:at + _BLOCK]))
-            for at in range(0, len(queries), _BLOCK)]
-
-    def add(self, keys: np.ndarray, rows: np.ndarray) -> None:
-        square = (rows.astype(np.float64) ** 2).sum(axis=1)
-        for _, block in self.blocks if len(rows) else ():
-            block.add(keys, rows, square)
-
-    def found(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(query places, keys, distances) of every block that saw a row."""
-        return [(b.q + at, b.key, b.d) for at, b in self.blocks if b.key is not None]
-
-
-def _result(best: _Best, query_keys: np.ndarray, schema: pa.Schema) -> pa.Table:
-    batches = []
-    for q, key, d in best.found():
-        batches.append(pa.RecordBatch.from_arrays([
-            pa.array(query_keys[q].tolist(), schema.field(0).type),
-            pa.array(key.tolist(), schema.field(1).type),
-            pa.array(d, schema.field(2).type),
-        ], schema=schema))
-    return pa.Table.from_batches(batches, schema=schema)
-
-
 def _output(queries: DataFrame, corpus: DataFrame, query_key: str, key: str) -> T.StructType:
     return T.StructType([
         T.StructField(query_key, queries.schema[query_key].dataType),
@@ -159,19 +129,60 @@ def _output(queries: DataFrame, corpus: DataFrame, query_key: str, key: str) ->
     ])
 
 
-def _scan(held: pa.Table, bound: np.ndarray | None, corpus: DataFrame, query_key: str, key: str,
-          k: int, out: T.StructType) -> DataFrame:
-    """Every task holds one block of queries and reads its own part of the corpus in place."""
+def _stored(files: list[str], block_bytes: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Keys, vectors and bounds of the stored queries, a block at a time."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    for file in files:
+        store, name = fs.FileSystem.from_uri(file.replace("s3a://", "s3://", 1))
+        with store.open_input_file(name) as opened:
+            table = pq.ParquetFile(opened)
+            rows = table.metadata.num_rows
+            width = sum(table.metadata.row_group(i).total_byte_size
+                        for i in range(table.num_row_groups)) / max(rows, 1)
+            # Keys and vectors of one row are alike in size, so the file tells how many fit.
+            step = max(_BLOCK, int(block_bytes / max(width, 1)))
+            for batch in table.iter_batches(batch_size=min(step, max(rows, 1))):
+                if len(batch):
+                    yield batch.column(0), _matrix(batch.column(1)), batch.column(2).to_numpy()
+
+
+def _slabs(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[list]:
+    """The task's part of the corpus as (keys, vectors, squared norms), some bytes at a time."""
+    slab, held = [], 0
+    for batch in batches:
+        rows = _matrix(batch.column(1))
+        if len(rows):
+            slab.append((_keys(batch.column(0)), rows, (rows.astype(np.float64) ** 2).sum(axis=1)))
+            held += rows.nbytes
+        if held >= block_bytes:
+            yield slab
+            slab, held = [], 0
+    if slab:
+        yield slab
+
+
+def _scan(files: list[str], corpus: DataFrame, k: int, out: T.StructType,
+          block_bytes: int) -> DataFrame:
+    """Every task reads its own part of the corpus in place, and the stored queries block by
+    block; each block's nearest leave the task before the next one is opened."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    query_keys, matrix = _keys(held[query_key]), _matrix(held["embedding"])
     schema = to_arrow_schema(out)
 
-    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _Best(matrix, k, bound)
-        for batch in batches:
-            best.add(_keys(batch.column(key)), _matrix(batch.column("embedding")))
-        yield from _result(best, query_keys, schema).to_batches()
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for slab in _slabs(batches, block_bytes):
+            for query_keys, matrix, bound in _stored(files, block_bytes):
+                for at in range(0, len(matrix), _BLOCK):
+                    best = _Block(matrix[at:at + _BLOCK], k, bound[at:at + _BLOCK])
+                    for keys, rows, square in slab:
+                        best.add(keys, rows, square)
+                    if best.key is not None:
+                        yield pa.RecordBatch.from_arrays([
+                            query_keys.take(pa.array(best.q + at)).cast(schema.field(0).type),
+                            pa.array(best.key.tolist(), schema.field(1).type),
+                            pa.array(best.d, schema.field(2).type)], schema=schema)
 
     return corpus.mapInArrow(scan, out)
 
@@ -182,41 +193,33 @@ def _cut(found: DataFrame, query_key: str, key: str, k: int) -> DataFrame:
     return found.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
-def _bounds(held: pa.Table, corpus: DataFrame, query_key: str, key: str, k: int,
-            out: T.StructType) -> np.ndarray:
-    """Squared distances that each query's k nearest cannot exceed: those of its k-th nearest
-    in a hashed sample, which can only be farther away. One number per query comes back."""
-    sample = corpus.filter(F.pmod(F.xxhash64(key), F.lit(SAMPLE)) == 0)
-    kth = _cut(_scan(held, None, sample, query_key, key, k, out), query_key, key, k).filter(
-        F.col("rank") == k).select(query_key, "distance").toArrow()
-    found = dict(zip(kth[query_key].to_pylist(), kth["distance"].to_pylist()))
-    d = np.array([found.get(q, np.inf) for q in held[query_key].to_pylist()], dtype=float)
-    return np.nextafter(d ** 2 * (1 + 1e-15), np.inf)
-
-
 def nearest_for_all(queries: DataFrame, corpus: DataFrame, query_key: str, key: str,
                     k: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """For every query its k nearest corpus rows: (query_key, key, distance, rank).
 
-    The queries are cut into hashed blocks of at most about ``block_bytes``; for each block the
-    corpus is scanned where it lies, pairs being measured inside the tasks as matrix products.
-    A sample first bounds every query's k-th distance, so that a task hands on only what may
-    be among the k nearest of the whole corpus; the result is exact. Ties are broken by key.
-    Rows without a vector are left out on both sides. The queries are checkpointed first: they
-    are needed twice, and a model may have made them.
+    The queries are written to the shared folder and stay there: the corpus is scanned once,
+    where it lies, and its tasks read the queries in blocks of about ``block_bytes`` and measure
+    pairs as matrix products. Nothing but file names passes through the driver, and a task's
+    memory holds one block of queries and one of the corpus, whatever their numbers. A hashed
+    sample of the corpus first bounds every query's k-th distance (which can only be farther away
+    there), so that a task hands on only what may be among the k nearest of the whole corpus;
+    the result is exact. Ties are broken by key. Rows without a vector are left out on both
+    sides. Executors must reach ``spark.checkpoint.dir`` through Arrow's file systems too.
     """
+    spark = queries.sparkSession
     out = _output(queries, corpus, query_key, key)
-    queries = checkpoint(
-        queries.select(query_key, "embedding").filter(F.col("embedding").isNotNull()))
     corpus = corpus.select(key, "embedding").filter(F.col("embedding").isNotNull())
-    own = F.size("embedding") * 4 + F.coalesce(F.octet_length(F.col(query_key).cast("string")), F.lit(0))
-    size = queries.agg(F.coalesce(F.sum(own), F.lit(0)).alias("bytes")).first()["bytes"]
-    blocks = max(1, math.ceil(size / block_bytes))
-    found = None
-    for block in range(blocks):
-        mine = F.pmod(F.xxhash64(query_key), F.lit(blocks)) == block
-        held = queries.filter(mine).toArrow()
-        bound = _bounds(held, corpus, query_key, key, k, out)
-        part = _scan(held, bound, corpus, query_key, key, k, out)
-        found = part if found is None else found.unionByName(part)
+    plain, bounded = scratch_path(spark, "queries"), scratch_path(spark, "queries-bounded")
+    # Written once: a model may have made them.
+    queries.select(query_key, "embedding", F.lit(float("inf")).alias("_bound")).filter(
+        F.col("embedding").isNotNull()).write.parquet(plain)
+    asked = spark.read.parquet(plain)
+    sample = corpus.filter(F.pmod(F.xxhash64(key), F.lit(SAMPLE)) == 0)
+    kth = _cut(_scan(asked.inputFiles(), sample, k, out, block_bytes), query_key, key, k).filter(
+        F.col("rank") == k).groupBy(query_key).agg(F.max("distance").alias("_kth"))
+    # The square, rounded up: no smaller than that of any distance up to the k-th.
+    square = F.col("_kth") * F.col("_kth") * (1 + 1e-15) + F.lit(5e-324)
+    asked.join(kth, query_key, "left").select(
+        query_key, "embedding", F.coalesce(square, "_bound").alias("_bound")).write.parquet(bounded)
+    found = _scan(spark.read.parquet(bounded).inputFiles(), corpus, k, out, block_bytes)
     return _cut(found, query_key, key, k)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from jobloom.functions import vectors as V
 from jobloom.operators import encode
 from jobloom.operators.retrieval import (
-    _Best, interview_questions, nearest_for_all, similar_jobs,
+    _Block, interview_questions, nearest_for_all, similar_jobs,
 )
 
 
@@ -54,13 +54,13 @@ def test_near_ties_are_settled_in_double_precision(scale):
     base = rng.normal(size=(1, 96))
     rows = (base + rng.normal(size=(2000, 96)) * 1e-7) * scale
     queries = (base + rng.normal(size=(300, 96)) * 1e-7) * scale
-    best = _Best(queries, 5)
+    best = _Block(queries, 5)
     for at in range(0, 2000, 500):
-        best.add(np.arange(at, at + 500), rows[at:at + 500])
+        part = rows[at:at + 500]
+        best.add(np.arange(at, at + 500), part, (part ** 2).sum(axis=1))
     got = {}
-    for q, key, _ in best.found():
-        for i, j in zip(q.tolist(), key.tolist()):
-            got.setdefault(i, []).append(j)
+    for i, j in zip(best.q.tolist(), best.key.tolist()):
+        got.setdefault(i, []).append(j)
     assert got == brute(queries, rows, 5)
 
 
@@ -77,11 +77,27 @@ def test_corpus_is_not_shuffled(spark, tmp_path):
     got = nearest_for_all(frame(spark, "profile_id", np.eye(4)), spark.read.parquet(
         str(tmp_path / "c")), "profile_id", "job_id", 3, block_bytes=40)
     plan = got._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("MapInArrow") > 1 and not any(
+    assert plan.count("MapInArrow") == 1 and not any(
         x in plan for x in ("Join", "Repartition", "Generate"))
     assert got.count() == 12
 
 
+def test_no_query_passes_through_the_driver(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def refuse(*_, **__):
+        raise AssertionError("rows on the driver")
+
+    rng = np.random.default_rng(4)
+    matrix = rng.normal(size=(900, 6)).astype(np.float32)
+    q, c = frame(spark, "profile_id", matrix), frame(spark, "job_id", matrix).repartition(7)
+    for name in ("collect", "toArrow", "toPandas", "toLocalIterator"):
+        monkeypatch.setattr(DataFrame, name, refuse)
+    got = nearest_for_all(q, c, "profile_id", "job_id", 2, block_bytes=4096)
+    monkeypatch.undo()
+    assert found(got, "job_id") == brute(matrix.astype(float), matrix.astype(float), 2)
+
+
 @settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.lists(st.integers(-2, 2), min_size=3, max_size=3), min_size=1, max_size=40))
 def test_many_equal_distances(spark, matrix):
