@@ -6,16 +6,17 @@ The quartiles reach the rows as a scalar subquery.
 from __future__ import annotations
 
 import math
+import struct
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+import numpy as np
+from pyspark.sql import Column, DataFrame, functions as F
 
 from jobloom.session import checkpoint
 
-# Points of the grid that each look takes inside a bracket.
-GRID = 200
-# Values that are fetched and put in order at the end.
-FEW = 10_000
+# Bits that one pass settles of every wanted value.
+RADIX_BITS = 16
+_SIGN = 1 << 63
 
 
 def approximate_quantiles(
@@ -27,51 +28,57 @@ def approximate_quantiles(
     return df.agg(F.coalesce(found, F.array().cast("array<double>")).alias("q"))
 
 
+def _ordered(v: Column) -> Column:
+    """The bits of a double as a long whose unsigned order is that of the doubles, NaN last."""
+    bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), v).cast("long")
+    return F.when(bits < 0, F.bitwise_not(bits)).otherwise(bits.bitwiseXOR(F.lit(-_SIGN)))
+
+
+def _double(ordered: int) -> float:
+    bits = ordered ^ _SIGN if ordered & _SIGN else ~ordered & (2 ** 64 - 1)
+    return struct.unpack("<d", struct.pack("<Q", bits))[0]
+
+
 def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:
     """One row, one array ``q``: for each p the value at rank ceil(p * n); empty when the
     column holds no value.
 
-    The values alone are checkpointed. A search then narrows a bracket around each rank: a
-    sketch proposes three values inside the bracket, and exact counts of what lies below and
-    at each of them settle which part holds the rank. So a poor sketch costs another look but
-    never a wrong value, and no task or window ever orders more than FEW values.
+    The values alone are checkpointed, as longs in the order of the doubles. Four passes then
+    settle sixteen bits each, from the highest on, of the values at all ranks at once: a pass
+    counts the values that begin like a wanted one by their next bits. Which values there are,
+    and how many ranks are asked for, changes neither the number of passes nor what a pass
+    returns by more than 65,536 counts a rank; nothing is sorted.
     """
-    values = checkpoint(df.select(F.col(column).cast("double").alias("v")).filter("v is not null"))
-    n = values.count()
-    found = [_at_rank(values, n, max(1, math.ceil(float(p) * n))) for p in probabilities] if n else []
-    row = F.array(*map(F.lit, found)) if found else F.array()
+    v = F.col(column).cast("double")
+    values = checkpoint(df.select((v + 0.0).alias("v")).filter("v is not null").select(  # no -0.0
+        _ordered(F.col("v")).alias("u")))
+    begun: list[int] = []
+    ranks: list[int] = []
+    for shift in range(64 - RADIX_BITS, -1, -RADIX_BITS):
+        top = F.shiftrightunsigned("u", shift + RADIX_BITS) if ranks else F.lit(0).cast("long")
+        like = values.filter(top.isin(sorted(set(begun)))) if ranks else values
+        digit = F.shiftrightunsigned("u", shift).bitwiseAND(F.lit((1 << RADIX_BITS) - 1))
+        bins = like.groupBy(top.alias("top"), digit.alias("digit")).agg(
+            F.count("*").alias("n")).toArrow()
+        tops, digits, sizes = (bins[c].to_numpy() for c in ("top", "digit", "n"))
+        if not ranks:
+            n = int(sizes.sum())
+            ranks = [max(1, math.ceil(float(p) * n)) for p in probabilities] if n else []
+            begun = [0] * len(ranks)
+            if not ranks:
+                break
+        order = np.lexsort((digits, tops))
+        tops, digits, sizes = tops[order], digits[order], sizes[order]
+        for i, (head, rank) in enumerate(zip(begun, ranks)):
+            own = slice(*np.searchsorted(tops, [head, head + 1]))
+            upto = np.cumsum(sizes[own])
+            at = int(np.searchsorted(upto, rank))
+            ranks[i] = rank - int(upto[at - 1] if at else 0)
+            begun[i] = head << RADIX_BITS | int(digits[own][at])
+    row = F.array(*[F.lit(_double(u)) for u in begun]) if begun else F.array()
     return df.sparkSession.range(1).select(row.cast("array<double>").alias("q"))
 
 
-def _at_rank(values: DataFrame, n: int, rank: int) -> float:
-    """The value at ``rank`` (from 1) among ``n``."""
-    inside, below, size = values, 0, n
-    while size > FEW:
-        grid = inside.agg(F.percentile_approx(
-            "v", [i / GRID for i in range(GRID + 1)], 10 * GRID)).first()[0]
-        place = (rank - below) / size * GRID
-        tries = sorted({grid[min(GRID, max(0, int(place) + d))] for d in (-1, 0, 2)})
-        counts = inside.agg(*[c for i, x in enumerate(tries) for c in (
-            F.count_if(F.col("v") < x).alias(f"under{i}"), F.count_if(F.col("v") <= x).alias(f"upto{i}"))
-        ]).first()
-        low, high = below, below + size
-        for i, x in enumerate(tries):
-            under, upto = below + counts[f"under{i}"], below + counts[f"upto{i}"]
-            if under < rank <= upto:
-                return x
-            if upto < rank and upto >= low:
-                low, inside = upto, inside.filter(F.col("v") > x)
-            elif under >= rank and under <= high:
-                high, inside = under, inside.filter(F.col("v") < x)
-        below, size = low, high - low
-    rows = inside.groupBy("v").agg(F.count("*").alias("n")).collect()
-    for r in sorted(rows, key=lambda r: (math.isnan(r.v), r.v)):
-        below += r.n
-        if below >= rank:
-            return r.v
-    raise AssertionError("the rank lies outside its bracket")
-
-
 def quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
               relative_error: float = 0.05) -> DataFrame:
     if relative_error > 0:
