@@ -92,11 +92,13 @@ def d6(t):
     return dedupe.distinct_in_order(rows, "title", "rank")
 
 
-@case("""select l_orderkey, l_linenumber, l_extendedprice from lineitem
-      order by l_extendedprice desc, l_orderkey, l_linenumber limit 20""")
+@case("""select p_name as skill, cast(count(*) as bigint) as count
+      from lineitem join part on l_partkey = p_partkey
+      group by p_name order by count desc, skill limit 20""")
 def d7(t):
-    return t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice").orderBy(
-        F.desc("l_extendedprice"), "l_orderkey", "l_linenumber").limit(20)
+    """The twenty most frequent values, ties by name."""
+    named = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    return demand.top_skills(named.select(F.col("p_name").alias("skill")), n=20)
 
 
 @case("""select row_number() over (order by source, doc_id) as q_id, doc_id, source

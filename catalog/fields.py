@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.common import (
-    RAW_JOBS_ONCE_SQL, PROFILES_SQL, SQL_NON_WS, SQL_WS, case, profiles, raw_jobs_once,
-    sql_collapse, sql_stamp, sql_strip, stamp,
+    JOB_VECTORS_SQL, JOBS_SQL, RAW_JOBS_ONCE_SQL, PROFILES_SQL, SQL_NON_WS, SQL_WS, case,
+    job_vectors, jobs, profiles, raw_jobs_once, sql_collapse, sql_stamp, sql_strip, stamp,
 )
+from catalog.joins import MEAN_VECTOR_SQL, mean_vector
 from jobloom.functions import text, values, vectors
 from jobloom.functions.lists import deduplicate_skills, split_skills
+from jobloom.operators.retrieval import similar_jobs
 from jobloom.plans.report import ALL_SECTIONS, ANY_SECTION
 from jobloom.plans.silver import select_raw
 
@@ -159,11 +161,14 @@ def c16(t):
         "profile_id", F.array_join(split_skills("skills"), "|").alias("skills"))
 
 
-@case("""select doc_id, nullif(lang, 'es') as title from documents
-      where nullif(lang, 'es') is not null""")
+@case(f"""select j.job_id, title, round(list_distance(embedding::double[], {MEAN_VECTOR_SQL}), 6)
+        as distance
+      from ({JOB_VECTORS_SQL}) v join ({JOBS_SQL}) j on j.job_id = v.job_id
+      where title is not null""")
 def c17(t):
-    titled = t.documents.selectExpr("doc_id", "nullif(lang, 'es') as title")
-    return titled.filter(F.col("title").isNotNull())
+    """Every job with a title and a vector, as a search for more jobs than there are finds it."""
+    found = similar_jobs(job_vectors(t), jobs(t), mean_vector(t), top_k=1_000_000)
+    return found.select("job_id", "title", F.round("distance", 6).alias("distance"))
 
 
 @case("""select e.vec_id, round(1 / (1 + list_distance(e.embedding::double[], c.embedding::double[])),

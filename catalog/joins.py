@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from catalog.common import JOB_SKILLS_SQL, case, job_skill_rows
 from jobloom.functions.skills import extract_skills
 from jobloom.functions.vectors import euclidean_distance
-from jobloom.operators.demand import jobs_with_skills
+from jobloom.operators.demand import jobs_with_skills, top_skills
 from jobloom.operators.evaluation import common_values, missing_values
+from jobloom.operators.merge import new_pairs
 from jobloom.sources.questions import union_sources
 
 
@@ -74,21 +75,20 @@ def f5(t):
       select 'unknown', cast(count(*) as bigint) from orders
         where o_orderkey not in (select l_orderkey from lineitem)""")
 def f6(t):
-    keys = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"))
-    known = t.orders.join(keys, "o_orderkey", "left_semi")
-    unknown = t.orders.join(keys, "o_orderkey", "left_anti")
-    return known.agg(F.lit("known").alias("side"), F.count("*").alias("rows")).union(
-        unknown.agg(F.lit("unknown").alias("side"), F.count("*").alias("rows")))
+    known = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"))
+    both = common_values(t.orders.select("o_orderkey"), known)
+    new = new_pairs(known, t.orders, ["o_orderkey"])
+    return both.agg(F.lit("known").alias("side"), F.count("*").alias("rows")).union(
+        new.agg(F.lit("unknown").alias("side"), F.count("*").alias("rows")))
 
 
-@case(f"""select job_id, skill, cast(count(*) as bigint) as rows from ({JOB_SKILLS_SQL})
+@case(f"""select skill, cast(count(*) as bigint) as count from ({JOB_SKILLS_SQL})
       where job_id in (select cast(o_orderkey as string) from orders where o_orderstatus = 'F')
-      group by 1, 2""")
+      group by skill order by count desc, skill limit 30""")
 def c18(t):
     ids = t.orders.filter("o_orderstatus = 'F'").select(
         F.col("o_orderkey").cast("string").alias("job_id"))
-    return (job_skill_rows(t).join(ids, "job_id", "left_semi")
-            .groupBy("job_id", "skill").agg(F.count("*").alias("rows")))
+    return top_skills(job_skill_rows(t), ids)
 
 
 @case("""select source, cast(count(*) as bigint) as rows,

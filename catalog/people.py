@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 
 from catalog.aggregates import SCORES_SQL, skill_lists
 from catalog.common import (
-    JOB_SKILLS_SQL, JOBS_SQL, PROFILES_SQL, SQL_WS, case, job_skill_rows, job_vectors, jobs,
-    profile_vectors, profiles, sql_strip,
+    JOB_SKILLS_SQL, JOB_VECTORS_SQL, JOBS_SQL, PROFILE_VECTORS_SQL, PROFILES_SQL, SQL_WS, case,
+    job_skill_rows, job_vectors, jobs, profile_vectors, profiles, sql_strip,
 )
 from catalog.vectors import (
-    QUESTION_SHORTLIST_SQL, SHORTLIST_SQL, _with_centre, question_vectors, questions,
+    QUESTION_SHORTLIST_SQL, SHORTLIST_SQL, _with_centre, letter_encoder, question_vectors, questions,
 )
 from jobloom.functions.text import line_count, word_count
 from jobloom.functions.vectors import cosine_similarity
+from jobloom.operators.encode import encode_texts
 from jobloom.plans import career
 from jobloom.plans.report import (
     ALL_SECTIONS, ANY_SECTION, evaluation_report, similarity_scores, write_report,
@@ -139,18 +140,17 @@ def i7(t):
     return career.with_prompt(profile_rows(t)).select("profile_id", "prompt")
 
 
-@case(f"""{ROWS_SQL}, texts as (select *, {roadmap_sql(_TOP_GAP)} as roadmap from rows)
+I4_SQL = f"""{ROWS_SQL}, texts as (select *, {roadmap_sql(_TOP_GAP)} as roadmap from rows)
       select profile_id, array_to_string(similar_roles, '|') as similar_roles,
         array_to_string(skill_gap, '|') as skill_gap,
         cast(len(questions) as bigint) as questions,
         cast(len(list_filter(regexp_split_to_array(roadmap, '{SQL_WS}+'), lambda w: w <> ''))
           as bigint) as words,
         cast(len(string_split(roadmap, chr(10))) as bigint) as lines
-      from texts""")
-def i4(t):
-    analysis = career.analyze_careers(
-        profiles(t), jobs(t), job_vectors(t), job_skill_rows(t).select("job_id", "skill"),
-        questions(t), question_vectors(t), queries=(profile_vectors(t), profile_vectors(t)))
+      from texts"""
+
+
+def _analysed(analysis):
     return analysis.select(
         "profile_id", F.array_join("similar_roles", "|").alias("similar_roles"),
         F.array_join("skill_gap", "|").alias("skill_gap"),
@@ -159,6 +159,56 @@ def i4(t):
         line_count("roadmap").cast("bigint").alias("lines"))
 
 
+@case(I4_SQL)
+def i4(t):
+    return _analysed(career.analyze_careers(
+        profiles(t), jobs(t), job_vectors(t), job_skill_rows(t).select("job_id", "skill"),
+        questions(t), question_vectors(t), queries=(profile_vectors(t), profile_vectors(t))))
+
+
+def _letters_sql(rows: str, key: str, text: str) -> str:
+    """key, embedding: the vectors that letter_encoder makes of a text column."""
+    counts = ", ".join(f"len(lower({text})) - len(replace(lower({text}), '{chr(97 + i)}', ''))"
+                       for i in range(26))
+    return (f"select {key}, list_transform(v, lambda y: (y / coalesce(nullif(sqrt(list_sum("
+            f"list_transform(v, lambda x: x * x))), 0), 1))::float) as embedding "
+            f"from (select {key}, [{counts}]::double[] as v from ({rows}) where {text} is not null)")
+
+
+_ASKED_SQL = f"""select profile_id,
+    'Target role: ' || coalesce(target_role, '') || '. Current skills: ' || skills as for_jobs,
+    'Technical interview questions for ' || coalesce(target_role, '') || '. Candidate skills: '
+      || skills as for_questions from ({PROFILES_SQL})"""
+
+
+def _from_text(sql: str) -> str:
+    """The analysis in SQL with vectors made of the texts."""
+    vectors = f"""with jv as materialized ({_letters_sql(JOBS_SQL, 'job_id', 'description')}),
+      qv as materialized ({_letters_sql('select item_id, text from benchmark', 'item_id', 'text')}),
+      pj as materialized ({_letters_sql(_ASKED_SQL, 'profile_id', 'for_jobs')}),
+      pq as materialized ({_letters_sql(_ASKED_SQL, 'profile_id', 'for_questions')}),"""
+    jobs_part = SHORTLIST_SQL.replace(f"({PROFILE_VECTORS_SQL})", "pj").replace(
+        f"({JOB_VECTORS_SQL})", "jv")
+    asked_part = QUESTION_SHORTLIST_SQL.replace(f"({PROFILE_VECTORS_SQL})", "pq").replace(
+        "embeddings v", "(select item_id as vec_id, embedding from qv) v")
+    return sql.replace(SHORTLIST_SQL, jobs_part).replace(QUESTION_SHORTLIST_SQL, asked_part).replace(
+        "with hits", vectors + " hits", 1)
+
+
+@case(_from_text(I4_SQL))
+def i4_text(t):
+    """The analysis from texts alone: postings, questions and profiles are encoded first."""
+    job_texts = jobs(t).select("job_id", "description")
+    asked = questions(t).select("q_id", "question")
+    analysis = career.analyze_careers(
+        profiles(t), jobs(t),
+        checkpoint(encode_texts(job_texts, "description", letter_encoder).drop("description")),
+        job_skill_rows(t).select("job_id", "skill"), questions(t),
+        checkpoint(encode_texts(asked, "question", letter_encoder).drop("question")),
+        make_encoder=letter_encoder)
+    return _analysed(analysis)
+
+
 def _all(phrases, glue):
     return f" {glue} ".join(f"contains(lower(text), '{p}')" for p in phrases)
 
@@ -211,6 +261,7 @@ def i8(t):
 
 CASES = {
     "i4_career_analysis": i4,
+    "i4_career_analysis_from_text": i4_text,
     "i5_skill_gap": i5,
     "i6_roadmap_texts": i6,
     "i7_prompt_texts": i7,

@@ -84,9 +84,9 @@ def b5(t):
                   where label < 6),
       s as (select cast(vec_id as string) as job_id, list_reverse(embedding) as embedding
             from embeddings where label >= 4)
-      select coalesce(s.job_id, t.job_id) as job_id,
-        round(coalesce(s.embedding, t.embedding)[1]::double, 6) as first,
-        round(coalesce(s.embedding, t.embedding)[64]::double, 6) as last
+      select coalesce(s.job_id, t.job_id) as job_id, array_to_string(list_transform(
+        coalesce(s.embedding, t.embedding), lambda x: cast(round(x::double * 1e6) as bigint)), ' ')
+        as parts
       from t full join s on t.job_id = s.job_id""")
 def b6(t):
     target = t.embeddings.filter("label < 6").select(
@@ -94,9 +94,9 @@ def b6(t):
     stage = t.embeddings.filter("label >= 4").select(
         F.col("vec_id").alias("job_id"),
         F.reverse("embedding").cast("array<double>").alias("embedding"))
-    return merge.upsert_vectors(target, stage, "job_id", 64).select(
-        "job_id", F.round(F.col("embedding")[0].cast("double"), 6).alias("first"),
-        F.round(F.col("embedding")[63].cast("double"), 6).alias("last"))
+    merged = merge.upsert_vectors(target, stage, "job_id", 64)
+    parts = F.transform("embedding", lambda x: F.round(x.cast("double") * 1e6).cast("bigint"))
+    return merged.select("job_id", F.array_join(parts.cast("array<string>"), " ").alias("parts"))
 
 
 @case("""select row_number() over (order by conv_id, turn) as q_id, md5(text) as question,
