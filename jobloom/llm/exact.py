@@ -4,34 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from jobloom.llm.words import ascii_lower, known
+from jobloom.llm.words import ascii_lower, attached, known
+from jobloom.session import checkpoint
 
-# Tasks whose winners meet under one salt. The number of salts grows with the number of tasks.
-TASKS_PER_SALT = 64
+# Groups of tasks whose winners meet first. They act from two tasks on.
+SALTS = 8
 
 
 def content_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per distinct text: text_sha256, keep_id (largest id), group_size.
+    """One row per distinct text: text_sha256, _size (bytes), _more (a second hash), keep_id
+    (largest id), group_size.
 
     Every step groups by the whole normalised text beside its digest, so equality never rests
     on a digest alone:
 
     1. inside each task, before the shuffle (partial aggregation), copies fold into one row;
-    2. the winners of up to ``TASKS_PER_SALT`` tasks meet under (digest, salt, text);
+    2. the winners of every ``SALTS``-th task meet under (digest, salt, text);
     3. the winners of the salts meet under (digest, text).
 
     A text that fills a third of the table sends one row per task into step 2 and one row per
     salt into step 3.
     """
     norm = ascii_lower(known(F.col(text_col)))
-    salt = F.floor(F.spark_partition_id() / TASKS_PER_SALT)
+    salt = F.pmod(F.spark_partition_id(), F.lit(SALTS))
     rows = docs.select(F.col(id_col).alias("_id"), norm.alias("_norm")).select(
         "_id", "_norm", F.sha2("_norm", 256).alias("text_sha256"), salt.alias("_salt"))
     salted = rows.groupBy("text_sha256", "_salt", "_norm").agg(
         F.max("_id").alias("_id"), F.count("*").alias("_n"))
     whole = salted.groupBy("text_sha256", "_norm").agg(
         F.max("_id").alias("keep_id"), F.sum("_n").alias("group_size"))
-    return whole.select("text_sha256", "keep_id", "group_size")
+    return whole.select("text_sha256", F.octet_length("_norm").alias("_size"),
+                        F.xxhash64("_norm").alias("_more"), "keep_id", "group_size")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -41,11 +44,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     the largest id stays. Rows that repeat an id and a text are members of the group like any
     other and are all ``kept`` when theirs is the largest id. A null id is never kept unless
     every id of its group is null; then keep_id is null and all of them are kept. An empty
-    table gives no rows; other columns are ignored.
+    table gives no rows; other columns are ignored. Rows find their group by two digests and
+    the length of their text.
     """
-    digest = F.sha2(ascii_lower(known(F.col(text_col))), 256)
-    rows = docs.select(F.col(id_col), digest.alias("text_sha256"))
-    joined = rows.join(content_groups(docs, id_col, text_col), "text_sha256")
+    norm = ascii_lower(known(F.col(text_col)))
+    rows = docs.select(F.col(id_col), norm.alias("_norm")).select(
+        id_col, F.sha2("_norm", 256).alias("text_sha256"), F.octet_length("_norm").alias("_size"),
+        F.xxhash64("_norm").alias("_more"))
+    groups = checkpoint(content_groups(docs, id_col, text_col))
+    total = groups.agg(F.coalesce(F.sum("group_size"), F.lit(0))).first()[0]
+    joined = attached(rows, groups, ["text_sha256", "_size", "_more"], "group_size", total)
     return joined.select(
         id_col, "keep_id", F.col("group_size").cast("long").alias("group_size"),
         F.col(id_col).eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from jobloom.llm.words import known
+from jobloom.llm.words import attached, known
 from jobloom.session import checkpoint
 
 # The three kinds, in order. A match is dropped when its value is shorter than
@@ -17,7 +17,8 @@ HEX = r"[0-9a-f]{24,}"
 KINDS = {"assign": (ASSIGN, 2, 6), "access": (ACCESS, 0, 20), "hex": (HEX, 0, 24)}
 NAMES = [*KINDS, "live"]
 
-EXAMPLE_OWNERS = 3   # a value that so many owners hold is a copied example
+EXAMPLE_OWNERS = 3         # a value that so many owners hold is a copied example,
+EXAMPLE_REPOSITORIES = 10  # and so is one in so many repositories, whoever owns them
 LIVE_SYMBOLS = 8     # a live-looking value has at least so many different characters
 
 _SPAN = "struct<start:long,kind:int,stop:long,value_start:long,hash:string,mixed:boolean>"
@@ -95,33 +96,38 @@ def ownership(found: DataFrame) -> DataFrame:
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  owner_col: str = "source", repository_col: str = "doc_id") -> DataFrame:
     """One row per document: id, n_assign, n_access, n_hex, base_sha256, spans, n_live,
-    n_example.
-
-    ``spans`` holds the base spans and, for every value that looks random and is held by fewer
-    than ``EXAMPLE_OWNERS`` owners, a ``live`` span over the value itself. ``n_example``
-    counts the base spans whose value is a widely copied example. Null text counts as empty
-    (no spans); a null owner is one owner, a null repository one repository; rows that repeat
-    id and text give equal rows; an empty table gives none.
+    n_example, most_owners, most_repositories.
+
+    ``spans`` holds the base spans and, for every value that looks random and is neither held by
+    ``EXAMPLE_OWNERS`` owners nor found in ``EXAMPLE_REPOSITORIES`` repositories, a ``live`` span
+    over the value itself. ``n_example`` counts the base spans whose value is a widely copied
+    example; the last two columns are the largest counts of the document's values (without
+    values 0). Null text counts as empty (no spans); a null owner is one owner, a null
+    repository one repository; rows that repeat id and text give equal rows; an empty table
+    gives none.
     """
     found = checkpoint(candidates(docs, id_col, text_col, owner_col, repository_col))
-    stats = ownership(found).withColumn("_wide", F.col("owners") >= EXAMPLE_OWNERS)
+    wide = (F.col("owners") >= EXAMPLE_OWNERS) | (F.col("repositories") >= EXAMPLE_REPOSITORIES)
+    stats = checkpoint(ownership(found).withColumn("_wide", wide))
     keys = found.filter(F.size("_base") > 0).select(
-        "_id", "_text", F.explode("_base").alias("s")).distinct()
-    judged = keys.select("_id", "_text", "s", F.col("s.hash").alias("hash")).join(
-        stats.select("hash", "_wide"), "hash")
+        "_id", "_text", F.explode("_base").alias("s")).distinct().select(
+        "_id", "_text", "s", F.col("s.hash").alias("hash"))
+    total = stats.agg(F.coalesce(F.sum("repositories"), F.lit(0))).first()[0]
+    judged = attached(keys, stats, ["hash"], "repositories", total)
     live = F.struct(
         F.col("s.value_start").alias("start"), F.lit(NAMES.index("live")).alias("kind"),
         F.col("s.stop").alias("stop"))
     per_doc = judged.groupBy("_id", "_text").agg(
         F.collect_set(F.when(~F.col("_wide") & F.col("s.mixed"), live)).alias("_live"),
-        F.count_if("_wide").alias("_examples"))
+        F.count_if("_wide").alias("_examples"), F.max("owners").alias("_owners"),
+        F.max("repositories").alias("_repos"))
     per_doc = per_doc.select(F.col("_id").alias("_id2"), F.col("_text").alias("_text2"),
-                             "_live", "_examples")
+                             "_live", "_examples", "_owners", "_repos")
     with_any = found.filter(F.size("_base") > 0).join(
         per_doc, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_text") == F.col("_text2")))
     none = found.filter(F.size("_base") == 0).withColumns({
         "_live": F.array().cast("array<struct<start:long,kind:int,stop:long>>"),
-        "_examples": F.lit(0).cast("long")})
+        **{c: F.lit(0).cast("long") for c in ("_examples", "_owners", "_repos")}})
     rows = with_any.select(*none.columns).unionByName(none)
     short = F.transform("_base", lambda s: F.struct(s["start"], s["kind"], s["stop"]))
     base = _written(F.col("_base"))
@@ -132,7 +138,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.col("_id").alias(id_col), *[c.alias(n) for n, c in count.items()],
         F.sha2(base, 256).alias("base_sha256"),
         _written(F.array_sort(F.concat(short, F.col("_live")))).alias("spans"),
-        F.size("_live").cast("long").alias("n_live"), F.col("_examples").alias("n_example"))
+        F.size("_live").cast("long").alias("n_live"), F.col("_examples").alias("n_example"),
+        F.col("_owners").alias("most_owners"), F.col("_repos").alias("most_repositories"))
 
 
 def _sql() -> str:
@@ -155,9 +162,12 @@ s as (
     length(found[i]) as n
   from (select *, unnest(range(1, len(found) + 1)) as i from k)),
 base as (select *, start + n as stop from s where length(val) >= least),
-owners as (select val, count(distinct coalesce(source, chr(0))) >= {EXAMPLE_OWNERS} as wide
+owners as (select val, count(distinct coalesce(source, chr(0))) as owners,
+    count(distinct coalesce(source, chr(0)) || chr(1) || coalesce(cast(doc_id as varchar), chr(0)))
+      as repositories,
+    owners >= {EXAMPLE_OWNERS} or repositories >= {EXAMPLE_REPOSITORIES} as wide
   from base group by val),
-judged as (select b.*, wide, not wide and regexp_matches(val, '[0-9]')
+judged as (select b.*, owners, repositories, wide, not wide and regexp_matches(val, '[0-9]')
     and regexp_matches(val, '[A-Za-z]')
     and len(list_distinct(string_split(val, ''))) >= {LIVE_SYMBOLS} as live
   from base b join owners using (val)),
@@ -172,12 +182,14 @@ written as (
   from spans group by doc_id),
 counted as (
   select doc_id, {counts}, cast(count(*) filter (wide) as bigint) as n_example,
+    cast(max(owners) as bigint) as most_owners, cast(max(repositories) as bigint) as most_repositories,
     string_agg(list_extract([{names}], kind + 1) || ':' || cast(start as bigint) || ':'
       || cast(stop as bigint), ',' order by start, kind) as base
   from judged group by doc_id)
 select doc_id, {", ".join(f"coalesce(n_{k}, 0) as n_{k}" for k in KINDS)},
   sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans,
-  coalesce(n_live, 0) as n_live, coalesce(n_example, 0) as n_example
+  coalesce(n_live, 0) as n_live, coalesce(n_example, 0) as n_example,
+  coalesce(most_owners, 0) as most_owners, coalesce(most_repositories, 0) as most_repositories
 from d left join counted using (doc_id) left join written using (doc_id)
 """
 

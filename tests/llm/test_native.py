@@ -129,6 +129,31 @@ def test_copied_values_are_examples(spark):
     assert secrets.scan_secrets(df.limit(0)).count() == 0
 
 
+def test_repositories_decide_where_owners_are_few(spark):
+    values = ["Aa1Bb2Cc3Dd4", "Ee5Ff6Gg7Hh8"]
+    rows = [(i, f"token={values[0]}", f"s{i % 2}") for i in range(secrets.EXAMPLE_REPOSITORIES)]
+    rows += [(i, f"token={values[1]}", "s0") for i in range(100, 99 + secrets.EXAMPLE_REPOSITORIES)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = {r.doc_id: r for r in secrets.scan_secrets(df).collect()}
+    assert len(got) == len(rows)
+    for i, r in got.items():
+        n = secrets.EXAMPLE_REPOSITORIES - (i >= 100)
+        assert (r.most_owners, r.most_repositories) == (1 if i >= 100 else 2, n)
+        assert (r.n_live, r.n_example) == ((1, 0) if i >= 100 else (0, 1))
+
+
+def test_hot_keys_meet_their_facts_like_others(spark):
+    from jobloom.llm.words import attached
+
+    rows = spark.range(9000).selectExpr("id", "if(id % 3 = 0, 'hot', cast(id % 2500 as string)) k")
+    facts = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("most"))
+    for total in (9000, 1, 10**9):
+        got = attached(rows, facts, ["k"], "n", total)
+        want = rows.join(facts, "k").select(*got.columns)
+        assert got.columns == ["id", "k", "n", "most"]
+        assert got.count() == 9000 and got.exceptAll(want).isEmpty()
+
+
 def test_licenses_of_odd_rows(odd):
     df = licenses.scan_licenses(odd)
     assert no_python(df)
