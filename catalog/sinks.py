@@ -10,7 +10,7 @@ from catalog.aggregates import SCORES_SQL, skill_lists
 from catalog.common import RAW_JOBS_ONCE_SQL, case, raw_jobs_once, sql_stamp, stamp
 from jobloom.functions.vectors import parse_vector
 from jobloom.operators import merge
-from jobloom.operators.dedupe import dense_ids
+from jobloom.operators.dedupe import dense_ids, first_per_key
 from jobloom.operators.evaluation import evaluate_lists
 from jobloom.plans.report import write_report
 from jobloom.plans.silver import clean_fields, select_raw
@@ -29,6 +29,23 @@ def b1(t):
         F.md5("description").alias("description"))
 
 
+@case("""select o_orderkey, round(case when o_orderdate >= timestamp '1996-06-01' then 2 else 1 end
+        * o_totalprice, 2) as o_totalprice,
+        strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') as dt from orders""")
+def b1_update(t):
+    """Orders up to 1996 as stored, those from June 1996 on as new rows at twice the price."""
+    path, new = scratch_path(t.spark, "orders"), scratch_path(t.spark, "new-orders")
+    rows = t.orders.select("o_orderkey", "o_totalprice", F.trunc("o_orderdate", "month").alias("dt"))
+    tables.write_silver(rows.filter("dt < date '1997-01-01'"), path)
+    rows.filter("dt >= date '1996-06-01'").withColumn(
+        "o_totalprice", F.col("o_totalprice") * 2).write.parquet(new)
+    tables.update_silver(t.spark.read.parquet(new), path, "o_orderkey", lambda both: first_per_key(
+        both, ["o_orderkey"], [F.col("o_totalprice").desc()]))
+    return tables.read_silver(t.spark, path).select(
+        "o_orderkey", F.round("o_totalprice", 2).alias("o_totalprice"),
+        F.col("dt").cast("string").alias("dt"))
+
+
 @case("select cast(doc_id as string) as id, md5(text) as description, lang as title from documents")
 def b2(t):
     root = scratch_path(t.spark, "landed")
@@ -157,6 +174,27 @@ def b_warehouse(t):
         F.round(F.col("embedding")[0].cast("double"), 6).alias("first"))
 
 
+@case(f"""with j as (select id as job_id, lower(case when cast(id as bigint) % 2 = 0
+          then company else location end) as role_title, category from ({RAW_JOBS_ONCE_SQL}))
+      select trim(role_title) as role_title, skill, cast(count(*) as bigint) as demand_count from (
+        select job_id, role_title, category as skill from j
+        union select job_id, role_title, 'more' from j where cast(job_id as bigint) % 3 = 0)
+      group by 1, 2""")
+def b_counts(t):
+    """Counts kept up to date over three loads: skills, then other titles for half of the jobs,
+    then further skills."""
+    w = tables.Warehouse(t.spark, f"jobloom_{uuid.uuid4().hex[:12]}",
+                         scratch_path(t.spark, "warehouse"), dim=64, buckets=4, count_demand=True)
+    w.ensure_tables()
+    jobs = clean_fields(select_raw(raw_jobs_once(t))).withColumn("title", F.col("location"))
+    w.upsert_jobs(jobs)
+    w.add_skills("job_skills_ner", jobs.select("job_id", F.col("category").alias("skill")))
+    w.upsert_jobs(jobs.filter("cast(job_id as bigint) % 2 = 0").withColumn("title", F.col("company")))
+    w.add_skills("job_skills_ner", jobs.filter("cast(job_id as bigint) % 3 = 0").select(
+        "job_id", F.lit("more").alias("skill")))
+    return w.table("v_role_skill_counts")
+
+
 @case("""select row_number() over (order by conv_id, turn) as q_id, md5(text) as question,
         role as topic, true as stamped from conversations""")
 def b_questions(t):
@@ -198,6 +236,7 @@ def b10(t):
 
 CASES = {
     "b1_silver_write": b1,
+    "b1_silver_update": b1_update,
     "b2_bronze_write": b2,
     "b3_key_check": b3,
     "b4_upsert_rows": b4,
@@ -205,6 +244,7 @@ CASES = {
     "b6_upsert_vectors": b6,
     "b7_b11_reload_with_ids": b7,
     "b3_b6_warehouse_loads": b_warehouse,
+    "e5_counts_kept_by_loads": b_counts,
     "b7_b11_warehouse_questions": b_questions,
     "b8_report_json": b8,
     "b9_load_coercion": b9,

@@ -11,8 +11,9 @@ from catalog.common import RAW_JOBS_ONCE_SQL, case, raw_jobs_once, sql_collapse,
 from jobloom.plans.questions import clean_questions
 from jobloom.plans.silver import select_raw
 from jobloom.schemas import API_PAGE, BRONZE_JOBS
-from jobloom.session import scratch_path
+from jobloom.session import checkpoint, scratch_path
 from jobloom.sources import jobs, questions, tables
+from jobloom.sources.ledger import Ledger
 
 
 def bronze(t):
@@ -39,6 +40,22 @@ def a1(t):
         F.col("date").cast("string").alias("date"))
 
 
+@case("""select cast(doc_id as string) as id, md5(text) as description from documents
+      where doc_id % 2 = 1""")
+def a1_unread(t):
+    """Two days of landed postings, of which the first has been loaded before."""
+    root = scratch_path(t.spark, "landed")
+    ledger = Ledger(t.spark, scratch_path(t.spark, "ledger"))
+    rows = t.documents.select(F.col("doc_id").cast("string").alias("id"),
+                              F.col("text").alias("description"), (F.col("doc_id") % 2).alias("odd"))
+    for odd, day in ((0, "2024-05-01"), (1, "2024-05-02")):
+        jobs.write_bronze(rows.filter(F.col("odd") == odd).drop("odd"), root, day)
+        new = checkpoint(ledger.unread(root))
+        ledger.record(new)
+    paths = [r.path for r in new.select("path").collect()]
+    return jobs.read_bronze(t.spark, root, paths).select("id", F.md5("description").alias("description"))
+
+
 @case("""select strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') as dt,
         cast(count(*) as bigint) as rows,
         round(sum(o_totalprice), 2) as price from orders group by 1""")
@@ -226,6 +243,7 @@ def a7(t):
 CASES = {
     "i3_question_folder": i3_folder,
     "a1_bronze_jobs_scan": a1,
+    "a1_unread_files": a1_unread,
     "a2_silver_scan": a2,
     "a3_c12_c13_question_csv_folder": a3,
     "a4_question_lists": a4,

@@ -49,13 +49,16 @@ def clean_descriptions(rows: DataFrame) -> DataFrame:
 _DECIDING = ("job_id", "title", "company", "location", "url", "posted_ts", "salary_mid")
 
 
-def clean_jobs(bronze: DataFrame, relative_error: float = 0.05) -> DataFrame:
+def clean_jobs(bronze: DataFrame, relative_error: float = 0.05,
+               known: DataFrame | None = None) -> DataFrame:
     """Clean, keep the newest posting per business key, null salary outliers, keep the
     newest row per job. Outliers are judged between the two dedupes.
 
     Bronze is read once: the cleaned rows go to shared storage with a number each. Both
     dedupes and the quartiles work on the deciding columns alone, and the rows that remain
-    are joined to their texts, which are moved this one time and cleaned only then.
+    are joined to their texts, which are moved this one time and cleaned only then. Where
+    bronze is what has come since the last load, ``known`` holds the silver rows so far, whose
+    salaries count for the quartiles as well.
     """
     spark = bronze.sparkSession
     path = scratch_path(spark, "cleaned")
@@ -65,6 +68,10 @@ def clean_jobs(bronze: DataFrame, relative_error: float = 0.05) -> DataFrame:
     rows = spark.read.parquet(path)
     deciding = rows.select("_row", "_hash", *_DECIDING)
     distinct = checkpoint(newest_posting(deciding, F.col("_hash")))
-    kept = newest_per_job(null_outliers(distinct, "salary_mid", relative_error), F.col("_hash"))
+    salaries = distinct.select("salary_mid")
+    if known is not None:
+        salaries = salaries.union(known.select(mid_salary("salary_min", "salary_max")))
+    judged = null_outliers(distinct, "salary_mid", relative_error, source=salaries)
+    kept = newest_per_job(judged, F.col("_hash"))
     whole = rows.drop("salary_mid", "_hash").join(kept.select("_row", "salary_mid"), "_row")
     return clean_descriptions(whole.select(*cleaned.columns))

@@ -107,3 +107,11 @@ TABLES = {
         TableSpec("interview_skills_ner", INTERVIEW_SKILLS, ("q_id", "skill")),
     )
 }
+
+# Kept beside the six tables where a warehouse counts demand as it loads. A role is written
+# with a sign before it, so that a missing one has a key as well.
+ROLE_SKILL_COUNTS = TableSpec("role_skill_counts", T.StructType([
+    T.StructField("role_key", T.StringType(), False),
+    T.StructField("skill", T.StringType(), False),
+    T.StructField("demand_count", T.LongType()),
+]), ("role_key", "skill"), ("demand_count",))

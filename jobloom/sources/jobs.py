@@ -42,11 +42,12 @@ def write_bronze(df: DataFrame, root: str, load_date: Column | str) -> None:
        .option("ignoreNullFields", "false").json(root))
 
 
-def read_bronze(spark: SparkSession, root: str) -> DataFrame:
-    """All JSON-line files under ``date=*`` folders; an error when there is none."""
+def read_bronze(spark: SparkSession, root: str, files: list[str] | None = None) -> DataFrame:
+    """All JSON-line files under ``date=*`` folders, or the given ones of them; an error when
+    there is none."""
     try:
         return (spark.read.schema(BRONZE_JOBS).option("basePath", root)
-                .json(f"{root.rstrip('/')}/date=*/*.json*"))
+                .json(files or f"{root.rstrip('/')}/date=*/*.json*"))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             raise FileNotFoundError(f"no bronze job files under {root}") from e

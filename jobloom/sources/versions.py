@@ -19,6 +19,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobloom.schemas import TableSpec
+from jobloom.sources.storage import delete, names
 
 Piece = tuple[int, int]  # load, bucket
 MOST_PIECES = 8          # pieces of a bucket before they are written anew as one
@@ -35,18 +36,6 @@ class BucketTable:
 
     # Storage
 
-    def _path(self, path: str):
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return place, place.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _names(self, path: str) -> list[str]:
-        place, fs = self._path(path)
-        return [s.getPath().getName() for s in fs.listStatus(place)] if fs.exists(place) else []
-
-    def _delete(self, path: str) -> None:
-        place, fs = self._path(path)
-        fs.delete(place, True)
-
     def _manifest(self, version: int) -> str:
         return f"{self.root}/manifest/version={version}"
 
@@ -56,9 +45,9 @@ class BucketTable:
 
     def versions(self) -> list[int]:
         """Finished versions on storage, ascending."""
-        found = [n for n in self._names(f"{self.root}/manifest") if n.startswith("version=")]
+        found = [n for n in names(self.spark, f"{self.root}/manifest") if n.startswith("version=")]
         return sorted(int(n[8:]) for n in found
-                      if "_SUCCESS" in self._names(f"{self.root}/manifest/{n}"))
+                      if "_SUCCESS" in names(self.spark, f"{self.root}/manifest/{n}"))
 
     # Catalog
 
@@ -81,9 +70,9 @@ class BucketTable:
                          f"'{self.root}/load={load}/bucket={b}'" for load, b in sorted(pieces))
         if parts:
             self.spark.sql(f"ALTER TABLE {store} ADD {parts}")
-        names = ", ".join(f"`{n}`" for n in self.spec.schema.fieldNames())
+        shown = ", ".join(f"`{n}`" for n in self.spec.schema.fieldNames())
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} TBLPROPERTIES "
-                       f"('jobloom.version' = '{version}') AS SELECT {names} FROM {store}")
+                       f"('jobloom.version' = '{version}') AS SELECT {shown} FROM {store}")
 
     def ensure(self) -> None:
         """The newest version on storage, or an empty first one, under the table's name."""
@@ -114,11 +103,11 @@ class BucketTable:
             loads = {load for load, _ in old}
             for load in loads:
                 if all(load != other for other, _ in held):
-                    self._delete(f"{self.root}/load={load}")
+                    delete(self.spark, f"{self.root}/load={load}")
                 else:
                     for _, b in (p for p in old if p[0] == load):
-                        self._delete(f"{self.root}/load={load}/bucket={b}")
-            self._delete(self._manifest(v))
+                        delete(self.spark, f"{self.root}/load={load}/bucket={b}")
+            delete(self.spark, self._manifest(v))
 
     # Loads
 
@@ -145,7 +134,7 @@ class BucketTable:
            .partitionBy("bucket").bucketBy(self.buckets, *key).option("path", path)
            .saveAsTable(written))
         self.spark.sql(f"DROP TABLE {written}")  # the files stay
-        return {(load, int(n[7:])) for n in self._names(path) if n.startswith("bucket=")}
+        return {(load, int(n[7:])) for n in names(self.spark, path) if n.startswith("bucket=")}
 
     def replace(self, df: DataFrame) -> None:
         """New rows instead of all."""

@@ -240,6 +240,55 @@ def test_refresh_from_files_to_warehouse(spark, tmp_path):
     assert ("dev 1", "kafka", 1) in rows(demand)
 
 
+def test_only_new_files_are_loaded(spark, tmp_path):
+    from jobloom.plans.refresh import refresh_new_jobs
+    from jobloom.sources.jobs import write_bronze
+    from jobloom.sources.ledger import Ledger
+
+    root = str(tmp_path)
+
+    def land(day, items):
+        write_bronze(bronze(spark, items), f"{root}/bronze", day)
+
+    def posting(i, day, text="SQL and Kafka", **more):
+        return dict(id=str(i), title=f"dev {i}", description=text, company="a",
+                    created=f"2024-01-{day:02} 00:00:00", salary_max=1.0, **more)
+
+    w = Warehouse(spark, "careers_new_files", f"{root}/w", dim=16, buckets=4)
+    ledger = Ledger(spark, f"{root}/ledger")
+    run = lambda: refresh_new_jobs(
+        spark, f"{root}/bronze", f"{root}/silver", w, ledger)
+    files = lambda: {str(p.relative_to(tmp_path)): p.stat().st_mtime_ns
+                     for p in (tmp_path / "silver" / "jobs").glob("dt=*/part-*")}
+    land("2024-02-01", [posting(i, 1 + i % 3) for i in range(30)])
+    assert run()["cleaned"] == 30
+    before = files()
+    assert run() == {"files": 0, "found": 0, "cleaned": 0, "pairs": 0} and files() == before
+    # One changed posting, one that moves to another date, one older than what is stored, one new.
+    land("2024-02-02", [posting(0, 1, "git"), posting(4, 9, "git"), posting(5, 1, "git"),
+                        posting(77, 2, "spark")])
+    got = run()
+    assert got["files"] == len(list((tmp_path / "bronze" / "date=2024-02-02").glob("*.json")))
+    assert (got["found"], got["cleaned"]) == (4, 4)
+    silver = read_silver(spark, f"{root}/silver/jobs")
+    assert silver.count() == 31 == silver.select("job_id").distinct().count()
+    text = {r.job_id: (r.description, str(r.dt)) for r in silver.collect()}
+    assert text["4"] == ("git", "2024-01-09") and text["5"] == ("sql and kafka", "2024-01-03")
+    assert text["77"] == ("spark", "2024-01-02") and text["0"][1] == "2024-01-01"
+    assert w.table("jobs").count() == 31 and w.table("job_embeddings").count() == 31
+    assert rows(w.table("jobs").filter("job_id in ('4', '5')").select("job_id", "description")) == [
+        ("4", "git"), ("5", "sql and kafka")]
+    # A date that nothing touched keeps its files; one that all rows leave goes.
+    before = files()
+    land("2024-02-03", [posting(4, 10, "git")])
+    assert run()["cleaned"] == 1
+    after = files()
+    gone, came = before.keys() - after.keys(), after.keys() - before.keys()
+    assert {p.split("/")[2] for p in gone} == {"dt=2024-01-09"}
+    assert {p.split("/")[2] for p in came} == {"dt=2024-01-10"}
+    assert all(after[p] == t for p, t in before.items() if p in after)
+
+
 def piece_files(root):
     """Every data file below a table's folder, with its time and size."""
     return {str(p.relative_to(root)): (p.stat().st_mtime_ns, p.stat().st_size)
@@ -313,6 +362,35 @@ def test_pairs_are_appended_and_compacted(spark, tmp_path):
     assert w.table("job_skills_ner").count() == 5
 
 
+def test_counts_follow_the_loads(spark, tmp_path):
+    w = Warehouse(spark, "careers_counts", str(tmp_path / "w"), dim=2, buckets=4, count_demand=True)
+    w.ensure_tables()
+
+    def same():
+        got = rows(spark.table("careers_counts.v_role_skill_counts"))
+        assert got == rows(spark.table("careers_counts.v_role_skill_demand"))
+        return len(got)
+
+    pairs = lambda *p: spark.createDataFrame(p, "job_id string, skill string")
+    w.add_skills("job_skills_ner", pairs(("1", "sql"), ("9", "sql")))  # before their job
+    assert same() == 0
+    w.upsert_jobs(jobs_frame(spark, [dict(job_id="1", title="Dev"), dict(job_id="2", title="dev"),
+                                     dict(job_id="3", title=None)]))
+    assert same() == 1
+    w.add_skills("job_skills_ner", pairs(("1", "sql"), ("2", "sql"), ("3", "sql"), ("2", "git")))
+    assert same() == 3
+    w.upsert_jobs(jobs_frame(spark, [dict(job_id="1", title="ops"), dict(job_id="3", title="DEV"),
+                                     dict(job_id="2", title="DEV"), dict(job_id="9", title="")]))
+    assert same() == 4
+    before = piece_files(tmp_path / "w" / "role_skill_counts")
+    w.upsert_jobs(jobs_frame(spark, [dict(job_id="2", title="dev", company="x")]))  # nothing to count
+    assert same() == 4 and piece_files(tmp_path / "w" / "role_skill_counts") == before
+    w.rebuild_demand()
+    assert same() == 4
+    w.replace_skills("job_skills_ner", pairs(("1", "c")))
+    assert same() == 1
+
+
 def test_tables_are_found_again_without_a_catalog(spark, tmp_path):
     first = Warehouse(spark, "careers_one", str(tmp_path / "w"), dim=2, buckets=2)
     first.ensure_tables()
