@@ -28,11 +28,10 @@ def top_skills(job_skills: DataFrame, job_ids: DataFrame | None = None, n: int =
     )
 
 
-def top_skills_per_profile(shortlist: DataFrame, job_skills: DataFrame, n: int = 30) -> DataFrame:
-    """Per profile, its n most demanded skills as one ordered array.
+def ranked_skills(shortlist: DataFrame, job_skills: DataFrame, n: int = 30) -> DataFrame:
+    """(profile_id, skill, count, rank): per profile its n most demanded skills, ties by name.
 
-    ``shortlist`` holds (profile_id, job_id) pairs, k per profile. Counting happens before
-    the lists are built, so a list has at most one entry per skill.
+    ``shortlist`` holds (profile_id, job_id) pairs, k per profile.
     """
     counted = (
         shortlist.select("profile_id", "job_id").join(job_skills, "job_id")
@@ -40,9 +39,14 @@ def top_skills_per_profile(shortlist: DataFrame, job_skills: DataFrame, n: int =
     )
     rank = F.row_number().over(
         Window.partitionBy("profile_id").orderBy(F.desc("count"), F.col("skill").asc()))
-    best = counted.withColumn("rank", rank).filter(F.col("rank") <= n)
+    return counted.withColumn("rank", rank).filter(F.col("rank") <= n)
+
+
+def top_skills_per_profile(shortlist: DataFrame, job_skills: DataFrame, n: int = 30) -> DataFrame:
+    """The ranked skills of each profile as one ordered array; a list has at most one entry per
+    skill."""
     ordered = F.array_sort(F.collect_list(F.struct("rank", "skill", "count")))
-    return best.groupBy("profile_id").agg(
+    return ranked_skills(shortlist, job_skills, n).groupBy("profile_id").agg(
         F.transform(ordered, lambda s: s["skill"]).alias("target_skills"),
         F.transform(ordered, lambda s: s["count"]).alias("skill_counts"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from jobloom.functions.lists import skill_gap, split_skills
 from jobloom.functions.text import job_query_text, question_query_text
-from jobloom.operators.demand import top_skills_per_profile
+from jobloom.operators.demand import ranked_skills
 from jobloom.operators.encode import embed_queries
 from jobloom.operators.retrieval import nearest_for_all
 from jobloom.plans.roadmap import prompt_text, roadmap_text
@@ -41,32 +41,37 @@ def shortlist_questions(queries: DataFrame, vectors: DataFrame, questions: DataF
     return nearest_for_all(queries, usable, "profile_id", "q_id", k)
 
 
-def _ordered(df: DataFrame, value: str, alias: str) -> DataFrame:
-    """Per profile the values in rank order; k entries at most."""
-    listed = F.array_sort(F.collect_list(F.struct("rank", value)))
-    return df.groupBy("profile_id").agg(F.transform(listed, lambda s: s[value]).alias(alias))
+# The lists of a profile, in the order of their kinds.
+LISTS = ("similar_roles", "target_skills", "questions")
 
 
 def career_inputs(profiles: DataFrame, job_hits: DataFrame, jobs: DataFrame,
                   job_skills: DataFrame, question_hits: DataFrame,
                   questions: DataFrame) -> DataFrame:
-    """One row per profile with its lists; a profile without hits keeps empty lists."""
+    """One row per profile with its lists; a profile without hits keeps empty lists.
+
+    The entries of all three lists are one table, grouped by profile once: a profile has at
+    most k entries a list.
+    """
     titles = (
         job_hits.join(jobs.select("job_id", "title"), "job_id")
         .groupBy("profile_id", "title").agg(F.min("rank").alias("rank"))
     )
     asked = question_hits.join(questions.select("q_id", "question"), "q_id")
-    skills = top_skills_per_profile(job_hits, job_skills)
-    rows = (
-        profiles.select("profile_id", "target_role", "skills")
-        .join(_ordered(titles, "title", "similar_roles"), "profile_id", "left")
-        .join(skills.select("profile_id", "target_skills"), "profile_id", "left")
-        .join(_ordered(asked, "question", "questions"), "profile_id", "left")
-    )
-    lists = ("similar_roles", "target_skills", "questions")
+    parts = ((titles, "title"), (ranked_skills(job_hits, job_skills), "skill"), (asked, "question"))
+    entries = [df.select("profile_id", F.lit(kind).alias("kind"), F.col("rank").cast("int").alias("rank"),
+                         F.col(value).alias("value")) for kind, (df, value) in enumerate(parts)]
+
+    def listed(kind: int):
+        own = F.collect_list(F.when(F.col("kind") == kind, F.struct("rank", "value")))
+        return F.transform(F.array_sort(own), lambda s: s["value"]).alias(LISTS[kind])
+
+    lists = entries[0].union(entries[1]).union(entries[2]).groupBy("profile_id").agg(
+        *[listed(kind) for kind in range(len(LISTS))])
+    rows = profiles.select("profile_id", "target_role", "skills").join(lists, "profile_id", "left")
     return rows.select(
         "profile_id", "target_role", split_skills("skills").alias("user_skills"),
-        *[F.coalesce(F.col(c), F.array().cast("array<string>")).alias(c) for c in lists],
+        *[F.coalesce(F.col(c), F.array().cast("array<string>")).alias(c) for c in LISTS],
     )
 
 
