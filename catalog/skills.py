@@ -111,6 +111,17 @@ def g2_table(t):
         F.count("*").alias("words"))
 
 
+@case(lists_sql(SKILL_DOCS_SQL, _ROWS, symbol_safe=True))
+def g2_table_symbols(t):
+    """The built-in vocabulary as a table."""
+    docs = skill_docs(t)
+    vocabulary = t.spark.createDataFrame(_ROWS, "phrase string, skill string")
+    found = match_phrases(docs, "doc_id", "body", vocabulary, symbol_safe=True).groupBy("doc_id").agg(
+        F.array_join(F.array_sort(F.collect_list("skill")), "|").alias("skills"))
+    return docs.select("doc_id").join(found, "doc_id", "left").select(
+        "doc_id", F.coalesce("skills", F.lit("")).alias("skills"))
+
+
 _BLANKS = ("select doc_id, case when lang = 'es' then null when lang = 'de' then '' "
            "else body end as body from ({docs}) join documents using (doc_id)")
 
@@ -154,6 +165,7 @@ CASES = {
     "g1_caller_vocabulary": g1,
     "g2_phrase_match": g2,
     "g2_phrase_match_symbol_safe": g2_symbols,
+    "g2_phrase_table_symbol_safe": g2_table_symbols,
     "g2_phrase_match_table": g2_table,
     "g3_empty_texts": g3,
     "g4_whole_table_demand": g4,

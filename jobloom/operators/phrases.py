@@ -2,8 +2,7 @@
 
 Word sequences of the texts are joined to the phrases, so the vocabulary may be as large
 as a table. For a vocabulary that fits in code use ``functions.skills`` instead: it needs
-no join at all. Both give the same pairs under the default rule for symbols at a phrase's
-edge; this form knows no other.
+no join at all. Both give the same pairs, under either rule for symbols at a phrase's edge.
 """
 
 from __future__ import annotations
@@ -17,17 +16,23 @@ from jobloom.session import checkpoint
 # The vocabulary filter takes up to two to this power bits: 2 MiB.
 MOST_BITS = 24
 
-_GAP = r"[^\p{L}\p{N}_]+"
+_SYMBOL = r"[^\p{L}\p{N}_]"
+_GAP = _SYMBOL + "+"
 
 
-def _sequence_pattern(words: int, lead: bool, trail: bool) -> str:
+def _sequence_pattern(words: int, lead: int, trail: int, symbol_safe: bool) -> str:
     """``words`` words with the gaps between them, tried at every place of the text.
 
     A phrase that starts or ends with a symbol must have a word character beyond it, so
     its symbols fill the whole gap beside the word: ``lead`` and ``trail`` take that gap in.
+    With ``symbol_safe`` they are as many symbols as the phrase has there, with no word
+    character beyond them.
     """
     body = "(?:" + _GAP + WORD + "+){%d}" % (words - 1) if words > 1 else ""
     core = WORD + "+" + body if words else ""
+    if symbol_safe:
+        start, end = (f"{_SYMBOL}{{{n}}}" if n else "" for n in (lead, trail))
+        return f"(?<!{WORD})(?=({start}{core}{end})(?!{WORD}))"
     before = f"(?<={WORD})" if lead else f"(?<!{WORD})"
     after = f"(?={WORD})" if trail else f"(?!{WORD})"
     if not words:
@@ -36,15 +41,20 @@ def _sequence_pattern(words: int, lead: bool, trail: bool) -> str:
     return f"{before}(?=({start}{core}{end}){after})"
 
 
-def _shape(phrase: Column) -> list[Column]:
+def _shape(phrase: Column, symbol_safe: bool) -> list[Column]:
+    """Words, and symbols before and behind them (1 or 0 where their number plays no part)."""
     words = F.size(F.regexp_extract_all(phrase, F.lit(f"({WORD}+)"), F.lit(1)))
-    return [words.alias("words"), (~phrase.rlike(f"^{WORD}")).alias("lead"),
-            (~phrase.rlike(f"{WORD}$")).alias("trail")]
+    lead = F.length(F.regexp_extract(phrase, f"^{_SYMBOL}*", 0))
+    trail = F.when(words == 0, 0).otherwise(F.length(F.regexp_extract(phrase, f"{_SYMBOL}*$", 0)))
+    if not symbol_safe:
+        lead, trail = (F.least(n, F.lit(1)) for n in (lead, trail))
+    return [words.alias("words"), lead.alias("lead"), trail.alias("trail")]
 
 
-def word_sequences(text: Column, shapes: list[tuple[int, bool, bool]]) -> Column:
+def word_sequences(text: Column, shapes: list[tuple[int, int, int]],
+                   symbol_safe: bool = False) -> Column:
     """The distinct sequences of every shape in a text, as written but case folded."""
-    found = [F.regexp_extract_all(text, F.lit(_sequence_pattern(*shape)), F.lit(1))
+    found = [F.regexp_extract_all(text, F.lit(_sequence_pattern(*shape, symbol_safe)), F.lit(1))
              for shape in shapes]
     return F.array_distinct(F.transform(F.concat(*found), fold))
 
@@ -61,8 +71,9 @@ def _known_bits(entries: DataFrame, bits: int) -> DataFrame:
 
 
 def match_phrases(df: DataFrame, key: str, text: Column | str,
-                  vocabulary: DataFrame) -> DataFrame:
-    """Unique (key, skill) rows for a vocabulary of (phrase, skill) rows.
+                  vocabulary: DataFrame, symbol_safe: bool = False) -> DataFrame:
+    """Unique (key, skill) rows for a vocabulary of (phrase, skill) rows; ``symbol_safe`` as in
+    ``extract_skills``.
 
     Only sequences shaped like some phrase are taken out of the texts, each once per text, and
     only those whose hash some phrase has leave their task: the filter has 16 bits a phrase (at
@@ -72,12 +83,12 @@ def match_phrases(df: DataFrame, key: str, text: Column | str,
     entries = checkpoint(vocabulary.select(fold(F.trim("phrase")).alias("phrase"), "skill").filter(
         "phrase <> ''").dropDuplicates())
     # One row per shape: the longest phrase has a handful of words.
-    shapes = [tuple(r) for r in entries.select(*_shape(F.col("phrase"))).distinct().collect()]
+    shapes = [tuple(r) for r in entries.select(*_shape(F.col("phrase"), symbol_safe)).distinct().collect()]
     if not shapes:
         return df.select(key, F.lit("").alias("skill")).filter("false")
     bits = 1 << min(MOST_BITS, max(10, (16 * entries.count()).bit_length()))
     place = F.pmod(F.xxhash64("phrase"), F.lit(bits))
     known = F.get(_known_bits(entries, bits).scalar(), F.floor(place / 64).cast("int"))
-    runs = df.select(key, F.explode(word_sequences(_col(text), sorted(shapes))).alias("phrase"))
+    runs = df.select(key, F.explode(word_sequences(_col(text), sorted(shapes), symbol_safe)).alias("phrase"))
     near = runs.filter(F.getbit(known, F.pmod(place, F.lit(64)).cast("int")) == 1)
     return near.join(entries, "phrase").select(key, "skill").dropDuplicates([key, "skill"])

@@ -92,6 +92,12 @@ def test_table_of_phrases_with_symbols_at_their_edges(spark):
     want = {(i, s) for i, t in enumerate(texts) for s in brute(t, vocabulary)}
     assert {tuple(r) for r in match_phrases(df, "i", "t", table).collect()} == want
     assert extract(spark, texts, vocabulary=vocabulary) == [brute(t, vocabulary) for t in texts]
+    texts += ["c++ and .net", "c++.", "++", "a ++ b", ".net.net", "(@a b/)", "@a  b/ @a b//", "+++"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    want = extract(spark, texts, vocabulary=vocabulary, symbol_safe=True)
+    got = match_phrases(df, "i", "t", table, symbol_safe=True).collect()
+    assert {tuple(r) for r in got} == {(i, s) for i, found in enumerate(want) for s in found}
+    assert want[8] == ["c", "net"] and want[10] == ["plus"] and want[13] == ["at"]
 
 
 # Labelled texts with the scores that are known for them.
