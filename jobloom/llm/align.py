@@ -13,9 +13,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from jobloom.llm.tokens import _runs, byte_letters
+from jobloom.llm.tokens import Encoder, _runs, byte_letters, gathered
 from jobloom.llm.words import known
 from jobloom.operators.encode import once_per_worker
 from jobloom.session import checkpoint, scratch_path
@@ -23,22 +24,27 @@ from jobloom.session import checkpoint, scratch_path
 FREQUENT = 1 << 20     # id pairs at most that are broadcast with their counts
 LONG_GROUP = 1 << 10   # pairs of a group beyond which equal ids are counted before they are paired
 BATCH_ROWS = 256       # rows handed on together
+RUN_CHARS = 1 << 20    # characters of texts that are aligned together
+MEMO_WORDS = 300_000   # words at most whose ids a worker remembers
 
 
 class Pair:
-    """Ids and bytes of both tokenizers' tokens."""
+    """Ids and bytes of both tokenizers' tokens.
+
+    Both cut before a space between visible Latin characters (no piece of the second holds a
+    space behind another character), so the words of even texts are encoded once and remembered.
+    """
 
     def __init__(self, byte_path: str, piece_path: str):
         # One thread: the cores are taken by the other tasks.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
 
-        self.first = Tokenizer.from_file(byte_path)
-        self.first.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.first = Encoder(byte_path, special=False, pieces=MEMO_WORDS)
         self.second = SentencePieceProcessor(model_file=piece_path)
+        self.memo: dict[str, bytes] = {}
         back = {chr(c): b for b, c in byte_letters().items()}
-        vocab = self.first.get_vocab(with_added_tokens=True)
+        vocab = self.first.tokenizer.get_vocab(with_added_tokens=True)
         entries = [b""] * (max(vocab.values(), default=-1) + 1)
         for token, i in vocab.items():
             entries[i] = bytes(back[c] for c in token) if all(c in back for c in token) else token.encode()
@@ -52,10 +58,38 @@ class Pair:
         self.written = pa.array([f"{i}{s}" for m, s in signs for i in range(m)], pa.large_string())
         self.base = np.cumsum([0, *(m for m, _ in signs)])
 
+    def _second(self, words: list[str]) -> list[bytes]:
+        """Ids of words as they stand behind a space."""
+        if len(self.memo) > MEMO_WORDS:
+            self.memo = {}
+        new = list(set(words).difference(self.memo))
+        self.memo.update(zip(new, (np.array(i, "<u4").tobytes()
+                                   for i in self.second.encode(new, num_threads=1))))
+        return list(map(self.memo.__getitem__, words))
+
+    def _even(self, texts: list[str]) -> list[list[np.ndarray]]:
+        words = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        coded = words.flatten().dictionary_encode()
+        index, different = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        out = []
+        for known in (self.first._known(different), self._second(different)):
+            ids, ends = gathered(known, index)
+            cuts = ends[words.offsets.to_numpy()]
+            ids = ids.astype(np.int64)
+            out.append([ids[a:z] for a, z in zip(cuts, cuts[1:])])
+        return out
+
     def ids(self, texts: list[str]) -> list[list[np.ndarray]]:
-        one = self.first.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        two = self.second.encode(texts, num_threads=1)
-        return [[np.array(e.ids, np.int64) for e in one], [np.array(e, np.int64) for e in two]]
+        """Ids of each text behind a space, by the first and by the second tokenizer."""
+        even = [self.first._even(t) for t in texts]
+        together = self._even([t for t, e in zip(texts, even) if e]) if any(even) else [[], []]
+        rest = [t for t, e in zip(texts, even) if not e]
+        one = self.first.tokenizer.encode_batch_fast([" " + t for t in rest], add_special_tokens=False)
+        alone = [[e.ids for e in one], self.second.encode(rest, num_threads=1)]
+        out = []
+        for mine, others in zip(map(iter, together), map(iter, alone)):
+            out.append([next(mine) if e else np.array(next(others), np.int64) for e in even])
+        return out
 
 
 def _joined(pieces: pa.Array) -> tuple[memoryview, np.ndarray]:
@@ -108,11 +142,15 @@ def _pairs(ids: list[np.ndarray], groups: list[np.ndarray], doc: np.ndarray,
         links.append((m[:, None] * n).ravel())
         owner.append(np.full(len(pair[-1]), doc[k]))
     pair, owner, links = map(np.concatenate, (pair, owner, links))
-    order = np.lexsort((pair, owner))
-    pair, owner, links = pair[order], owner[order], links[order]
-    new = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (owner[1:] != owner[:-1])])
-                         if len(pair) else np.zeros(0, bool))
-    return owner[new], pair[new], np.add.reduceat(links, new) if len(new) else links
+    most = int(pair.max(initial=0)) + 1
+    key = owner * most + pair
+    if long.any():
+        order = np.argsort(key, kind="stable")
+        key, first = np.unique(key[order], return_index=True)
+        links = np.add.reduceat(links[order], first)
+    else:
+        key, links = np.unique(key, return_counts=True)
+    return key // most, key % most, links
 
 
 def aligned(tools: Pair, texts: list[str]) -> list[dict]:
@@ -178,7 +216,7 @@ def align_texts(docs: DataFrame, byte_path: str, piece_path: str, id_col: str =
     many linked token pairs it has. Null and empty texts, and texts whose tokens' bytes are not
     those of the text behind a space, have zeros, empty lists and an empty string. Rows that
     repeat are aligned each; other columns are not carried. Texts are worked on whole, some
-    2 MiB at a time or one longer text, whose tokens take some 200 bytes each.
+    1 MiB at a time or one longer text, whose tokens take some 200 bytes each.
     """
     kind = pa.struct([*[(n, pa.int64()) for n in ("n_a", "n_b", "n_groups", "n_links")],
                       ("groups", pa.string()), ("pairs", pa.list_(pa.int64())),
@@ -190,7 +228,7 @@ def align_texts(docs: DataFrame, byte_path: str, piece_path: str, id_col: str =
         tools = once_per_worker(f"pair {byte_path} {piece_path}", lambda: Pair(byte_path, piece_path))
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for a, z in _runs(texts):
+            for a, z in _runs(texts, RUN_CHARS):
                 rows = aligned(tools, texts[a:z])
                 for k in range(0, z - a, BATCH_ROWS):
                     found = pa.array(rows[k:k + BATCH_ROWS], kind)

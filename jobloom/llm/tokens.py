@@ -36,7 +36,7 @@ MAGIC = b"TOKSEG01"
 END_ID = 2
 SEGMENT_IDS = 1 << 19   # a file is closed when it holds so many ids: 2 MiB of payload
 RUN_CHARS = 1 << 21     # characters of texts that are encoded together
-MEMO_PIECES = 600_000   # pieces kept in a worker's memory before it starts anew
+MEMO_PIECES = 600_000   # pieces at most in a worker's memory
 
 # Between two visible Latin characters a space always opens a new piece of the byte-level
 # pre-tokenizer, and merges never cross pieces, so texts may be cut there.
@@ -63,26 +63,42 @@ FILE_SCHEMA = ("shard int, segment int, first_key long, last_key long, n_docs lo
                "n_ids long, content binary")
 
 
+def gathered(found: list[bytes], index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the words ``index`` behind each other, ``found`` holding those of each different
+    word; and where each begins, and the last ends."""
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    pool = np.frombuffer(b"".join(found), "<u4")
+    length = sizes[index]
+    ends = np.concatenate([[0], np.cumsum(length)])
+    place = np.repeat((np.cumsum(sizes) - sizes)[index] - ends[:-1], length)
+    return pool[place + np.arange(ends[-1])], ends
+
+
 class Encoder:
     """Ids of texts as little-endian bytes, through the tokenizers library.
 
-    Pieces between safe cuts are encoded once and remembered; a text that holds the written
-    form of an added token is encoded whole.
+    Pieces between safe cuts are encoded once and remembered: those met since the memory was
+    last half full, and those of the half before. A text that holds the written form of an
+    added token is encoded whole; with ``special`` false such forms are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = True, pieces: int = MEMO_PIECES):
         # One thread: the cores are taken by the other tasks.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = not special
         added = self.tokenizer.get_added_tokens_decoder().values()
-        self.special = [t.content for t in added]
+        self.special = [t.content for t in added] if special else []
         self.pieces = self.tokenizer.model.tokenize
         self.letters = byte_letters()
         self.line_end = self._piece("\n")
         # Ids of words that follow a space, and of pieces as they stand behind FIRST.
         self.memo: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.most = pieces // 2
+        self.space = chr(self.letters[32])
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -106,6 +122,8 @@ class Encoder:
         found = self.memo.get(before + letters) if signs else None
         if found is None:
             found = self._piece(letters if first else " " + letters)
+            if signs:
+                self.memo[before + letters] = found
         if not signs:
             return found
         tail = self.memo.get(FIRST + signs)
@@ -116,6 +134,10 @@ class Encoder:
     def _learn(self, new: set[str]) -> None:
         other = []
         for p in new:
+            if p.isascii() and p.isalpha():  # most words
+                self.memo[p] = array.array(
+                    "I", [t.id for t in self.pieces(self.space + p)]).tobytes()
+                continue
             first = p.startswith(FIRST)
             # A line end between visible signs is a piece of its own.
             head, *lines = p.removeprefix(FIRST).split("\n")
@@ -130,9 +152,14 @@ class Encoder:
             [p[1:] if p.startswith(FIRST) else " " + p for p in other])))
 
     def _known(self, pieces: list[str]) -> list[bytes]:
-        if len(self.memo) > MEMO_PIECES:
-            self.memo.clear()
-        if new := set(pieces).difference(self.memo):
+        if len(self.memo) > self.most:
+            self.old, self.memo = self.memo, {}
+        new = set(pieces).difference(self.memo)
+        if new and self.old:
+            again = new.intersection(self.old)
+            self.memo.update((p, self.old[p]) for p in again)
+            new -= again
+        if new:
             self._learn(new)
         return list(map(self.memo.__getitem__, pieces))
 
@@ -153,14 +180,8 @@ class Encoder:
         words are gathered as one array."""
         words = pc.split_pattern(pa.array([FIRST + t for t in texts], pa.string()), " ")
         coded = words.flatten().dictionary_encode()
-        found = self._known(coded.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        pool = np.frombuffer(b"".join(found), "<u4")
-        index = coded.indices.to_numpy()
-        length = sizes[index]
-        ends = np.concatenate([[0], np.cumsum(length)])
-        place = np.repeat((np.cumsum(sizes) - sizes)[index] - ends[:-1], length)
-        data = pool[place + np.arange(ends[-1])].tobytes()
+        ids, ends = gathered(self._known(coded.dictionary.to_pylist()), coded.indices.to_numpy())
+        data = ids.tobytes()
         cuts = (4 * ends[words.offsets.to_numpy()]).tolist()
         return [data[a:z] for a, z in zip(cuts, cuts[1:])]
 
@@ -170,12 +191,12 @@ class Encoder:
         return [next(together) if e else self._odd(t) for t, e in zip(texts, even)]
 
 
-def _runs(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Stretches of texts of about RUN_CHARS characters; a longer text is one of its own."""
+def _runs(texts: list[str], most: int = RUN_CHARS) -> Iterator[tuple[int, int]]:
+    """Stretches of texts of about ``most`` characters; a longer text is one of its own."""
     at = 0
     while at < len(texts):
         stop, chars = at, 0
-        while stop < len(texts) and (stop == at or chars + len(texts[stop]) <= RUN_CHARS):
+        while stop < len(texts) and (stop == at or chars + len(texts[stop]) <= most):
             chars += len(texts[stop])
             stop += 1
         yield at, stop
