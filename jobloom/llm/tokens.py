@@ -35,7 +35,7 @@ from jobloom.session import scratch_path
 MAGIC = b"TOKSEG01"
 END_ID = 2
 SEGMENT_IDS = 1 << 19   # a file is closed when it holds so many ids: 2 MiB of payload
-RUN_CHARS = 1 << 21     # characters of texts that are encoded together
+RUN_CHARS = 3 << 20     # characters of texts that are encoded together
 MEMO_PIECES = 600_000   # pieces at most in a worker's memory
 
 # Between two visible Latin characters a space always opens a new piece of the byte-level
@@ -48,7 +48,8 @@ FIRST = "\0"
 
 # Latin letters, and visible ASCII signs behind them: two pieces (one without signs). The
 # apostrophe is left out, as it may begin a piece with letters.
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\\[-`{-~]*)")
+LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def byte_letters() -> dict[int, int]:
@@ -106,62 +107,63 @@ class Encoder:
 
     def _piece(self, piece: str) -> bytes:
         """Ids of one piece of the pre-tokenizer, by the tokenizer's own model."""
-        shown = piece.encode().decode("latin-1").translate(self.letters)
+        if piece.isascii() and piece[1:].isalpha() and piece[0] == " ":
+            shown = self.space + piece[1:]
+        else:
+            shown = piece.encode().decode("latin-1").translate(self.letters)
         return array.array("I", [t.id for t in self.pieces(shown)]).tobytes()
 
     def _plain(self, word: str, first: bool) -> bytes | None:
         """Ids of letters and the signs behind them; None for anything else."""
-        if word.isascii() and word.isalpha():  # most words: no need for the pattern
-            letters, signs = word, ""
-        else:
-            plain = PLAIN.fullmatch(word)
-            if plain is None:
-                return None
-            letters, signs = plain.groups()
-        before = FIRST if first else ""
-        found = self.memo.get(before + letters) if signs else None
+        stem = word.rstrip(SIGNS)
+        if not stem.isalpha() or not (stem.isascii() or LATIN.fullmatch(stem)):
+            return None
+        key = FIRST + stem if first else stem
+        found = self.memo.get(key)
         if found is None:
-            found = self._piece(letters if first else " " + letters)
-            if signs:
-                self.memo[before + letters] = found
-        if not signs:
+            found = self.memo[key] = self._piece(stem if first else " " + stem)
+        if len(stem) == len(word):
             return found
-        tail = self.memo.get(FIRST + signs)
+        signs = FIRST + word[len(stem):]
+        tail = self.memo.get(signs)
         if tail is None:
-            tail = self.memo[FIRST + signs] = self._piece(signs)
+            tail = self.memo[signs] = self._piece(signs[1:])
         return found + tail
 
     def _learn(self, new: set[str]) -> None:
         other = []
         for p in new:
-            if p.isascii() and p.isalpha():  # most words
-                self.memo[p] = array.array(
-                    "I", [t.id for t in self.pieces(self.space + p)]).tobytes()
-                continue
-            first = p.startswith(FIRST)
-            # A line end between visible signs is a piece of its own.
-            head, *lines = p.removeprefix(FIRST).split("\n")
-            found = [self._plain(head, first)]
-            for line in lines:
-                found += [self.line_end, self._plain(line, True)]
-            if None in found:
+            if "\n" in p or p.startswith(FIRST):
+                first = p.startswith(FIRST)
+                # A line end between visible signs is a piece of its own.
+                head, *lines = p.removeprefix(FIRST).split("\n")
+                found = [self._plain(head, first)]
+                for line in lines:
+                    found += [self.line_end, self._plain(line, True)]
+                ids = None if None in found else b"".join(found)
+            else:
+                ids = self._plain(p, False)
+            if ids is None:
                 other.append(p)
             else:
-                self.memo[p] = b"".join(found)
+                self.memo[p] = ids
         self.memo.update(zip(other, self._encoded(
             [p[1:] if p.startswith(FIRST) else " " + p for p in other])))
 
     def _known(self, pieces: list[str]) -> list[bytes]:
         if len(self.memo) > self.most:
             self.old, self.memo = self.memo, {}
-        new = set(pieces).difference(self.memo)
-        if new and self.old:
+        found = list(map(self.memo.get, pieces))
+        new = {p for p, f in zip(pieces, found) if f is None}
+        if not new:
+            return found
+        if self.old:
             again = new.intersection(self.old)
             self.memo.update((p, self.old[p]) for p in again)
             new -= again
         if new:
             self._learn(new)
-        return list(map(self.memo.__getitem__, pieces))
+        return [self.memo[p] if f is None else f for p, f in zip(pieces, found)]
 
     def _even(self, text: str) -> bool:
         """Whether every space of the text is a safe cut, and no added token is written in it."""
