@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -247,6 +248,39 @@ def test_scores_prefer_text_like_the_training(spark):
     assert all(r.base_score == 0 and r.n_known == 0 and r.score < 0 for r in alone)
 
 
+def test_words_of_slices_are_those_of_python():
+    texts = [None, "", " \n", "Ab  É\x0bc\x1cd ", "x y", "\u3000 a\u00a0b", "ÀÉ one", None, "Z\tz"] * 3
+    column = pa.array(texts)
+    for start in (0, 3, 10):
+        words, lengths = scoring.split(column.slice(start, 14))
+        want = [(t or "").encode().lower().split() for t in texts[start:start + 14]]
+        assert lengths.tolist() == [len(w) for w in want]
+        assert words.to_pylist() == [x for w in want for x in w]
+
+
+def test_long_text_in_stretches(monkeypatch):
+    rng = np.random.default_rng(9)
+    code = code_of(50)
+    model = {"code": code, "counts": counts_of(7, 9), "weights": scoring.first_weights()}
+    run = scoring.Run(code, [" ".join(f"w{i}" for i in rng.integers(0, 60, 3000))] * 2 + ["w1"])
+    whole = scoring.score_run(model, run)
+    monkeypatch.setattr(scoring, "STRETCH_WORDS", 300)
+    assert scoring.score_run(model, run) == pytest.approx(whole, rel=1e-5)
+
+
+def test_context_tables_grow_with_the_training_words():
+    bits = [scoring.context_bits(n) for n in (0, 1 << 20, 1 << 23, 1 << 25, 1 << 40)]
+    assert bits == [18, 18, 19, 21, 22]
+
+
+def test_sums_of_table_pieces(spark):
+    rng = np.random.default_rng(4)
+    tables = [rng.integers(0, 1 << k, (scoring.SLOTS, 2)) for k in (3, 9, 40)]
+    rows = [r for i, t in enumerate(tables) for b in scoring._pieces(t, 63 + i) for r in b.to_pylist()]
+    sent = spark.createDataFrame([(r["piece"], r["part"], r["counts"]) for r in rows], scoring._PIECES)
+    assert (scoring._summed(sent, scoring.CONTEXT_BITS) == sum(tables)).all()
+
+
 def code_of(n):
     return scoring.Code([(f"w{i}".encode(), n - i) for i in range(n)] + [(scoring.END, 5), (scoring.ESCAPE, 3)])
 
