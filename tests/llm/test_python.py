@@ -269,8 +269,8 @@ def test_long_text_in_stretches(monkeypatch):
 
 
 def test_context_tables_grow_with_the_training_words():
-    bits = [scoring.context_bits(n) for n in (0, 1 << 20, 1 << 23, 1 << 25, 1 << 40)]
-    assert bits == [18, 18, 19, 21, 22]
+    bits = [scoring.context_bits(scoring.SLOT_WORDS * n) for n in (0, 1 << 18, (1 << 18) + 1, 1 << 40)]
+    assert bits == [18, 18, 19, scoring.MOST_BITS]
 
 
 def test_sums_of_table_pieces(spark):
