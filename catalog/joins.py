@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.common import JOB_SKILLS_SQL, case, job_skill_rows
 from jobloom.functions.skills import extract_skills
 from jobloom.functions.vectors import euclidean_distance
-from jobloom.operators.demand import jobs_with_skills, top_skills
+from jobloom.operators.demand import jobs_with_skills, skills_of_jobs
 from jobloom.operators.evaluation import common_values, missing_values
 from jobloom.operators.merge import new_pairs
 from jobloom.sources.questions import union_sources
@@ -82,13 +82,14 @@ def f6(t):
         new.agg(F.lit("unknown").alias("side"), F.count("*").alias("rows")))
 
 
-@case(f"""select skill, cast(count(*) as bigint) as count from ({JOB_SKILLS_SQL})
+@case(f"""select job_id, skill, cast(count(*) as bigint) as rows from ({JOB_SKILLS_SQL})
       where job_id in (select cast(o_orderkey as string) from orders where o_orderstatus = 'F')
-      group by skill order by count desc, skill limit 30""")
+      group by 1, 2""")
 def c18(t):
     ids = t.orders.filter("o_orderstatus = 'F'").select(
         F.col("o_orderkey").cast("string").alias("job_id"))
-    return top_skills(job_skill_rows(t), ids)
+    return skills_of_jobs(job_skill_rows(t), ids).groupBy("job_id", "skill").agg(
+        F.count("*").alias("rows"))
 
 
 @case("""select source, cast(count(*) as bigint) as rows,

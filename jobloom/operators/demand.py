@@ -17,11 +17,16 @@ def role_skill_demand(jobs: DataFrame, job_skills: DataFrame) -> DataFrame:
     )
 
 
+def skills_of_jobs(job_skills: DataFrame, job_ids: DataFrame) -> DataFrame:
+    """All skill rows of the given jobs; an id that is given twice counts once."""
+    return job_skills.join(job_ids.select("job_id"), "job_id", "left_semi")
+
+
 def top_skills(job_skills: DataFrame, job_ids: DataFrame | None = None, n: int = 30) -> DataFrame:
     """The n skills most asked for by the given jobs (all jobs when none are given)."""
     chosen = job_skills
     if job_ids is not None:
-        chosen = job_skills.join(job_ids.select("job_id"), "job_id", "left_semi")
+        chosen = skills_of_jobs(job_skills, job_ids)
     return (
         chosen.groupBy("skill").agg(F.count("*").alias("count"))
         .orderBy(F.desc("count"), "skill").limit(n)

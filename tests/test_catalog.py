@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.check_catalog import connect, difference, spark_table, sql_table
@@ -26,3 +27,13 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 150
+
+
+def test_rows_of_given_ids_are_whole(spark):
+    """Every skill row of the given ids is counted, under its id."""
+    read = {n: spark.read.parquet(f"{FOLDER}/{n}.parquet") for n in ("orders", "lineitem")}
+    given = read["orders"].filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
+    rows = read["lineitem"].join(given, "l_orderkey", "left_semi").count()
+    got = entry.queries()["c18_rows_of_given_ids"](spark, FOLDER)
+    assert got.columns == ["job_id", "skill", "rows"]
+    assert got.agg(F.sum("rows")).first()[0] == rows
