@@ -343,3 +343,18 @@ def test_score_does_not_depend_on_neighbours():
     alone = [scoring.score_run(model, scoring.Run(code, [t]))[0] for t in texts]
     assert together == pytest.approx(alone, rel=1e-4)
     assert model["weights"].tolist() == scoring.first_weights().tolist()
+
+
+def test_model_counts_every_training_text(spark):
+    """Nothing that the model holds is fitted on a part of the training texts."""
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 300)))) for i in range(60)]
+    model, _ = scoring.fit(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    codes, code = model["codes"], model["codes"]["code"]
+    total = np.zeros((scoring.SLOTS, 2), np.int64)
+    run = scoring.Run(code, [t for i, t in rows if plain.crc(i) % 10])
+    scoring.tally(total, *scoring.code_bits(code, run.symbol, run.before, run.before2)[1:])
+    want = scoring.table(total)
+    assert all((codes["counts"][k] == want[k]).all() for k in want)
+    for part in ("codes", "letters"):
+        assert (model[part]["weights"] == scoring.first_weights()).all()
