@@ -40,8 +40,10 @@ def letter_encoder():
     import numpy as np
 
     def encode(texts):
-        return np.array([[s.lower().count(chr(97 + i)) for i in range(26)] for s in texts],
-                        dtype=float)
+        # Letters are single bytes in UTF-8, and no other character holds these bytes.
+        found = [np.bincount(np.frombuffer(s.lower().encode("utf-8", "replace"), np.uint8),
+                             minlength=256)[97:123] for s in texts]
+        return np.array(found, dtype=float).reshape(len(texts), 26)
 
     return encode
 

@@ -130,3 +130,30 @@ def test_report(spark):
     scores = spark.read.json(f"{path}_scores").orderBy("id").collect()
     assert [(s["id"], s["score"]) for s in scores] == [(1, pytest.approx(2 ** -0.5)), (2, 0.0)]
     assert got["roadmap"]["output_word_count"] == 3
+
+
+def test_profiles_that_ask_alike_are_encoded_once(spark):
+    """Query texts reach the model once for each role and skill list, not once a profile."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def model():
+        def encode(texts):
+            seen.add(len(texts))
+            return [[float(len(t)), 1.0] for t in texts]
+        return encode
+
+    rows = [(i, [None, "Engineer"][i % 2], ["sql", "java, sql", None][i % 3]) for i in range(60)]
+    known = [r for r in rows if r[2]]
+    profiles = spark.createDataFrame(known, "profile_id long, target_role string, skills string")
+    jobs = spark.createDataFrame([("a", "A"), ("b", "B")], "job_id string, title string")
+    vectors = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 1.0])],
+                                    "job_id string, embedding array<float>")
+    skills = spark.createDataFrame([("a", "sql")], "job_id string, skill string")
+    asked = spark.createDataFrame([(1, "why")], "q_id long, question string")
+    q_vectors = spark.createDataFrame([(1, [1.0, 0.0])], "q_id long, embedding array<float>")
+    out = career.analyze_careers(profiles, jobs, vectors, skills, asked, q_vectors,
+                                 make_encoder=model).collect()
+    assert sorted(r.profile_id for r in out) == [r[0] for r in known]
+    assert all(set(r.similar_roles) == {"A", "B"} and r.target_skills == ["sql"] for r in out)
+    assert {r.profile_id: r.target_role for r in out} == {r[0]: r[1] for r in known}
+    assert seen.value < len(known)

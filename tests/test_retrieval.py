@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from jobloom.functions import vectors as V
 from jobloom.operators import encode
+from jobloom.operators import retrieval
 from jobloom.operators.retrieval import (
     _Block, interview_questions, nearest_for_all, similar_jobs,
 )
@@ -184,3 +185,19 @@ def test_model_is_loaded_once_per_worker(spark, tmp_path):
         assert all(len(r["embedding"]) == 3 for r in got if r["embedding"] is not None)
     loads = [p.name.split("-")[0] for p in tmp_path.iterdir()]
     assert len(loads) == len(set(loads))
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_many_queries_are_dealt_out(spark, monkeypatch, kind):
+    """Each query meets the whole corpus in one task: no shuffle of found rows, no window."""
+    monkeypatch.setattr(retrieval, "_BLOCK", 8)
+    rng = np.random.default_rng(5)
+    corpus = rng.normal(size=(3000, 6)).astype(np.float32)
+    corpus[::3] = corpus[0]
+    name = (lambda i: i) if kind == "long" else (lambda i: f"j{i}")
+    got = nearest_for_all(frame(spark, "profile_id", corpus[:200]),
+                          frame(spark, "job_id", corpus, kind).repartition(5),
+                          "profile_id", "job_id", 7, block_bytes=4096)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("MapInArrow") == 1
+    assert found(got, "job_id") == brute(corpus[:200].astype(float), corpus.astype(float), 7, name)
