@@ -16,11 +16,12 @@ ranges lead a reader to the file of a key.
 from __future__ import annotations
 
 import array
+import ctypes
 import json
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -193,18 +194,28 @@ class Encoder:
         return [next(together) if e else self._odd(t) for t, e in zip(texts, even)]
 
 
-def _runs(texts: list[str], most: int = RUN_CHARS) -> Iterator[tuple[int, int]]:
+def _runs(texts: Sequence, most: int = RUN_CHARS,
+          size: Callable[..., int] = len) -> Iterator[tuple[int, int]]:
     """Stretches of texts of about ``most`` characters; a longer text is one of its own."""
     at = 0
     while at < len(texts):
         stop, chars = at, 0
-        while stop < len(texts) and (stop == at or chars + len(texts[stop]) <= most):
-            chars += len(texts[stop])
+        while stop < len(texts) and (stop == at or chars + size(texts[stop]) <= most):
+            chars += size(texts[stop])
             stop += 1
         yield at, stop
         at = stop
 
 
+def give_back() -> None:
+    """Memory that this process no longer uses goes back to the system: that of Arrow's pool
+    and, where the C library can (glibc), of its heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def pack(keys: list[int], payloads: list[bytes]) -> bytes:
     """The bytes of one file; ``keys`` ascend and may repeat."""
     distinct, first, count = np.unique(
@@ -266,6 +277,41 @@ class TokenFile:
         return [self.ids[a:b] for a, b in spans]
 
 
+def segments(batches: Iterator[pa.RecordBatch], encoder: Callable[[list[str]], list[bytes]],
+             segment_ids: int = SEGMENT_IDS) -> Iterator[pa.RecordBatch]:
+    """Files of the rows (id, text, shard) of a task, one to a batch.
+
+    Only the texts of a run are Python strings at a time, and after each batch unused memory
+    goes back to the system: a worker that lives on holds little more than its encoder.
+    """
+    names = [x.split(" ")[0] for x in FILE_SCHEMA.split(", ")]
+    arrow = pa.schema([("shard", pa.int32()), ("segment", pa.int32()),
+                       *[(n, pa.int64()) for n in names[2:6]], ("content", pa.binary())])
+    end = array.array("I", [END_ID]).tobytes()
+    keys, payloads, held, segment, shard = [], [], 0, 0, 0
+
+    def closed() -> pa.RecordBatch:
+        row = [shard, segment, keys[0], keys[-1], len(keys), held // 4, pack(keys, payloads)]
+        return pa.RecordBatch.from_pylist([dict(zip(names, row))], schema=arrow)
+
+    for batch in batches:
+        texts = batch.column(1)
+        ids, parts = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+        for a, z in _runs(pc.utf8_length(texts).to_pylist(), RUN_CHARS, int):
+            for key, shard, data in zip(
+                    ids[a:z], parts[a:z], encoder(texts.slice(a, z - a).to_pylist())):
+                keys.append(key)
+                payloads.append(data + end)
+                held += len(payloads[-1])
+                if held >= 4 * segment_ids:
+                    yield closed()
+                    keys, payloads, held, segment = [], [], 0, segment + 1
+        del batch, texts
+        give_back()
+    if keys:
+        yield closed()
+
+
 def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str, id_col: str = "doc_id",
                  text_col: str = "text", segment_ids: int = SEGMENT_IDS) -> None:
     """Encode every whole text and write the files under ``folder``, by ascending id.
@@ -282,31 +328,10 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str, id_col: str
         F.col(id_col).cast("long").alias("_id"), F.xxhash64(text).alias("_h"), text.alias("_t"))
     placed = rows.repartitionByRange(n, "_id", "_h").sortWithinPartitions("_id", "_h").select(
         "_id", "_t", F.spark_partition_id().alias("_shard"))
-    names = [x.split(" ")[0] for x in FILE_SCHEMA.split(", ")]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = once_per_worker(f"tokens {tokenizer_path}", lambda: Encoder(tokenizer_path))
-        end = array.array("I", [END_ID]).tobytes()
-        keys, payloads, held, segment, shard = [], [], 0, 0, 0
-
-        def closed() -> pa.RecordBatch:
-            row = [shard, segment, keys[0], keys[-1], len(keys), held // 4, pack(keys, payloads)]
-            return pa.RecordBatch.from_pylist([dict(zip(names, row))], schema=arrow)
-
-        arrow = pa.schema([("shard", pa.int32()), ("segment", pa.int32()),
-                           *[(n, pa.int64()) for n in names[2:6]], ("content", pa.binary())])
-        for batch in batches:
-            ids, texts, parts = (c.to_pylist() for c in batch.columns)
-            for a, z in _runs(texts):
-                for key, shard, data in zip(ids[a:z], parts[a:z], encoder(texts[a:z])):
-                    keys.append(key)
-                    payloads.append(data + end)
-                    held += len(payloads[-1])
-                    if held >= 4 * segment_ids:
-                        yield closed()
-                        keys, payloads, held, segment = [], [], 0, segment + 1
-        if keys:
-            yield closed()
+        yield from segments(batches, encoder, segment_ids)
 
     placed.mapInArrow(encode, FILE_SCHEMA).write.parquet(folder)
 

@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -153,6 +154,26 @@ def test_token_files_of_repeated_ids(spark, tmp_path):
     assert tokens.token_table(df.limit(0), path).count() == 0
 
 
+def test_a_batch_is_not_unpacked_whole(monkeypatch):
+    """Of a batch of 40 MB only the texts of a run are Python strings at a time, and what a
+    batch has taken goes back."""
+    monkeypatch.setattr(tokens, "RUN_CHARS", 1 << 20)
+    back = []
+    monkeypatch.setattr(tokens, "give_back", lambda: back.append(1))
+    texts = pa.array(["x" * 100_000] * 400, pa.string())
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(400), pa.int64()), texts, pa.array([3] * 400, pa.int32())], names=["i", "t", "s"])
+    tracemalloc.start()
+    try:
+        files = list(tokens.segments(iter([batch, batch]), lambda run: [b"\1\0\0\0"] * len(run), 500))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 8 << 20 and len(back) == 2
+    assert [f.column(5).to_pylist() for f in files] == [[500], [500], [500], [100]]
+    assert [f.column(0).to_pylist() for f in files] == [[3]] * 4
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.text(st.one_of(st.sampled_from(list(" \t\n'aB9.é中 　<|>_")), st.characters(
     exclude_categories=["Cs"])), max_size=60))
