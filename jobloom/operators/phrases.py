@@ -7,9 +7,12 @@ no join at all. Both give the same pairs, under either rule for symbols at a phr
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from jobloom.functions.skills import WORD, fold
+from jobloom.functions.skills import PHRASES_PER_PATTERN, WORD, _tree_pattern, fold
 from jobloom.functions.text import _col
 from jobloom.session import checkpoint
 
@@ -20,25 +23,32 @@ _SYMBOL = r"[^\p{L}\p{N}_]"
 _GAP = _SYMBOL + "+"
 
 
-def _sequence_pattern(words: int, lead: int, trail: int, symbol_safe: bool) -> str:
+Shape = tuple[int, int, int]  # words, symbols before, symbols behind
+
+
+def _sequence_pattern(words: int, lead: int, trail: int, symbol_safe: bool,
+                      heads: list[str] | None = None) -> str:
     """``words`` words with the gaps between them, tried at every place of the text.
 
     A phrase that starts or ends with a symbol must have a word character beyond it, so
     its symbols fill the whole gap beside the word: ``lead`` and ``trail`` take that gap in.
     With ``symbol_safe`` they are as many symbols as the phrase has there, with no word
-    character beyond them.
+    character beyond them. ``heads``: the folded words that may stand first, if not all may.
+    A sequence that starts with a word is looked for at the starts of words only.
     """
     body = "(?:" + _GAP + WORD + "+){%d}" % (words - 1) if words > 1 else ""
-    core = WORD + "+" + body if words else ""
+    first = "" if heads is None or not words else f"(?=(?iu:{_tree_pattern(heads, True)}))"
+    core = first + WORD + "+" + body if words else ""
+    past = "" if lead or not words else WORD + "+"
     if symbol_safe:
         start, end = (f"{_SYMBOL}{{{n}}}" if n else "" for n in (lead, trail))
-        return f"(?<!{WORD})(?=({start}{core}{end})(?!{WORD}))"
+        return f"(?<!{WORD})(?=({start}{core}{end})(?!{WORD})){past}"
     before = f"(?<={WORD})" if lead else f"(?<!{WORD})"
     after = f"(?={WORD})" if trail else f"(?!{WORD})"
     if not words:
         return f"(?<={WORD})(?=({_GAP})(?={WORD}))"
     start, end = (_GAP if lead else ""), (_GAP if trail else "")
-    return f"{before}(?=({start}{core}{end}){after})"
+    return f"{before}(?=({start}{core}{end}){after}){past}"
 
 
 def _shape(phrase: Column, symbol_safe: bool) -> list[Column]:
@@ -51,14 +61,28 @@ def _shape(phrase: Column, symbol_safe: bool) -> list[Column]:
     return [words.alias("words"), lead.alias("lead"), trail.alias("trail")]
 
 
-def word_sequences(text: Column, shapes: list[tuple[int, int, int]],
-                   symbol_safe: bool = False) -> Column:
-    """The distinct sequences of every shape in a text, as written but case folded."""
-    found = [F.regexp_extract_all(text, F.lit(_sequence_pattern(*shape, symbol_safe)), F.lit(1))
-             for shape in shapes]
+def word_sequences(text: Column, shapes: list[Shape], symbol_safe: bool = False,
+                   heads: Mapping[Shape, list[str]] | None = None) -> Column:
+    """The distinct sequences of every shape in a text, as written but case folded; with
+    ``heads``, those that start with one of the words given for their shape."""
+    found = [F.regexp_extract_all(text, F.lit(_sequence_pattern(
+        *shape, symbol_safe, heads and heads[shape])), F.lit(1)) for shape in shapes]
     return F.array_distinct(F.transform(F.concat(*found), fold))
 
 
+def _heads(entries: DataFrame, symbol_safe: bool) -> dict[Shape, list[str]] | None:
+    """First words of the phrases of each shape; None where they are too many for a pattern."""
+    word = F.regexp_extract("phrase", f"({WORD}+)", 1).alias("head")
+    rows = entries.select(*_shape(F.col("phrase"), symbol_safe), word).distinct().limit(
+        PHRASES_PER_PATTERN + 1).collect()
+    if len(rows) > PHRASES_PER_PATTERN:
+        return None
+    found = defaultdict(list)
+    for *shape, head in rows:
+        found[tuple(shape)].append(head)
+    return found
+
+
 def _known_bits(entries: DataFrame, bits: int) -> DataFrame:
     """One row: which of ``bits`` hash values occur among the phrases, 64 to a number."""
     at = entries.select(F.pmod(F.xxhash64("phrase"), F.lit(bits)).alias("h")).select(
@@ -75,8 +99,9 @@ def match_phrases(df: DataFrame, key: str, text: Column | str,
     """Unique (key, skill) rows for a vocabulary of (phrase, skill) rows; ``symbol_safe`` as in
     ``extract_skills``.
 
-    Only sequences shaped like some phrase are taken out of the texts, each once per text, and
-    only those whose hash some phrase has leave their task: the filter has 16 bits a phrase (at
+    Only sequences shaped like some phrase are taken out of the texts, each once per text. While
+    the phrases have at most PHRASES_PER_PATTERN first words, only sequences that start with
+    one of these are; in any case, only those whose hash some phrase has leave their task: the filter has 16 bits a phrase (at
     most MOST_BITS, past which it lets more through, never less). What is left of a word that
     stands in most texts is split at run time, as in any join of uneven keys.
     """
@@ -89,6 +114,7 @@ def match_phrases(df: DataFrame, key: str, text: Column | str,
     bits = 1 << min(MOST_BITS, max(10, (16 * entries.count()).bit_length()))
     place = F.pmod(F.xxhash64("phrase"), F.lit(bits))
     known = F.get(_known_bits(entries, bits).scalar(), F.floor(place / 64).cast("int"))
-    runs = df.select(key, F.explode(word_sequences(_col(text), sorted(shapes), symbol_safe)).alias("phrase"))
+    runs = df.select(key, F.explode(word_sequences(
+        _col(text), sorted(shapes), symbol_safe, _heads(entries, symbol_safe))).alias("phrase"))
     near = runs.filter(F.getbit(known, F.pmod(place, F.lit(64)).cast("int")) == 1)
     return near.join(entries, "phrase").select(key, "skill").dropDuplicates([key, "skill"])

@@ -10,7 +10,8 @@ from jobloom.functions.vocabulary import (
     SKILL_STOPWORDS, default_vocabulary, extend_vocabulary, phrase_rows,
 )
 from jobloom.operators.evaluation import evaluate_lists
-from jobloom.operators.phrases import match_phrases
+from jobloom.operators import phrases
+from jobloom.operators.phrases import match_phrases, word_sequences
 from jobloom.plans.enrichment import question_skills
 
 VOCABULARY = default_vocabulary()
@@ -100,6 +101,28 @@ def test_table_of_phrases_with_symbols_at_their_edges(spark):
     assert want[8] == ["c", "net"] and want[10] == ["plus"] and want[13] == ["at"]
 
 
+def test_only_sequences_that_may_begin_a_phrase_leave_a_text(spark):
+    """Whatever the case, also of the letters that fold to i, s and k."""
+    df = spark.createDataFrame([("the machine learning of the machINE shop, ſql K8S c++ cs",)], "t string")
+    shapes = [(1, 0, 0), (1, 0, 2), (2, 0, 0)]
+    heads = {(1, 0, 0): ["sql", "k8s"], (1, 0, 2): ["c"], (2, 0, 0): ["machine"]}
+    got = df.select(word_sequences(F.col("t"), shapes, True, heads)).first()[0]
+    assert got == ["sql", "k8s", "c++", "machine learning", "machine shop"]
+
+
+@pytest.mark.parametrize("symbol_safe", [False, True])
+def test_many_first_words_give_the_same_pairs(spark, monkeypatch, symbol_safe):
+    texts = [t for t in TEXTS if t] + [
+        "asp.net .net", "c++. C++", "Σ'σ ΟΔΟΣ οδος", "K8s İ ı", "sql sql server sql-server"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    rows = phrase_rows(VOCABULARY) + [("ΟΔΟΣ", "way"), (".net", "net"), ("i", "i"), ("server sql", "x")]
+    table = spark.createDataFrame(rows, "phrase string, skill string")
+    few = {tuple(r) for r in match_phrases(df, "i", "t", table, symbol_safe).collect()}
+    monkeypatch.setattr(phrases, "PHRASES_PER_PATTERN", 3)
+    assert {tuple(r) for r in match_phrases(df, "i", "t", table, symbol_safe).collect()} == few
+    assert {s for _, s in few} >= {"way", "i", "x"}
+
+
 # Labelled texts with the scores that are known for them.
 SHORT = [
     ("Senior Software Engineer working with Python, React, AWS, Docker, Kubernetes, "
