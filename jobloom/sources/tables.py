@@ -80,9 +80,11 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> Data
 class Warehouse:
     """The six tables in one Spark database.
 
-    ``location`` is on storage all executors share. Choose ``buckets`` so that one bucket of
-    the largest table fits a task (about a gigabyte): a merge reads, shuffles and writes the
-    buckets its stage touches, and a session without a lasting catalog finds the tables again.
+    ``location`` is on storage all executors share. A table starts with ``buckets`` buckets and
+    doubles their number as it grows, so that a bucket fits a task: a merge reads, shuffles and
+    writes the buckets its stage touches, and a session without a lasting catalog finds the
+    tables again. A load that needs more buckets makes two versions, of which the first holds
+    the rows of before.
     """
 
     def __init__(self, spark: SparkSession, database: str, location: str,
@@ -135,7 +137,8 @@ class Warehouse:
         """Count all pairs anew, as after a load that failed between a table and its counts."""
         pairs = self.table("jobs").select("job_id", self._role("title").alias("role_key")).join(
             self.table("job_skills_ner"), "job_id")
-        self.counts.replace(pairs.groupBy("role_key", "skill").agg(F.count("*").alias("demand_count")))
+        self.counts.replace(checkpoint(
+            pairs.groupBy("role_key", "skill").agg(F.count("*").alias("demand_count"))))
 
     def _title_changes(self, touched: list[int], stage: DataFrame) -> DataFrame:
         """What new and changed titles of the stage do to the counts of their jobs' skills."""

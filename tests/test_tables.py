@@ -10,6 +10,7 @@ from jobloom.operators.counts import counted
 from jobloom.schemas import BRONZE_JOBS, TABLES
 from jobloom.plans.silver import clean_jobs, select_raw
 from jobloom.session import scratch_path
+from jobloom.sources import versions
 from jobloom.sources.tables import Warehouse, read_silver, write_silver
 
 
@@ -391,6 +392,70 @@ def test_counts_follow_the_loads(spark, tmp_path):
     assert same() == 1
 
 
+def test_buckets_grow_with_their_table(spark, tmp_path, monkeypatch):
+    """No bucket of much more than the bound, whether rows come at once or over several loads."""
+    monkeypatch.setattr(versions, "BUCKET_BYTES", 200_000)
+    w = Warehouse(spark, "careers_grown", str(tmp_path / "w"), dim=2, buckets=2, keep=1, count_demand=True)
+    w.ensure_tables()
+    store = w.stores["jobs"]
+
+    def jobs(a, z, title):
+        some = TABLES["jobs"].schema.fieldNames()
+        return spark.range(a, z).selectExpr(
+            "cast(id as string) job_id", f"'{title}' title", "'u' url",
+            "concat_ws(' ', transform(sequence(1, 400), i -> md5(concat(id, '-', i)))) description",
+            *[f"cast(null as {TABLES['jobs'].schema[n].dataType.simpleString()}) {n}" for n in some
+              if n not in ("job_id", "title", "url", "description")])
+
+    def bucket_sizes():
+        now = spark.table(store.store(store.version()))
+        return [r.n for r in now.groupBy("bucket").agg(F.sum(F.octet_length("description")).alias("n")).collect()]
+
+    w.upsert_jobs(jobs(0, 20, "a"))
+    few = store.number()
+    w.upsert_jobs(jobs(0, 400, "b"))
+    many = store.number()
+    assert 2 <= few < 32 <= many and max(bucket_sizes()) < 500_000
+    assert len({b for _, b in store.pieces(store.version())}) > 16
+    w.upsert_jobs(jobs(0, 1, "c"))  # a small load: nothing grows, one bucket is written
+    assert store.number() == many and w.table("jobs").count() == 400
+    # A load from the table itself, although only one version is kept.
+    w.upsert_jobs(w.table("jobs").withColumns({
+        "job_id": F.concat(F.lit("x"), "job_id"), "title": F.lit("d")}))
+    assert store.number() > many
+    assert rows(w.table("jobs").groupBy("title").count()) == [("b", 399), ("c", 1), ("d", 400)]
+    assert w.duplicate_keys("jobs").count() == 0
+    # Pairs and counts, and all rows anew.
+    w.add_skills("job_skills_ner", w.table("jobs").selectExpr("job_id", "concat('s', job_id) skill"))
+    w.add_skills("job_skills_ner", w.table("jobs").selectExpr("job_id", "concat(repeat('t', 2000), job_id) skill"))
+    assert w.stores["job_skills_ner"].number() > 2 and w.counts.number() > 2
+    assert w.table("job_skills_ner").count() == 1600
+    assert rows(spark.table("careers_grown.v_role_skill_counts")) == rows(
+        spark.table("careers_grown.v_role_skill_demand"))
+    again = Warehouse(spark, "careers_grown_again", str(tmp_path / "w"), dim=2, buckets=2, keep=1)
+    again.ensure_tables()
+    assert again.stores["jobs"].number() == store.number()
+    again.upsert_jobs(jobs(5, 6, "e"))
+    assert rows(again.table("jobs").groupBy("title").count()) == [
+        ("b", 398), ("c", 1), ("d", 400), ("e", 1)]
+    again.replace_skills("job_skills_ner", spark.range(3).selectExpr("cast(id as string) job_id", "'s' skill"))
+    assert again.stores["job_skills_ner"].number() == 2 and again.table("job_skills_ner").count() == 3
+
+
+def test_manifests_without_numbers_are_read(spark, tmp_path):
+    """As loads of before wrote them."""
+    first = Warehouse(spark, "careers_old", str(tmp_path / "w"), dim=2, buckets=2)
+    first.ensure_tables()
+    first.upsert_jobs(jobs_frame(spark, [dict(job_id=str(i), title="a") for i in range(50)]))
+    manifest = f"{first.stores['jobs'].root}/manifest/version=1"
+    listed = spark.createDataFrame(sorted(first.stores["jobs"].pieces(1)), "load int, bucket int")
+    listed.coalesce(1).write.mode("overwrite").parquet(manifest)
+    again = Warehouse(spark, "careers_old_again", str(tmp_path / "w"), dim=2, buckets=2)
+    again.ensure_tables()
+    again.upsert_jobs(jobs_frame(spark, [dict(job_id="7", title="b"), dict(job_id="x", title="b")]))
+    assert rows(again.table("jobs").groupBy("title").count()) == [("a", 49), ("b", 2)]
+
+
 def test_tables_are_found_again_without_a_catalog(spark, tmp_path):
     first = Warehouse(spark, "careers_one", str(tmp_path / "w"), dim=2, buckets=2)
     first.ensure_tables()
