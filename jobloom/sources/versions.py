@@ -27,7 +27,7 @@ from jobloom.sources.storage import delete, names, size
 
 Piece = tuple[int, int]  # load, bucket
 MOST_PIECES = 8          # pieces of a bucket before they are written anew as one
-BUCKET_BYTES = 128 << 20 # a bucket's stored bytes and those of a load's rows for it, on average
+BUCKET_BYTES = 64 << 20  # a bucket's stored bytes and those of a load's rows for it, on average
 MOST_BUCKETS = 1 << 16   # Spark takes 100,000 at most
 
 

@@ -442,6 +442,14 @@ def test_buckets_grow_with_their_table(spark, tmp_path, monkeypatch):
     assert again.stores["job_skills_ner"].number() == 2 and again.table("job_skills_ner").count() == 3
 
 
+def test_a_buckets_share_hardly_grows_with_its_table():
+    """A load's bytes for one bucket, from 0.2 GB (four buckets) up to 60 GB."""
+    table = versions.BucketTable(None, "d", "r", TABLES["jobs"], 4, 2)
+    shares = [n / table._wanted(n, 4) for n in range(200_000_000, 60_000_000_000, 100_000_000)]
+    assert max(shares) <= 1.5 * shares[0]
+    assert min(shares) >= shares[0] / 2
+
+
 def test_manifests_without_numbers_are_read(spark, tmp_path):
     """As loads of before wrote them."""
     first = Warehouse(spark, "careers_old", str(tmp_path / "w"), dim=2, buckets=2)
